@@ -9,5 +9,12 @@ BIGINT on both sides.
 
 from __future__ import annotations
 
-from msgtriage.plans import queries_etl, queries_lexicon, queries_sampling, queries_text  # noqa: F401
+from msgtriage.plans import (  # noqa: F401
+    queries_etl,
+    queries_io,
+    queries_lexicon,
+    queries_sampling,
+    queries_text,
+    queries_vectors,
+)
 from msgtriage.plans.registry import REGISTRY, Query, register  # noqa: F401
