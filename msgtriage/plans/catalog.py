@@ -13,6 +13,7 @@ from msgtriage.plans import (  # noqa: F401
     queries_etl,
     queries_io,
     queries_lexicon,
+    queries_ml,
     queries_sampling,
     queries_text,
     queries_vectors,
