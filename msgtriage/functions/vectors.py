@@ -40,9 +40,21 @@ def subtract(a: Column | str, b: Column | str) -> Column:
 
 
 def unit(v: Column | str) -> Column:
-    """``v / ||v||``; a zero vector stays zero."""
-    n = norm(v)
-    return F.transform(_col(v), lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    """``v / ||v||``; a zero vector stays zero.
+
+    The norm is bound once per row (a one-element array of a struct), not
+    re-evaluated inside the per-element lambda.
+    """
+    bound = F.array(F.struct(_col(v).alias("v"), norm(v).alias("n")))
+    return F.element_at(
+        F.transform(
+            bound,
+            lambda s: F.transform(
+                s["v"], lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(F.lit(0.0))
+            ),
+        ),
+        1,
+    )
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:

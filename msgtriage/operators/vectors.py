@@ -26,12 +26,12 @@ def lookup_vectors(
     return long.join(sized_side(vectors.select("word", "vector"), broadcast_rows), "word", "inner")
 
 
-def _vector_sum(col: str, dim: int) -> list[Column]:
-    """Component-wise sum of an ``array<double>`` column as ``dim`` aggregates.
-
-    Plain ``sum`` per component: partial aggregation, fixed-width buffers.
-    """
-    return [F.sum(F.col(col)[i]).alias(f"_c{i}") for i in range(dim)]
+def _vector_sum(col: str, dim: int, weight: Column | None = None) -> list[Column]:
+    """Component-wise (optionally weighted) sum of an ``array<double>`` column
+    as ``dim`` plain aggregates: codegen'd, partial aggregation, fixed-width
+    buffers (no per-element lambda)."""
+    w = weight if weight is not None else F.lit(1.0)
+    return [F.sum(F.col(col)[i] * w).alias(f"_c{i}") for i in range(dim)]
 
 
 def _pack(dim: int, out: str) -> Column:
@@ -45,18 +45,23 @@ def sentence_vectors(
     """The reference's recurrence ``v <- (w + v) / dim`` over the in-vocabulary
     tokens of a document, starting from zeros.
 
-    Closed form: ``v = sum_k w_k * dim ** -(m - k + 1)``; the rank from the end
-    comes from a window within each document, and the weighted sum is a plain
-    per-component aggregate. Every token of the whole text takes part (early
-    tokens' weights underflow to 0 exactly as in the recurrence). Documents
-    without in-vocabulary tokens get the zero vector.
+    Closed form: ``v = sum_k w_k * dim ** -(m - k + 1)``. Plan: keep only the
+    in-vocabulary tokens as narrow ``(key, pos, word)`` rows (semi-join), rank
+    them from the end within each document (the only shuffle, on ``key``,
+    without vectors), attach the vectors after the window, and sum per
+    document in place (the data is already partitioned on ``key``). Every
+    token of the whole text takes part (early tokens' weights underflow to 0
+    exactly as in the recurrence). Documents without in-vocabulary tokens get
+    the zero vector.
     """
-    hits = lookup_vectors(df, vectors, key, tokens, broadcast_rows)
+    long = explode_tokens(df, key, tokens, "word", pos="pos")
+    vocab = sized_side(vectors.select("word"), broadcast_rows)
+    known = long.join(vocab, "word", "left_semi")
     from_end = Window.partitionBy(key).orderBy(F.desc("pos"))
-    weighted = hits.withColumn("_r", F.row_number().over(from_end)).select(
-        key, V.scale("vector", F.pow(F.lit(float(dim)), -F.col("_r").cast("double"))).alias("_w")
-    )
-    sums = weighted.groupBy(key).agg(*_vector_sum("_w", dim))
+    ranked = known.withColumn("_r", F.row_number().over(from_end))
+    vecs = sized_side(vectors.select("word", "vector"), broadcast_rows)
+    weight = F.pow(F.lit(float(dim)), -F.col("_r").cast("double"))
+    sums = ranked.join(vecs, "word").groupBy(key).agg(*_vector_sum("vector", dim, weight))
     return df.select(key).join(sums, key, "left").select(key, _pack(dim, out))
 
 
@@ -124,7 +129,10 @@ def fill_nan_global_median(
 ) -> tuple[DataFrame, float | None]:
     """replace NaN components of ``vec`` with the median over all
     non-NaN components of the whole column."""
-    comps = df.select(F.explode_outer(vec).alias("x"))
+    from msgtriage.session import materialize
+
+    # the selection makes several passes: read the components from a written table
+    comps = materialize(df.select(F.explode_outer(vec).alias("x")), "median-input")
     if exact:
         med = global_median(comps, "x", accuracy)
     else:
@@ -165,8 +173,9 @@ def most_similar(
     mean = [sum(r["s"] * r["u"][i] for r in rows) / len(rows) for i in range(dim)]
     norm = math.sqrt(sum(v * v for v in mean)) or 1.0
     q = F.array(*[F.lit(v / norm) for v in mean])
+    # cosine with a unit query vector = dot / ||v||: two O(dim) folds per row
     scored = vectors.where(~F.col("word").isin(*inputs)).select(
-        "word", V.dot(V.unit("vector"), q).alias("score")
+        "word", (V.dot("vector", q) / V.norm("vector")).alias("score")
     )
     return scored.orderBy(F.desc("score"), F.col("word")).limit(topn)
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this package wants; callers can override any.
 DEFAULT_CONF = {
@@ -62,3 +62,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint root and read it back.
+
+    Cuts the lineage with one computation (a reliable ``checkpoint()`` runs the
+    plan a second time to write it) and survives executor loss: the data sits
+    in the shared folder, not in executor memory or local disks.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
