@@ -17,7 +17,7 @@ from msgtriage.plans.registry import r6, register
 
 @register(
     "clean_table",
-    ("C1", "E1", "E2", "E3", "D1", "B2", "B5"),
+    ("C1", "C2", "E1", "E2", "E3", "D1", "B2", "B5"),
     with_fixtures("SELECT * FROM clean_fx", "clean_fx"),
 )
 def q_clean_table(spark, sf_dir):

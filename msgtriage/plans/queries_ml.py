@@ -29,7 +29,7 @@ def _split(spark, sf_dir):
     )
 
 
-@register("multilabel_predictions", ("K1", "K2", "K13", "A8", "J1", "J2", "J4", "U2", "U4"))
+@register("multilabel_predictions", ("K1", "K2", "K13", "A8", "J1", "J2", "J4", "U2", "U3", "U4"))
 def q_multilabel_predictions(spark, sf_dir):
     """TF-IDF + balanced logistic regression per label; saved, reloaded, scored."""
     train, test, labels = _split(spark, sf_dir)

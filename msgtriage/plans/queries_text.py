@@ -42,7 +42,7 @@ def q_url_removal(spark, sf_dir):
 
 @register(
     "message_tokens",
-    ("I2", "I3", "I4", "I5", "I8", "C3"),
+    ("I2", "I3", "I4", "I5", "I8", "C3", "U1"),
     with_fixtures(
         "SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS token_text FROM toks",
         ctes=(_toks_cte("train"),),
