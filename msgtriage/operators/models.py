@@ -136,6 +136,39 @@ def featurizer(
 # --------------------------------------------------------------------------
 
 
+def fit_classifiers(
+    feats: DataFrame,
+    labels: Sequence[str],
+    clf_kind: str = "logistic",
+    balanced: bool = True,
+    parallelism: int = 4,
+    clf_params: dict | None = None,
+    n_rows: int | None = None,
+) -> tuple[dict, dict[str, float]]:
+    """One classifier per label on an already featurised (and persisted)
+    ``features`` column, several labels at a time from a thread pool."""
+    n_rows = n_rows if n_rows is not None else feats.count()
+    clf_params = dict(clf_params or {})
+    if clf_kind == "mlp":  # the input layer is the feature width
+        width = feats.select("features").first()["features"].size
+        clf_params["layers"] = [width, *list(clf_params.get("layers", [0, 16, 2]))[1:]]
+
+    def fit_one(label: str):
+        start = time.perf_counter()
+        data = feats.where(F.col(label).isin(0, 1)).withColumn(label, F.col(label).cast("double"))
+        wcol = None
+        if balanced:
+            wcol = f"w_{label}"
+            data = with_class_weight(data, label, wcol)
+        clf = make_classifier(clf_kind, label, n_rows, "features", wcol, **clf_params)
+        model = clf.fit(data)
+        return label, model, time.perf_counter() - start
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(inheritable_thread_target(fit_one), list(labels)))
+    return {label: m for label, m, _ in results}, {f"fit_{label}": t for label, _, t in results}
+
+
 def fit_multilabel(
     df: DataFrame,
     labels: Sequence[str],
@@ -160,30 +193,14 @@ def fit_multilabel(
     feats = fmodel.transform(df).select("features", *labels).persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = feats.count()
     timings["featurize_transform"] = time.perf_counter() - t0
-    clf_params = dict(clf_params or {})
-    if clf_kind == "mlp":  # the input layer is the feature width
-        width = feats.select("features").first()["features"].size
-        clf_params["layers"] = [width, *list(clf_params.get("layers", [0, 16, 2]))[1:]]
-
-    def fit_one(label: str):
-        start = time.perf_counter()
-        data = feats.where(F.col(label).isin(0, 1)).withColumn(label, F.col(label).cast("double"))
-        wcol = None
-        if balanced:
-            wcol = f"w_{label}"
-            data = with_class_weight(data, label, wcol)
-        clf = make_classifier(clf_kind, label, n_rows, "features", wcol, **clf_params)
-        model = clf.fit(data)
-        return label, model, time.perf_counter() - start
 
     t0 = time.perf_counter()
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(inheritable_thread_target(fit_one), list(labels)))
+    by_label, fit_times = fit_classifiers(
+        feats, labels, clf_kind, balanced, parallelism, clf_params, n_rows
+    )
     timings["classifiers_fit"] = time.perf_counter() - t0
-    for label, _, secs in results:
-        timings[f"fit_{label}"] = secs
+    timings.update(fit_times)
     feats.unpersist()
-    by_label = {label: model for label, model, _ in results}
     return PipelineModel(stages=[*fmodel.stages, *[by_label[x] for x in labels]]), timings
 
 
@@ -263,51 +280,61 @@ def grid_search(
 
 def stacked_predictions(
     df: DataFrame, test: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11,
-    key: str = "id", base: Sequence[str] = ("forest", "logistic"),
+    key: str = "id", base: Sequence[tuple[str, dict]] = (
+        ("forest", {"num_trees": 10, "max_depth": 5}), ("logistic", {"C": 0.01})
+    ),
+    feature_kind: str = "tfidf",
 ) -> DataFrame:
-    """K7: out-of-fold base predictions (per label) -> logistic meta model.
+    """K7: stacking. Base classifiers' out-of-fold predictions (folds by key)
+    become the meta features of one logistic model per label.
 
-    Returns long predictions of the meta model on ``test``.
+    The featuriser is fitted once on the training rows and its output
+    persisted; every base fit (per fold, per label) reads that table.
+    Returns long predictions ``(key, label, y, yhat)`` of the meta model on ``test``.
     """
     from pyspark.ml.feature import VectorAssembler
 
-    folded = assign_folds(df, k, key, seed)
-    oof_parts = []
+    fmodel = featurizer(feature_kind).fit(df)
+    feats = assign_folds(
+        fmodel.transform(df).select(key, "features", *labels), k, key, seed
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    test_feats = fmodel.transform(test).select(key, "features", *labels)
+    names = [f"{kind}_{x}" for kind, _ in base for x in labels]
+
+    def base_preds(models_by_label, rows, kind):
+        out = rows
+        for x in labels:
+            out = models_by_label[x].transform(out).withColumnRenamed(f"pred_{x}", f"{kind}_{x}")
+            out = out.drop(f"raw_{x}", f"prob_{x}")
+        return out
+
+    oof = None
     for fold in range(k):
-        train = folded.where(F.col("fold") != fold)
-        hold = folded.where(F.col("fold") == fold)
-        cols = []
-        part = hold.select(key, *labels)
-        for kind in base:
-            model, _ = fit_multilabel(train, labels, clf_kind=kind, balanced=True)
-            p = model.transform(hold).select(key, *[F.col(f"pred_{x}").alias(f"{kind}_{x}") for x in labels])
-            part = part.join(p, key)
-            cols += [f"{kind}_{x}" for x in labels]
-        oof_parts.append(part)
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.unionByName(p)
-    full_models = {kind: fit_multilabel(df, labels, clf_kind=kind, balanced=True)[0] for kind in base}
-    test_base = test.select(key, *labels)
-    for kind, model in full_models.items():
-        p = model.transform(test).select(key, *[F.col(f"pred_{x}").alias(f"{kind}_{x}") for x in labels])
-        test_base = test_base.join(p, key)
-    base_cols = [f"{kind}_{x}" for kind in base for x in labels]
-    assemble = VectorAssembler(inputCols=base_cols, outputCol="features")
-    meta_train = assemble.transform(oof)
-    meta_test = assemble.transform(test_base)
-    n = meta_train.count()
-    preds = []
+        train = feats.where(F.col("fold") != fold)
+        part = feats.where(F.col("fold") == fold)
+        for kind, params in base:
+            fitted, _ = fit_classifiers(train, labels, kind, True, 4, params)
+            part = base_preds(fitted, part, kind)
+        part = part.select(key, *labels, *names)
+        oof = part if oof is None else oof.unionByName(part)
+    scored_test = test_feats
+    for kind, params in base:
+        fitted, _ = fit_classifiers(feats, labels, kind, True, 4, params)
+        scored_test = base_preds(fitted, scored_test, kind)
+    # read by every label's meta prediction below: compute the base chain once
+    scored_test = scored_test.select(key, *labels, *names).persist(StorageLevel.MEMORY_AND_DISK)
+    assemble = VectorAssembler(inputCols=names, outputCol="meta")
+    meta_train = assemble.transform(oof).select(key, "meta", *labels).withColumnRenamed("meta", "features")
+    meta_train = meta_train.persist(StorageLevel.MEMORY_AND_DISK)
+    meta_test = assemble.transform(scored_test).select(
+        key, F.col("meta").alias("features"), *labels
+    )
+    meta_models, _ = fit_classifiers(meta_train, labels, "logistic", True, 4, {"C": 1.0})
+    preds = None
     for x in labels:
-        data = with_class_weight(meta_train.withColumn(x, F.col(x).cast("double")), x, f"w_{x}")
-        m = make_classifier("logistic", x, n, "features", f"w_{x}", C=1.0).fit(data)
-        preds.append(
-            m.transform(meta_test).select(
-                key, F.lit(x).alias("label"), F.col(x).cast("int").alias("y"),
-                F.col(f"pred_{x}").cast("int").alias("yhat"),
-            )
+        p = meta_models[x].transform(meta_test).select(
+            key, F.lit(x).alias("label"), F.col(x).cast("int").alias("y"),
+            F.col(f"pred_{x}").cast("int").alias("yhat"),
         )
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    return out
+        preds = p if preds is None else preds.unionByName(p)
+    return preds
