@@ -85,8 +85,30 @@ def vocabulary(
     kept = stats.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if vocab_size is not None:
         kept = kept.orderBy(F.desc("cf"), F.col("term")).limit(vocab_size)
-    # Bounded by vocab_size rows: a single-partition window is fine here.
-    return kept.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
+        # at most vocab_size rows: one small window is fine
+        return kept.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
+    return ordered_index(kept, "term", "term_index")
+
+
+def ordered_index(df: DataFrame, order: str, out: str, prefix_len: int = 3) -> DataFrame:
+    """Dense 0-based index in ``order`` (a string column) without a global window.
+
+    The first ``prefix_len`` characters form an order-preserving bucket: every
+    string in a smaller bucket sorts before every string in a larger one.
+    Per-bucket counts (one row per distinct prefix, a bounded table) give
+    prefix offsets; ``row_number`` then runs inside each bucket only.
+    """
+    bucket = F.substring(F.col(order), 1, prefix_len)
+    keyed = df.withColumn("_pb", bucket)
+    counts = keyed.groupBy("_pb").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pb").orderBy(order)
+    return (
+        keyed.join(F.broadcast(offsets), "_pb")
+        .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("int"))
+        .drop("_pb", "_off")
+    )
 
 
 def idf_column(df_col: Column, n_docs: int, smooth: bool = True) -> Column:

@@ -21,12 +21,47 @@ from msgtriage.operators.features import explode_tokens
 from msgtriage.schema import ENTITY_TYPES, NOUN_TAGS, STARTING_VERB_TAGS, VERB_TAGS
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def sized_side(lexicon: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``lexicon`` only if its measured row count is within the bound."""
-    n = lexicon.count()
-    return F.broadcast(lexicon) if n <= broadcast_rows else lexicon
+def _field_bytes(field) -> Column:
+    """Approximate in-memory bytes of one column value."""
+    from pyspark.sql import types as T
+
+    c, t = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(t, T.ArrayType):
+        inner = 8 if not isinstance(t.elementType, T.StringType) else 24
+        return F.coalesce(F.size(c), F.lit(0)) * inner + 16
+    return F.lit(8)
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """``(rows, approximate bytes)`` of ``df`` in one aggregate job."""
+    width = None
+    for f in df.schema.fields:
+        b = _field_bytes(f)
+        width = b if width is None else width + b
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
+
+
+def sized_side(
+    lexicon: DataFrame,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """Broadcast ``lexicon`` only if its measured rows and bytes are within the bounds;
+    otherwise return it unchanged for a shuffle join (AQE splits hot keys)."""
+    if should_broadcast(lexicon, broadcast_rows, broadcast_bytes):
+        return F.broadcast(lexicon)
+    return lexicon
+
+
+def should_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    n, b = measured_size(df)
+    return n <= max_rows and b <= max_bytes
 
 
 # --------------------------------------------------------------------------
@@ -257,8 +292,10 @@ def spell_suggestions(
 
     uk = keyed(unknown, "word")
     vk = keyed(vocab.select("word"), "cand").join(vocab.withColumnRenamed("word", "cand"), "cand")
+    close_len = F.abs(F.length("word") - F.length("cand")) <= max_edits
     pairs = (
         uk.join(vk, "k")
+        .where(close_len)
         .select("word", "cand", "freq")
         .distinct()
         .withColumn("dist", F.levenshtein("word", "cand"))
