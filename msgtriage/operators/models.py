@@ -136,6 +136,20 @@ def featurizer(
 # --------------------------------------------------------------------------
 
 
+ROWS_PER_PARTITION = 20_000
+
+
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Fewer, fuller partitions for the iterative fits: each optimizer
+    iteration is a job over every partition, so tiny partitions cost more in
+    task overhead than they save. Never increases the partition count."""
+    import math
+
+    target = max(1, math.ceil(n_rows / rows_per_partition))
+    current = df.rdd.getNumPartitions()
+    return df.coalesce(target) if target < current else df
+
+
 def fit_classifiers(
     feats: DataFrame,
     labels: Sequence[str],
@@ -186,13 +200,22 @@ def fit_multilabel(
     """
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
-    fmodel = featurizer(feature_kind, text_col, **(feature_params or {})).fit(df)
+    stages = featurizer(feature_kind, text_col, **(feature_params or {})).getStages()
+    # Tokenise once: the vectorizer fit, the IDF fit and the feature table all
+    # read this narrow persisted frame instead of re-running the text plan.
+    tok = stages[0]
+    tokd = tok.transform(df).select("tokens", *labels).persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = tokd.count()
+    rest = Pipeline(stages=stages[1:]).fit(tokd)
     timings["featurize_fit"] = time.perf_counter() - t0
 
     t0 = time.perf_counter()
-    feats = fmodel.transform(df).select("features", *labels).persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = feats.count()
+    feats = right_size(rest.transform(tokd).select("features", *labels), n_rows)
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    feats.count()
+    tokd.unpersist()
     timings["featurize_transform"] = time.perf_counter() - t0
+    fmodel_stages = [tok, *rest.stages]
 
     t0 = time.perf_counter()
     by_label, fit_times = fit_classifiers(
@@ -201,7 +224,7 @@ def fit_multilabel(
     timings["classifiers_fit"] = time.perf_counter() - t0
     timings.update(fit_times)
     feats.unpersist()
-    return PipelineModel(stages=[*fmodel.stages, *[by_label[x] for x in labels]]), timings
+    return PipelineModel(stages=[*fmodel_stages, *[by_label[x] for x in labels]]), timings
 
 
 def timings_frame(spark, timings: dict[str, float]) -> DataFrame:
@@ -295,9 +318,8 @@ def stacked_predictions(
     from pyspark.ml.feature import VectorAssembler
 
     fmodel = featurizer(feature_kind).fit(df)
-    feats = assign_folds(
-        fmodel.transform(df).select(key, "features", *labels), k, key, seed
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = assign_folds(fmodel.transform(df).select(key, "features", *labels), k, key, seed)
+    feats = right_size(folded, folded.count()).persist(StorageLevel.MEMORY_AND_DISK)
     test_feats = fmodel.transform(test).select(key, "features", *labels)
     names = [f"{kind}_{x}" for kind, _ in base for x in labels]
 
@@ -337,4 +359,10 @@ def stacked_predictions(
             F.col(f"pred_{x}").cast("int").alias("yhat"),
         )
         preds = p if preds is None else preds.unionByName(p)
-    return preds
+    # write the result to the shared folder, then release every cached frame
+    from msgtriage.session import materialize
+
+    out = materialize(preds, "stacked-predictions")
+    for cached in (feats, scored_test, meta_train):
+        cached.unpersist()
+    return out

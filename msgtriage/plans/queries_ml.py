@@ -136,7 +136,9 @@ def q_pca(spark, sf_dir):
     from msgtriage.operators.transformers import Dense
 
     train, labels = etl.training_table(spark, sf_dir)
-    fmodel = models.featurizer("tfidf", "message").fit(train)
+    # Spark's PCA builds a d x d Gramian: project the 200-bucket hashed
+    # features (J5), not the 2,500-term TF-IDF.
+    fmodel = models.featurizer("hashed_l1", "message").fit(train)
     feats = fmodel.transform(train)
     pipe = Pipeline(stages=[
         Dense(inputCol="features", outputCol="dense"),
