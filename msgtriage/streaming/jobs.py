@@ -154,13 +154,29 @@ def windowed_event_stream(
 def dedupe_stream(
     spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
     key: str = "id", order: Sequence[str] | None = None, files_per_batch: int = 1,
+    mode: str = "state",
 ) -> StreamingQuery:
-    """S3 without event time: each batch keeps its first row per key (D1),
-    drops keys already in the sink (``left_anti``), appends the rest.
-
-    A replayed batch finds its own rows already written and adds nothing.
+    """S3 without event time: write each key once.
+
+    ``mode="state"`` (default): streaming ``dropDuplicates([key])``; the seen
+    keys live in the state store (use the RocksDB provider on a cluster), so a
+    micro-batch costs lookups for its own rows only; the file sink's commit
+    log makes replays exactly-once. Among copies of a key in one batch an
+    arbitrary one is kept (the reference's copies are identical).
+
+    ``mode="anti_join"``: each batch keeps its first row per key by ``order``
+    (D1, deterministic) and drops keys already in the sink with a
+    ``left_anti`` join; a replayed batch finds its rows written and adds
+    nothing. It re-reads the sink's key column every batch, so it suits
+    small sinks only.
     """
     stream = _reader(spark, source, schema, files_per_batch)
+    if mode == "state":
+        return (
+            stream.dropDuplicates([key]).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start(sink)
+        )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         first = dedupe_first(batch, key, order)

@@ -40,3 +40,17 @@ def test_classify_names_labels(spark):
     out = models.classify(model, test, labels, "id").collect()
     allowed = {x.replace("_", " ").title() for x in labels}
     assert out and all(set(r.categories) <= allowed for r in out)
+
+
+def test_stream_dedupe_modes_agree(spark):
+    from msgtriage.plans.fixtures import messages_fx
+
+    msgs = messages_fx(spark, SF_SMALL)
+    expected = sorted(map(tuple, msgs.select("id", "genre").distinct().collect()))
+    for mode in ("state", "anti_join"):
+        base = scratch_path(spark, f"dedupe-{mode}")
+        landing, sink, ckpt = (os.path.join(base, p) for p in ("in", "out", "ck"))
+        jobs.land_files(msgs, landing, 3)
+        jobs.run(jobs.dedupe_stream(spark, landing, msgs.schema, sink, ckpt, "id", mode=mode))
+        got = sorted(map(tuple, spark.read.parquet(sink).select("id", "genre").collect()))
+        assert got == expected, mode
