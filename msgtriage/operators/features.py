@@ -129,11 +129,15 @@ def tfidf(
 ) -> DataFrame:
     """``(key, term, term_index, weight)``.
 
-    The vocabulary side is bounded by ``vocab_size`` and broadcast; the per
-    document norm is a window over ``key`` on the already narrow weight rows.
+    The vocabulary is broadcast only when its measured size is within the
+    bound (always, when capped by ``vocab_size``); an uncapped vocabulary
+    above it is a shuffle join. The per-document norm is a window over
+    ``key`` on the already narrow weight rows.
     """
+    from msgtriage.operators.lexicon import sized_side
+
     tf_term = (1.0 + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
-    w = F.broadcast(vocab.select("term", "term_index", "df"))
+    w = sized_side(vocab.select("term", "term_index", "df"))
     weighted = tf.join(w, "term").select(
         key, "term", "term_index", (tf_term * idf_column(F.col("df"), n_docs, smooth)).alias("w")
     )

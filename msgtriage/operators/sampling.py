@@ -31,30 +31,52 @@ def hex_prefix_int(h: Column, digits: int) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("bigint")
 
 
-def dense_random_index(
+def dense_random_index_with_total(
     df: DataFrame,
     key: str | Sequence[str] = "id",
     seed: int = 42,
     out: str = "idx",
     prefix_digits: int = 4,
-) -> DataFrame:
-    """H0: add ``out`` = 0..n-1 in the order of ``(md5(seed:key), key)``.
-
-    Keys should be unique (run after D1). The offset table has at most
-    ``16**prefix_digits`` rows (65,536 by default) and is broadcast.
+) -> tuple[DataFrame, int]:
+    """H0: add ``out`` = 0..n-1 in the order of ``(md5(seed:key), key)``; also return n.
+
+    Keys should be unique (run after D1). One pass counts rows per hash
+    bucket; the count table has at most ``16**prefix_digits`` rows (65,536 by
+    default, independent of the data size), so it is brought to the driver,
+    turned into prefix offsets and broadcast back. A second pass numbers rows
+    inside each bucket. Buckets are uniform because keys are hashed.
     """
+    spark = df.sparkSession
     keys = _keys(key)
     h = seeded_hash(seed, *[F.col(k) for k in keys])
     hashed = df.withColumn("_h", h).withColumn("_b", hex_prefix_int(F.col("_h"), prefix_digits))
-    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    counts = sorted(
+        (int(r["_b"]), int(r["_n"]))
+        for r in hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).collect()
+    )
+    rows, total = [], 0
+    for b, n in counts:
+        rows.append((b, total))
+        total += n
+    offsets = spark.createDataFrame(rows or [(0, 0)], "_b BIGINT, _off BIGINT")
     in_bucket = Window.partitionBy("_b").orderBy("_h", *keys)
-    return (
+    indexed = (
         hashed.join(F.broadcast(offsets), "_b")
         .withColumn(out, F.col("_off") + F.row_number().over(in_bucket) - 1)
         .drop("_h", "_b", "_off")
     )
+    return indexed, total
+
+
+def dense_random_index(
+    df: DataFrame,
+    key: str | Sequence[str] = "id",
+    seed: int = 42,
+    out: str = "idx",
+    prefix_digits: int = 4,
+) -> DataFrame:
+    """H0 without the total (see ``dense_random_index_with_total``)."""
+    return dense_random_index_with_total(df, key, seed, out, prefix_digits)[0]
 
 
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str] = "id", seed: int = 42):
@@ -64,10 +86,10 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str] = "id", seed: in
     """
     if n <= 0:
         return df
-    total = df.count()
+    indexed, total = dense_random_index_with_total(df, key, seed, "_idx")
     if n > total:
         raise ValueError(f"cannot take a sample of {n} rows from {total}")
-    return dense_random_index(df, key, seed, "_idx").where(F.col("_idx") < n).drop("_idx")
+    return indexed.where(F.col("_idx") < n).drop("_idx")
 
 
 def split_sizes(n: int, fractions: Sequence[float]) -> list[int]:
@@ -91,9 +113,8 @@ def split_frame(
     Parts are contiguous ranges of the dense random index: the *last* parts
     (test, validation) come first in index order, the first part takes the rest.
     """
-    n = df.count()
+    indexed, n = dense_random_index_with_total(df, key, seed, "_idx")
     sizes = split_sizes(n, fractions)
-    indexed = dense_random_index(df, key, seed, "_idx")
     expr = None
     start = 0
     # index order: last part first
@@ -108,14 +129,14 @@ def assign_folds(
     df: DataFrame, k: int = 3, key: str | Sequence[str] = "id", seed: int = 11, out: str = "fold"
 ) -> DataFrame:
     """H3: shuffled k-fold; the first ``n mod k`` folds hold one extra row."""
-    n = df.count()
+    indexed, n = dense_random_index_with_total(df, key, seed, "_idx")
     q, r = divmod(n, k)
     idx = F.col("_idx")
     big = F.lit(r * (q + 1))
     fold = F.when(idx < big, F.floor(idx / F.lit(q + 1))).otherwise(
         F.lit(r) + F.floor((idx - big) / F.lit(max(q, 1)))
     )
-    return dense_random_index(df, key, seed, "_idx").withColumn(out, fold.cast("int")).drop("_idx")
+    return indexed.withColumn(out, fold.cast("int")).drop("_idx")
 
 
 def _draw_with_replacement(
@@ -131,10 +152,13 @@ def _draw_with_replacement(
 
     Draw ``d`` picks the pool row whose dense index is
     ``md5(seed:tag:d) mod n_pool``. The draws are generated distributed with
-    ``spark.range`` and matched by an equi-join on the index. The pool side is
-    broadcast only when its row count (known exactly) is within
-    ``broadcast_rows``; otherwise both sides shuffle on the uniform index.
+    ``spark.range`` and matched by an equi-join on the index. The pool side
+    (whole rows, texts included) is broadcast only when its measured rows and
+    bytes are within the bounds; otherwise both sides shuffle on the index,
+    where a large pool means few draws per index value.
     """
+    from msgtriage.operators.lexicon import sized_side
+
     spark = pool.sparkSession
     if n_draw <= 0 or n_pool <= 0:
         return pool.limit(0).withColumn("draw", F.lit(None).cast("bigint"))
@@ -145,7 +169,7 @@ def _draw_with_replacement(
             hex_prefix_int(seeded_hash(seed, F.lit(tag), F.col("id")), 15) % F.lit(n_pool)
         ).alias("_pick"),
     )
-    side = F.broadcast(indexed) if n_pool <= broadcast_rows else indexed
+    side = sized_side(indexed, broadcast_rows) if n_pool <= broadcast_rows else indexed
     return draws.join(side, "_pick").drop("_pick")
 
 
