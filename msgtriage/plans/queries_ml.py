@@ -178,3 +178,17 @@ def q_imputed(spark, sf_dir):
     imp = Imputer(inputCols=["first_component"], outputCols=["first_component"], strategy="mean")
     out = imp.fit(first).transform(first)
     return out.select("doc_id", r6("first_component").alias("first_component"))
+
+
+@register("training_run_report", ("H2", "H4", "H5", "D3", "K1", "K2", "F9", "F11", "A8"))
+def q_training_run(spark, sf_dir):
+    """The canonical run: hold-out split, rare labels upsampled in sequence, the
+    most common label's negatives resampled, fit, save, per-label report."""
+    from msgtriage.plans.training import train_and_evaluate
+
+    data, labels = etl.training_table(spark, sf_dir)
+    report, _ = train_and_evaluate(
+        spark, data, labels, upsample_targets=("toxic", "long"), downsample_target="related",
+        model_path=scratch_path(spark, "trained-model"),
+    )
+    return report

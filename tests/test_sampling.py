@@ -58,3 +58,14 @@ def test_sample_rows(spark):
 
     with pytest.raises(ValueError):
         sampling.sample_rows(df, 51, "id", 1)
+
+
+def test_resample_training_sequence(spark):
+    df = ids(spark, 120).withColumn("u", (F.col("id") % 4 == 0).cast("int"))
+    out = sampling.resample_training(df, ["t"], 0.5, "u", 0.4, "id", 11)
+    # step 1: keep 80 negatives of t, draw int(80 * .5) = 40 positives of t
+    # step 2: on those 120 rows, keep the u positives, draw int(n_u * .4) u negatives
+    step1 = sampling.upsample(df.withColumn("rowkey", F.col("id").cast("string")), "t", 0.5, "rowkey", 11)
+    n_u = step1.where("u = 1").count()
+    assert out.count() == n_u + int(n_u * 0.4)
+    assert out.select("rowkey").distinct().count() == out.count()
