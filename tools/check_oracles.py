@@ -58,6 +58,24 @@ def duck_connect(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "float": "FLOAT", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT", "date": "DATE",
+}
+
+
+def type_mismatches(sdf, res) -> list[str]:
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    out = []
+    for d in res.description:
+        duck = str(d[1]).upper()
+        if spark_types.get(d[0]) != duck:
+            out.append(f"{d[0]}: spark {spark_types.get(d[0])} duck {duck}")
+    return out
+
+
 def compare(spark, con, name, query, sf_dir):
     t0 = time.time()
     sdf = query.fn(spark, sf_dir)
@@ -73,7 +91,8 @@ def compare(spark, con, name, query, sf_dir):
         return ("COLS", len(s_rows), len(d_rows), t_spark, f"{sorted(s_cols)} vs {sorted(d_cols)}")
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a == b:
-        return ("OK", len(s_rows), len(d_rows), t_spark, "")
+        types = type_mismatches(sdf, res)
+        return ("OK", len(s_rows), len(d_rows), t_spark, ("TYPES " + "; ".join(types)) if types else "")
     only_s = list((a - b).elements())[:2]
     only_d = list((b - a).elements())[:2]
     return ("DIFF", len(s_rows), len(d_rows), t_spark, f"spark-only {only_s!r:.400} duck-only {only_d!r:.400}")
