@@ -126,18 +126,23 @@ def tfidf(
     sublinear: bool = True,
     smooth: bool = True,
     norm: str | None = "l2",
+    vocab_size: int | None = None,
 ) -> DataFrame:
     """``(key, term, term_index, weight)``.
 
-    The vocabulary is broadcast only when its measured size is within the
-    bound (always, when capped by ``vocab_size``); an uncapped vocabulary
-    above it is a shuffle join. The per-document norm is a window over
-    ``key`` on the already narrow weight rows.
+    A vocabulary capped at ``vocab_size`` terms (the cap it was built with)
+    is broadcast as is; an uncapped one is broadcast only when its measured
+    size is within the bound, else it is a shuffle join. The per-document
+    norm is a window over ``key`` on the already narrow weight rows.
     """
-    from msgtriage.operators.lexicon import sized_side
+    from msgtriage.operators.lexicon import DEFAULT_BROADCAST_ROWS, sized_side
 
     tf_term = (1.0 + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
-    w = sized_side(vocab.select("term", "term_index", "df"))
+    narrow = vocab.select("term", "term_index", "df")
+    if vocab_size is not None and vocab_size <= DEFAULT_BROADCAST_ROWS:
+        w = F.broadcast(narrow)
+    else:
+        w = sized_side(narrow)
     weighted = tf.join(w, "term").select(
         key, "term", "term_index", (tf_term * idf_column(F.col("df"), n_docs, smooth)).alias("w")
     )

@@ -209,7 +209,8 @@ def q_term_vocabulary(spark, sf_dir):
 )
 def q_tfidf_weights(spark, sf_dir):
     tf, vocab, n_docs = _tf_and_vocab(spark, sf_dir, **VOCAB)
-    out = features.tfidf(tf, vocab, n_docs, "doc_id", sublinear=True, smooth=True, norm="l2")
+    out = features.tfidf(tf, vocab, n_docs, "doc_id", sublinear=True, smooth=True, norm="l2",
+                         vocab_size=VOCAB["vocab_size"])
     return out.select(
         "doc_id", "term", F.col("term_index").cast("int").alias("term_index"), r6("weight").alias("weight")
     )
