@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from msgtriage.operators import features, lexicon
+from msgtriage.session import ensure_parallelism
 from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.registry import register
 from msgtriage.plans.sqltext import tokens_sql
 
 
 def _doc_tokens(spark, sf_dir, variant="train"):
-    docs = table(spark, sf_dir, "documents")
-    return features.with_tokens(docs.select("doc_id", "text"), "text", "tokens", variant)
+    docs = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return features.with_tokens(docs, "text", "tokens", variant)
 
 
 def _toks_cte():

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import text as T
 from msgtriage.operators import features, ingest
+from msgtriage.session import ensure_parallelism
 from msgtriage.plans.fixtures import categories_fx, table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import initcap_sql, md5_int_sql, tokens_sql
@@ -19,7 +20,7 @@ VOCAB = dict(vocab_size=2500, min_df=5, max_df=0.98)
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _doc_tokens(spark, sf_dir, variant="train"):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import vectors as V
 from msgtriage.operators import features, vectors
+from msgtriage.session import ensure_parallelism
 from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import tokens_sql
@@ -19,7 +20,7 @@ NEGATIVE = ["que"]
 
 
 def _doc_tokens(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return features.with_tokens(docs, "text", "tokens", "train")
 
 

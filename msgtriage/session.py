@@ -75,3 +75,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows before CPU-heavy per-row work (tokenising whole texts) when
+    the scan yields fewer partitions than there are cores, e.g. a large file
+    with one row group. Large inputs already arrive in many splits and pass
+    through unchanged, so no shuffle is added where it would not pay off.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
