@@ -267,37 +267,85 @@ def classify(model: PipelineModel, df: DataFrame, labels: Sequence[str], key: st
 # --------------------------------------------------------------------------
 
 
+def _fold_features(df, labels, k, seed, key, feature_kind="tfidf", feature_params=None):
+    """Per fold: the featuriser fitted on the other folds, applied to both
+    parts; persisted, right-sized. Folds are assigned on the key first (Q20).
+
+    Tokenising is stateless, so the folded rows are tokenised once into a
+    narrow persisted frame; only the vectorizer / IDF are fitted per fold.
+    """
+    stages = featurizer(feature_kind, **(feature_params or {})).getStages()
+    tok, rest_stages = stages[0], stages[1:]
+    folded = assign_folds(df, k, key, seed)
+    tokd = tok.transform(folded).select(key, "fold", "tokens", *labels)
+    tokd = tokd.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for fold in range(k):
+            train = tokd.where(F.col("fold") != fold)
+            test = tokd.where(F.col("fold") == fold)
+            rest = Pipeline(stages=rest_stages).fit(train)
+            tr = rest.transform(train).select(key, "features", *labels)
+            n = tr.count()
+            tr = right_size(tr, n).persist(StorageLevel.MEMORY_AND_DISK)
+            te = rest.transform(test).select(key, "features", *labels)
+            te = te.persist(StorageLevel.MEMORY_AND_DISK)
+            yield fold, tr, te, n
+            tr.unpersist()
+            te.unpersist()
+    finally:
+        tokd.unpersist()
+
+
+def _predict_features(by_label: dict, feats: DataFrame, labels: Sequence[str], key: str):
+    """Long ``(key, label, y, yhat)`` from per-label models over a features table."""
+    out = feats
+    for x in labels:
+        out = by_label[x].transform(out).drop(f"raw_{x}", f"prob_{x}")
+    wide = out.select(key, *[F.col(f"pred_{x}").cast("int").alias(x) for x in labels])
+    long = wide.unpivot([key], list(labels), "label", "yhat")
+    truth = feats.unpivot([key], list(labels), "label", "y").select(key, "label", F.col("y").cast("int"))
+    return long.join(truth, [key, "label"]).select(key, "label", "y", "yhat")
+
+
+def grid_search(
+    df: DataFrame, labels: Sequence[str], candidates: Sequence[dict], k: int = 3, seed: int = 11,
+    key: str = "id", scorer: str = "recall_weighted", feature_kind: str = "tfidf",
+) -> list[tuple[int, str, float]]:
+    """K9: mean cross-validated score per candidate ``{clf_kind, clf_params, balanced}``.
+
+    Each fold is featurised once (fitted on that fold's training part) and
+    every candidate's classifiers are fitted on the persisted features.
+    """
+    scores: dict[int, list[float]] = {i: [] for i in range(len(candidates))}
+    for _fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind):
+        for i, cand in enumerate(candidates):
+            by_label, _ = fit_classifiers(
+                tr, labels, cand.get("clf_kind", "logistic"), cand.get("balanced", True), 4,
+                cand.get("clf_params"), n,
+            )
+            row = multilabel_scores(_predict_features(by_label, te, labels, key)).first()
+            scores[i].append(float(row[scorer]))
+    return [
+        (i, json.dumps(c, sort_keys=True), sum(scores[i]) / len(scores[i]))
+        for i, c in enumerate(candidates)
+    ]
+
+
 def cross_val_scores(
     df: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11, key: str = "id",
-    scorer: str = "recall_weighted", **fit_kw,
+    scorer: str = "recall_weighted", clf_kind: str = "logistic", clf_params: dict | None = None,
+    balanced: bool = True, feature_kind: str = "tfidf",
 ) -> list[tuple[int, float]]:
     """Per fold, fit on the other folds and score the held-out fold.
 
     Folds are assigned on the original key first (Q20); any resampling must
     happen inside the training part of each fold.
     """
-    folded = assign_folds(df, k, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = []
-    for fold in range(k):
-        train = folded.where(F.col("fold") != fold)
-        test = folded.where(F.col("fold") == fold)
-        model, _ = fit_multilabel(train, labels, **fit_kw)
-        pred = predict_long(model, test, labels, key)
-        row = multilabel_scores(pred).first()
-        scores.append((fold, float(row[scorer])))
-    folded.unpersist()
-    return scores
-
-
-def grid_search(
-    df: DataFrame, labels: Sequence[str], candidates: Sequence[dict], k: int = 3, seed: int = 11,
-    key: str = "id", scorer: str = "recall_weighted",
-) -> list[tuple[int, str, float]]:
-    """K9: mean cross-validated score per candidate ``{clf_kind, clf_params, ...}``."""
     out = []
-    for i, cand in enumerate(candidates):
-        scores = cross_val_scores(df, labels, k, seed, key, scorer, **cand)
-        out.append((i, json.dumps(cand, sort_keys=True), sum(s for _, s in scores) / len(scores)))
+    for fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind):
+        by_label, _ = fit_classifiers(tr, labels, clf_kind, balanced, 4, clf_params, n)
+        row = multilabel_scores(_predict_features(by_label, te, labels, key)).first()
+        out.append((fold, float(row[scorer])))
     return out
 
 
