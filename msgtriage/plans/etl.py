@@ -8,6 +8,7 @@ from msgtriage.operators.filters import prepare_training
 from msgtriage.operators.ingest import clean_messages
 from msgtriage.operators.profile import label_totals, value_counts
 from msgtriage.plans.fixtures import categories_fx, messages_fx
+from msgtriage.session import materialize
 
 
 def clean_table(
@@ -17,11 +18,21 @@ def clean_table(
     return clean_messages(messages_fx(spark, sf_dir), categories_fx(spark, sf_dir), labels)
 
 
+def stored_clean_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The clean table as the training side sees it: written once (A4) to the
+    shared folder and read back (A3), as the reference's ETL writes its table
+    and training loads it. Downstream plans make several passes (label
+    checks, split counts, resampling); they read the stored Parquet instead
+    of re-running the join and de-duplication each time."""
+    clean, labels = clean_table(spark, sf_dir)
+    return materialize(clean, "clean-table"), labels
+
+
 def training_table(
     spark: SparkSession, sf_dir: str, drop_constant: bool = True
 ) -> tuple[DataFrame, list[str]]:
     """T3 after the training filters (all-zero rows, ``related == 2``, constant labels)."""
-    clean, labels = clean_table(spark, sf_dir)
+    clean, labels = stored_clean_table(spark, sf_dir)
     return prepare_training(clean, labels, drop_constant=drop_constant)
 
 
