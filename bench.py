@@ -28,6 +28,7 @@ HEADLINE = [
     "upsampled_train",      # H0-H4
     "label_metrics",        # F9-F11
     "stream_event_windows", # S2 event-time stream
+    "stream_scores",        # S1 scoring stream (fit in batch, score as a stream)
     "multilabel_predictions",  # K1-K2 fit + A8 save/load + predict
 ]
 

@@ -10,7 +10,6 @@ broadcast has a proven bound.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,7 +56,7 @@ def term_frequencies(df: DataFrame, key: str = "id", tokens: str = "tokens") ->
     )
 
 
-def _doc_count_bound(value: float | int, n_docs: int, upper: bool) -> float:
+def _doc_count_bound(value: float | int, n_docs: int) -> float:
     """sklearn semantics: an int is an absolute count, a float a proportion."""
     if isinstance(value, float):
         return value * n_docs
@@ -77,8 +76,8 @@ def vocabulary(
     most frequent by corpus count (ties by term). ``term_index`` numbers the
     kept terms alphabetically, as the reference's vectorizer does.
     """
-    lo = _doc_count_bound(min_df, n_docs, upper=False)
-    hi = _doc_count_bound(max_df, n_docs, upper=True)
+    lo = _doc_count_bound(min_df, n_docs)
+    hi = _doc_count_bound(max_df, n_docs)
     stats = tf.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf")
     )
@@ -313,6 +312,3 @@ def n_docs_of(df: DataFrame) -> int:
     """Number of documents (a single scalar action)."""
     return int(df.count())
 
-
-def smooth_idf_value(n_docs: int, df: int) -> float:
-    return math.log((1 + n_docs) / (1 + df)) + 1.0

@@ -10,7 +10,7 @@ from msgtriage.session import ensure_parallelism
 from msgtriage.plans.fixtures import categories_fx, table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import initcap_sql, md5_int_sql, tokens_sql
-from msgtriage.schema import EXTRA_STOP_WORDS, LABEL_KEYWORDS, URL_PATTERN
+from msgtriage.schema import EXTRA_STOP_WORDS, LABEL_KEYWORDS, URL_PATTERN, stop_words
 
 #: Keyword list for the fixture: the reference keywords (which never occur in
 #: the invented corpus) plus frequent non-stop-word corpus tokens.
@@ -89,19 +89,13 @@ def q_stopword_variants(spark, sf_dir):
     words = docs.select(T.split_words(T.letters_only(T.remove_urls("text"))).alias("w"))
     sums = words.agg(
         *[
-            F.sum(F.size(T.drop_words("w", _stops(v)))).cast("bigint").alias(v)
+            F.sum(F.size(T.drop_words("w", stop_words(v)))).cast("bigint").alias(v)
             for v in EXTRA_STOP_WORDS
         ]
     )
     return sums.unpivot([], list(EXTRA_STOP_WORDS), "variant", "n_tokens")
 
 
-def _stops(v):
-    from msgtriage.schema import stop_words
-
-    return stop_words(v)
-
-
 @register(
     "sentence_counts",
     ("I9",),
