@@ -44,14 +44,19 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    Where it is unset (local runs, tests) a private folder is created and set,
-    so that ``DataFrame.checkpoint()`` and scratch tables have a home.
+    On a cluster this setting points at shared storage and is only read here;
+    running there without it is an error (a machine-local folder would not
+    survive the loss of that machine). Where it is unset in local mode (local
+    runs, tests) a private folder is created and set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)"
+            )
         root = tempfile.mkdtemp(prefix="msgtriage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
