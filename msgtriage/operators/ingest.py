@@ -98,11 +98,20 @@ def discover_label_names(categories: DataFrame) -> list[str]:
     return list(first["names"])
 
 
+def _layout_mismatch(labels: Sequence[str]):
+    expected = F.array(*[F.lit(x) for x in labels])
+    return F.col("categories").isNull() | ~(label_names("categories") == expected)
+
+
 def label_layout_mismatches(categories: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows whose packed string does not carry exactly ``labels`` in order."""
-    expected = F.array(*[F.lit(x) for x in labels])
-    return categories.where(
-        F.col("categories").isNull() | ~(label_names("categories") == expected)
+    return categories.where(_layout_mismatch(labels))
+
+
+def label_layout_summary(categories: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Q4 check in one pass: ``(n_rows, n_mismatched)``."""
+    return categories.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(_layout_mismatch(labels)).alias("n_mismatched")
     )
 
 

@@ -350,3 +350,22 @@ def q_distinct_genres(spark, sf_dir):
 def q_head_rows(spark, sf_dir):
     clean, _ = etl.clean_table(spark, sf_dir)
     return profile.head_rows(clean.select("id", "genre", "related"), 5, ["id"])
+
+
+@register(
+    "label_layout_check",
+    ("E2", "E1"),
+    with_fixtures(
+        """SELECT count(*) AS n_rows,
+                  count(*) FILTER (WHERE list_transform(string_split(categories, ';'),
+                                          lambda f: regexp_replace(f, '[-0-9]', '', 'g'))
+                                   <> ['related', 'toxic', 'long', 'multi_line', 'child_alone']
+                                   OR categories IS NULL) AS n_mismatched
+           FROM categories_fx""",
+        "categories_fx",
+    ),
+)
+def q_label_layout_check(spark, sf_dir):
+    """Q4: every packed string must carry the names found in the first row, in order."""
+    cats = categories_fx(spark, sf_dir)
+    return ingest.label_layout_summary(cats, ingest.discover_label_names(cats))

@@ -87,3 +87,11 @@ def test_genre_index_matches_string_indexer(spark):
     mapping = {r.genre: r.genre_index for r in filters.genre_index_frame(df).collect()}
     ml = {r.genre: int(r.genre_index) for r in filters.index_genre(df).select("genre", "genre_index").distinct().collect()}
     assert mapping == ml
+
+
+def test_label_layout_summary(spark):
+    df = spark.createDataFrame(
+        [(1, "a-1;b-0"), (2, "a-0;c-1"), (3, None), (4, "a-1;b-1")], "id long, categories string"
+    )
+    r = ingest.label_layout_summary(df, ["a", "b"]).first()
+    assert (r.n_rows, r.n_mismatched) == (4, 2)
