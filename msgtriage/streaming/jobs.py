@@ -130,8 +130,9 @@ def windowed_event_stream(
 ) -> StreamingQuery:
     """S2 on event time: tumbling-window counts and sums per event type.
 
-    The watermark bounds the state: windows older than the watermark are
-    dropped from state, and later events for them are ignored (late data).
+    The watermark bounds the state: windows that end before it are evicted.
+    Spark's guarantee is one-sided: events within the delay are always
+    counted; events older than the watermark may or may not be.
     """
     stream = _reader(spark, source, schema, files_per_batch)
     agg = (
