@@ -128,7 +128,11 @@ def q_classified(spark, sf_dir):
     return out.select("id", F.array_join("categories", ", ").alias("categories"))
 
 
-@register("pca_projection", ("J13", "J12"))
+@register(
+    "pca_projection",
+    ("J13", "J12"),
+    with_fixtures("SELECT id, CAST(5 AS INTEGER) AS k FROM training_fx", "training_fx"),
+)
 def q_pca(spark, sf_dir):
     from pyspark.ml import Pipeline
 
