@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions.text import display_name
 from msgtriage.operators import features as feat
-from msgtriage.operators.metrics import multilabel_scores, with_class_weight
+from msgtriage.operators.metrics import multilabel_scores
 from msgtriage.operators.sampling import assign_folds
 from msgtriage.operators.transformers import KeywordSearch, TextTokenizer
 
@@ -150,6 +150,25 @@ def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PA
     return df.coalesce(target) if target < current else df
 
 
+def balanced_weight_columns(feats: DataFrame, labels: Sequence[str]) -> dict:
+    """F12 for every label in one pass: ``n / (k * n_c)`` over the 0/1 rows,
+    returned as a literal CASE expression per label (no join per fit)."""
+    aggs = []
+    for x in labels:
+        aggs += [F.count_if(F.col(x) == 0).alias(f"{x}__0"), F.count_if(F.col(x) == 1).alias(f"{x}__1")]
+    row = feats.agg(*aggs).first()
+    out = {}
+    for x in labels:
+        present = [(c, row[f"{x}__{c}"]) for c in (0, 1) if row[f"{x}__{c}"] > 0]
+        n = sum(nc for _, nc in present)
+        expr = None
+        for c, nc in present:
+            w = F.lit(n / (len(present) * nc))
+            expr = F.when(F.col(x) == c, w) if expr is None else expr.when(F.col(x) == c, w)
+        out[x] = expr if expr is not None else F.lit(1.0)
+    return out
+
+
 def fit_classifiers(
     feats: DataFrame,
     labels: Sequence[str],
@@ -167,13 +186,16 @@ def fit_classifiers(
         width = feats.select("features").first()["features"].size
         clf_params["layers"] = [width, *list(clf_params.get("layers", [0, 16, 2]))[1:]]
 
+    weights = balanced_weight_columns(feats, labels) if balanced else {}
+
     def fit_one(label: str):
         start = time.perf_counter()
-        data = feats.where(F.col(label).isin(0, 1)).withColumn(label, F.col(label).cast("double"))
+        data = feats.where(F.col(label).isin(0, 1))
         wcol = None
         if balanced:
             wcol = f"w_{label}"
-            data = with_class_weight(data, label, wcol)
+            data = data.withColumn(wcol, weights[label])
+        data = data.withColumn(label, F.col(label).cast("double"))
         clf = make_classifier(clf_kind, label, n_rows, "features", wcol, **clf_params)
         model = clf.fit(data)
         return label, model, time.perf_counter() - start

@@ -54,3 +54,14 @@ def test_class_weights(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", 0), ("a", 0)], "label string, y int")
     w = {r.y: r.weight for r in metrics.class_weights(df).collect()}
     assert w == {0: 4 / (2 * 3), 1: 4 / (2 * 1)}
+
+
+def test_balanced_weight_columns_match_class_weights(spark):
+    from msgtriage.operators.models import balanced_weight_columns
+
+    df = spark.createDataFrame([(1, 0), (0, 0), (0, 1), (0, 1), (0, 0)], "a int, b int")
+    w = balanced_weight_columns(df, ["a", "b"])
+    got = df.select(w["a"].alias("wa"), w["b"].alias("wb"), "a", "b").collect()
+    for r in got:
+        assert abs(r.wa - (5 / (2 * (1 if r.a == 1 else 4)))) < 1e-12
+        assert abs(r.wb - (5 / (2 * (2 if r.b == 1 else 3)))) < 1e-12
