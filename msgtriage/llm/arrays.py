@@ -115,36 +115,38 @@ def _segments(is_word: np.ndarray, doc_starts: np.ndarray) -> Iterator[tuple[int
         lo = hi
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a slice in text order, A-Z lower-cased, and the word
-    offsets of its documents (``offsets[d]:offsets[d + 1]`` are document d's words)."""
+def find_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of a slice in text order, A-Z lower-cased for hashing: (hashes, first
+    byte, end byte, offsets); ``offsets[d]:offsets[d + 1]`` are document d's words."""
     low = LOWER[data]
     is_word = table[low]
     heads = np.unique(starts[ends > starts])
-    hashes, firsts = [], []
+    hashes, firsts, lasts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for lo, hi in _segments(is_word, heads):
         w = is_word[lo:hi]
         own = heads[np.searchsorted(heads, lo) : np.searchsorted(heads, hi)] - lo
         begin = w.copy()
         begin[1:] &= ~w[:-1]
         begin[own] = w[own]
-        stop = np.empty_like(w)  # the byte after a word's last one
+        stop = np.empty_like(w)  # a word's last byte
         stop[-1:] = w[-1:]
         stop[:-1] = w[:-1] & (~w[1:] | begin[1:])
         s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-        if not len(s):
-            continue
         power, inverse = _power_tables(hi - lo + 1)
-        total = np.empty(hi - lo + 1, np.uint64)
-        total[0] = 0
+        total = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum(_BYTE_VALUE[low[lo:hi]] * power[: hi - lo], out=total[1:])
         hashes.append(mix((total[e] - total[s]) * inverse[s]))
         firsts.append(s + lo)
-    h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-    first = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
-    left = np.searchsorted(first, starts)
-    right = np.maximum(left, np.searchsorted(first, ends))
-    return h, np.append(left, right[-1:] if len(right) else 0)
+        lasts.append(e + lo)
+    first = np.concatenate(firsts)
+    off = np.append(np.searchsorted(first, starts), len(first))
+    return np.concatenate(hashes), first, np.concatenate(lasts), off
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and document offsets of :func:`find_words`."""
+    h, _, _, off = find_words(data, starts, ends, table)
+    return h, off
 
 
 def shingle_hashes(h: np.ndarray, width: int) -> np.ndarray:

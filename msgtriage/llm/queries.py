@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.ngram_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,8 @@ def query(f: Query) -> Query:
 @query
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, threshold=80)
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
