@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from msgtriage.llm.decontaminate import report, scan
+from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +35,9 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = (F.col("size") * F.col("n_copies")).alias("taken")
+    return copies(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
