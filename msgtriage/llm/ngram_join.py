@@ -87,12 +87,14 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             token, copies = np.unique(np.concatenate(sets), return_counts=True)
             token, copies = token[copies >= HEAVY_LOCAL], copies[copies >= HEAVY_LOCAL]
             n, m = len(sets), len(token)
+            bits = [bitmap(s).tobytes() if len(s) else None for s in sets]
             yield pa.record_batch(
                 {
                     "is_doc": pa.array(np.arange(n + m) < n),
                     "doc_id": pa.concat_arrays([ids, pa.nulls(m, pa.int64())]),
                     "n_shingles": pa.array(np.append([len(s) for s in sets], copies).astype(np.int64)),
                     "set_id": pa.array(np.append(np.array([set_id(s) for s in sets], np.int64), token.view(np.int64))),
+                    "bits": pa.array(bits + [None] * m, pa.binary()),
                 }
             )
 
@@ -148,7 +150,6 @@ def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
                     "set_id": pa.array([set_id(s) for s in sets], pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "tokens": pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets).view(np.int64))),
-                    "bits": pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
                 }
             )
 
@@ -243,6 +244,20 @@ def _block_pairs(rows: dict[str, np.ndarray], threshold: int) -> Iterator[tuple[
         yield np.minimum(a, b), np.maximum(a, b)
 
 
+def _pairs_may_link(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of leaves within the bound that the traversal uses."""
+    for batch in batches:
+        na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+        keep = np.zeros(len(batch), bool)
+        for k, (x, y) in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
+            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            spare = min(na[k] - np.bitwise_count(a).sum(dtype=np.int64), nb[k] - np.bitwise_count(b).sum(dtype=np.int64))
+            a, b = (a, np.tile(b, len(a) // len(b))) if len(a) > len(b) else (np.tile(a, len(b) // len(a)), b)
+            common = np.bitwise_count(a & b).sum(dtype=np.int64) + spare
+            keep[k] = (100 + threshold) * common >= threshold * (na[k] + nb[k])
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _tree_candidates(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     """Batches hold blocks as runs of equal (token, i, j); a block's rows number
     2 ``tree_rows`` at most, so the open block kept between batches is bounded."""
@@ -289,17 +304,22 @@ def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
 # -- links and components ------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose exact Jaccard similarity reaches the threshold."""
+def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Pairs whose exact Jaccard similarity reaches the threshold; only the sets that
+    occur in ``pairs`` are read again from their texts."""
+    pairs = materialize(pairs, "candidate-pairs")
+    used = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(signatures.select("set_id", "doc_id"), "set_id")
+    used = materialize(used, "candidate-docs")
+    wanted = used.select("doc_id").distinct()
+    if used.count() * 8 <= ID_BYTES:
+        wanted = F.broadcast(wanted)
+    chosen = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
+    sets = _arrow(chosen.select("text"), _full_sets, "set_id long, n long, tokens array<long>", width=width)
+    sets = materialize(sets.join(used.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "candidate-sets")
     one = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    size_ok = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
     common = F.size(F.array_intersect("ta", "tb"))
-    return (
-        pairs.join(one, "a").join(two, "b").where(size_ok)
-        .where((100 + threshold) * common >= threshold * (F.col("na") + F.col("nb")))
-        .select("a", "b")
-    )
+    return pairs.join(one, "a").join(two, "b").where((100 + threshold) * common >= threshold * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -344,7 +364,7 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
     if not 0 < threshold <= 100:
         raise ValueError("threshold is a percentage above 0")
     texts = docs.select("doc_id", "text")
-    seen = materialize(_arrow(texts, _describe, "is_doc boolean, doc_id long, n_shingles long, set_id long", width=width), "shingle-sets")
+    seen = materialize(_arrow(texts, _describe, "is_doc boolean, doc_id long, n_shingles long, set_id long, bits binary", width=width), "shingle-sets")
     described = seen.where("is_doc").select("doc_id", "n_shingles", "set_id")
     heavy = _heavy_table(seen.where("not is_doc"))
 
@@ -359,17 +379,16 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
     )
     shared = materialize(shared, "shared-postings")
 
-    nodes = described.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = materialize(shared.select("set_id").distinct().join(nodes, "set_id").select("doc_id").distinct(), "candidate-docs")
-    if wanted.count() * 8 <= ID_BYTES:
-        wanted = F.broadcast(wanted)
-    chosen = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
-    sets = _arrow(chosen.select("text"), _full_sets, "set_id long, n long, tokens array<long>, bits binary", width=width)
-    sets = materialize(sets.dropDuplicates(["set_id"]) if _repeated_ids(described) else sets, "candidate-sets")
+    nodes = seen.where("is_doc").where("n_shingles > 0").join(shared.select("set_id").distinct(), "set_id", "left_semi")
+    nodes = nodes.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    signatures = materialize(nodes, "signatures")
 
     star = shared.where("set_id != centre").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b")).distinct()
-    links = materialize(_verified(star, sets, threshold), "star-links")
-    groups = connected_components(links)
+    star = star.join(signatures.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")), "a")
+    star = star.join(signatures.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")), "b")
+    star = star.where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+    star = _arrow(star, _pairs_may_link, "a long, b long", threshold=threshold)
+    groups = connected_components(_linked(star, signatures, texts, width, threshold))
 
     placed = shared.select("token", "set_id").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "set_id"))
@@ -378,19 +397,14 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
     blocks = blocks.withColumn("part", F.pmod(F.xxhash64("set_id"), "chunks").cast("int"))
     blocks = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocks = blocks.select("token", "set_id", "comp", "part", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
-    blocks = blocks.join(sets.select("set_id", "n", "bits"), "set_id")
+    blocks = blocks.join(signatures.select("set_id", "n", "bits"), "set_id")
     blocks = blocks.repartition("token", "ci", "cj").sortWithinPartitions("token", "ci", "cj")
     pairs = _arrow(blocks, _tree_candidates, "a long, b long", threshold=threshold).distinct()
-    more = _verified(pairs, sets, threshold)
+    more = _linked(pairs, signatures, texts, width, threshold)
     joined = groups.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)
     return described, connected_components(joined).withColumnRenamed("node", "set_id")
 
 
-def _repeated_ids(described: DataFrame) -> bool:
-    """Whether an id stands for several rows, so that one set may be read twice."""
-    return described.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-
-
 def jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id`` (smallest reachable doc_id)."""
     described, members = near_duplicate_sets(docs, width, threshold, tree_rows)
