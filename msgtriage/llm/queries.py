@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from msgtriage.llm import pii
 from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
@@ -41,3 +42,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("size") * F.col("n_copies")).alias("taken")
     return copies(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
