@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgtriage.llm import pii
+from msgtriage.llm import langid, pii
 from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZERS = "/opt/tokenizers"  # vocabulary files of public tokenizers; only the driver reads them
+
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -47,3 +49,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 5
+    held_out = F.coalesce(rest == 0, F.lit(False))
+    model = langid.fit(docs.where(rest != 0), langid.vocabulary_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
+    return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
