@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgtriage.llm import langid, pii
+from msgtriage.llm import langid, nbsvm, pii
 from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
@@ -58,3 +58,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(rest == 0, F.lit(False))
     model = langid.fit(docs.where(rest != 0), langid.vocabulary_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
     return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 3
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = nbsvm.fit(docs.where(rest != 1).join(labels, "doc_id"))
+    scored = nbsvm.score(docs.select("doc_id", "text", F.coalesce(rest == 1, F.lit(False)).alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
