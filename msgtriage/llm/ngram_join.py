@@ -43,12 +43,13 @@ from msgtriage.llm.arrays import doc_slices, mix, separator_words, shingle_hashe
 from msgtriage.session import materialize
 
 HEAVY_BITS = 18  # the table of shared shingles has 2^18 one-byte entries, at any scale
-HEAVY_LOCAL = 3  # copies of a shingle within one slice of texts that make it worth counting
+HEAVY_LOCAL = 2  # copies of a shingle among HEAVY_TOKENS of a task that make it worth counting
+HEAVY_TOKENS = 3_000_000
 ID_BYTES = 64 << 20  # ids of candidate documents are broadcast up to this size, else joined by shuffle
 CENTRES = 4
 TREE_ROWS = 2048
 FANOUT = 8
-MAX_BITS = 1 << 14
+MAX_BITS = 1 << 17
 PAIRS_AT_ONCE = 1 << 15
 
 
@@ -81,22 +82,26 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    def rows(ids: pa.Array, n: list[int], keys: np.ndarray, bits: list[bytes | None], is_doc: bool) -> pa.RecordBatch:
+        columns = {"is_doc": pa.array([is_doc] * len(n)), "doc_id": ids, "n_shingles": pa.array(n, pa.int64()), "set_id": pa.array(keys, pa.int64()), "bits": pa.array(bits, pa.binary())}
+        return pa.record_batch(columns)
+
+    def shared(parts: list[np.ndarray]) -> pa.RecordBatch:
+        token, copies = np.unique(np.concatenate(parts), return_counts=True)
+        keep = copies >= HEAVY_LOCAL
+        return rows(pa.nulls(int(keep.sum()), pa.int64()), copies[keep], token[keep].view(np.int64), [None] * int(keep.sum()), False)
+
+    parts: list[np.ndarray] = []
     for batch in batches:
         for lo, sets in shingle_sets(batch, width):
             ids = batch.column("doc_id").slice(lo, len(sets)).cast(pa.int64())
-            token, copies = np.unique(np.concatenate(sets), return_counts=True)
-            token, copies = token[copies >= HEAVY_LOCAL], copies[copies >= HEAVY_LOCAL]
-            n, m = len(sets), len(token)
-            bits = [bitmap(s).tobytes() if len(s) else None for s in sets]
-            yield pa.record_batch(
-                {
-                    "is_doc": pa.array(np.arange(n + m) < n),
-                    "doc_id": pa.concat_arrays([ids, pa.nulls(m, pa.int64())]),
-                    "n_shingles": pa.array(np.append([len(s) for s in sets], copies).astype(np.int64)),
-                    "set_id": pa.array(np.append(np.array([set_id(s) for s in sets], np.int64), token.view(np.int64))),
-                    "bits": pa.array(bits + [None] * m, pa.binary()),
-                }
-            )
+            yield rows(ids, [len(s) for s in sets], np.array([set_id(s) for s in sets], np.int64), [bitmap(s).tobytes() if len(s) else None for s in sets], True)
+            parts += sets
+            if sum(map(len, parts)) > HEAVY_TOKENS:
+                yield shared(parts)
+                parts = []
+    if parts:
+        yield shared(parts)
 
 
 def _heavy_table(shared: DataFrame) -> np.ndarray:
@@ -126,16 +131,18 @@ def _postings(batches: Iterator[pa.RecordBatch], width: int, threshold: int, hea
     seen: set[int] = set()  # copies within the partition add no posting
     for batch in batches:
         for _, sets in shingle_sets(batch, width):
-            ids, parts = [], []
+            ids, sizes, parts = [], [], []
             for s in sets:
                 if len(s) and (i := set_id(s)) not in seen:
                     seen.add(i)
                     ids.append(i)
+                    sizes.append(len(s))
                     parts.append(prefix(s, heavy, threshold))
             if ids:
                 flat = np.concatenate(parts).view(np.int64)
                 off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-                yield pa.record_batch({"set_id": pa.array(ids, pa.int64()), "tokens": pa.ListArray.from_arrays(pa.array(off), pa.array(flat))})
+                lists = pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
+                yield pa.record_batch({"set_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int32()), "tokens": lists})
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -158,30 +165,39 @@ def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """Token bitmap of about two bits a token (64 to ``MAX_BITS``) as uint64 words."""
+    """Token bitmap in two levels as uint64 words: buckets with a token, then buckets
+    with two or more. Buckets are two to four a token (64 to ``MAX_BITS``). The bits common
+    to two sets count ``min(c, d, 2)`` over buckets of c and d tokens."""
     width = min(MAX_BITS, max(64, 1 << int(2 * len(tokens) - 1).bit_length()))
-    flags = np.zeros(width, np.uint8)
-    flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little").view(np.uint64)
+    count = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits(np.concatenate([count > 0, count > 1]), bitorder="little").view(np.uint64)
+
+
+def _widened(raw: bytes, words: int) -> np.ndarray:
+    """A bitmap at a larger width: each level repeated, which only loosens its bound."""
+    levels = np.frombuffer(raw, np.uint64).reshape(2, -1)
+    return np.tile(levels, (1, words // (2 * levels.shape[1]))).ravel()
 
 
 class SignatureTree:
     """Sets in order of size; each level groups ``FANOUT`` nodes of the one below.
-    ``bits`` are OR-combined, ``lo``/``hi`` the size range, ``spare`` the most tokens
-    of a set that share a bit with another of its tokens."""
+    ``bits`` are OR-combined, ``lo``/``hi`` the size range, ``spare`` the most tokens of a
+    set that its bitmap does not count, ``limit`` the largest partner of a set here."""
 
-    def __init__(self, n: np.ndarray, bits: np.ndarray, spare: np.ndarray):
-        self.levels = [(bits, n, n, spare)]
+    def __init__(self, n: np.ndarray, bits: np.ndarray, spare: np.ndarray, limit: np.ndarray):
+        self.levels = [(bits, n, n, spare, limit)]
         while len(self.levels[-1][1]) > 1:
-            b, lo, hi, sp = self.levels[-1]
+            b, lo, hi, sp, lim = self.levels[-1]
             cut = np.arange(0, len(lo), FANOUT)
-            self.levels.append((np.bitwise_or.reduceat(b, cut), np.minimum.reduceat(lo, cut), np.maximum.reduceat(hi, cut), np.maximum.reduceat(sp, cut)))
+            most = [np.maximum.reduceat(x, cut) for x in (hi, sp, lim)]
+            self.levels.append((np.bitwise_or.reduceat(b, cut), np.minimum.reduceat(lo, cut), *most))
 
 
 def _may_link(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarray:
     """Node pairs whose maximum possible overlap still reaches the threshold."""
-    small, large = np.maximum(x[1][i], y[1][j]), np.minimum(x[2][i], y[2][j])
-    near = 100 * large >= threshold * small  # some sizes in both ranges are close enough
+    large, small = np.maximum(x[1][i], y[1][j]), np.minimum(x[2][i], y[2][j])
+    near = 100 * small >= threshold * large  # some sizes in both ranges are close enough
+    near &= (x[1][i] <= y[4][j]) & (y[1][j] <= x[4][i])
     i, j = i[near], j[near]
     common = np.bitwise_count(x[0][i] & y[0][j]).sum(axis=1, dtype=np.int64) + np.minimum(x[3][i], y[3][j])
     near[near] = (100 + threshold) * common >= threshold * (x[1][i] + y[1][j])
@@ -222,21 +238,18 @@ def dual_traversal(left: SignatureTree, right: SignatureTree, threshold: int) ->
             stack.append((k - 1, fi[pair] + inner // nj[pair], fj[pair] + inner % nj[pair]))
 
 
-def _stack_bits(raw: list[bytes], width: int) -> np.ndarray:
-    """Bitmaps of one width: a narrower one is repeated, which only loosens its bound."""
-    return np.stack([np.tile(b := np.frombuffer(r, np.uint64), width // len(b)) for r in raw])
-
-
 def _block_pairs(rows: dict[str, np.ndarray], threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     order = np.lexsort((rows["comp"], rows["n"]))
-    ids, comp, n, part = (rows[c][order] for c in ("set_id", "comp", "n", "part"))
+    ids, comp, n, part, limit = (rows[c][order] for c in ("set_id", "comp", "n", "part", "limit"))
     raw = rows["bits"][order]
     own = np.flatnonzero(part == part.min())  # chunk i of the pair (i, j); all rows if i = j
     other = np.flatnonzero(part == part.max())
     spare = n - np.array([np.bitwise_count(np.frombuffer(r, np.uint64)).sum(dtype=np.int64) for r in raw])
-    bits = _stack_bits(list(raw), max(len(r) for r in raw) // 8)
-    left = SignatureTree(n[own], bits[own], spare[own])
-    right = left if part.min() == part.max() else SignatureTree(n[other], bits[other], spare[other])
+    words = max(len(r) for r in raw) // 8
+    bits = np.stack([_widened(r, words) for r in raw])
+    left, right = (SignatureTree(n[k], bits[k], spare[k], limit[k]) for k in (own, other))
+    if part.min() == part.max():
+        right = left
     for i, j in dual_traversal(left, right, threshold):
         i, j = own[i], other[j]
         apart = comp[i] != comp[j]
@@ -252,7 +265,7 @@ def _pairs_may_link(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterat
         for k, (x, y) in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
             a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             spare = min(na[k] - np.bitwise_count(a).sum(dtype=np.int64), nb[k] - np.bitwise_count(b).sum(dtype=np.int64))
-            a, b = (a, np.tile(b, len(a) // len(b))) if len(a) > len(b) else (np.tile(a, len(b) // len(a)), b)
+            a, b = (_widened(r, max(len(a), len(b))) for r in (x, y))
             common = np.bitwise_count(a & b).sum(dtype=np.int64) + spare
             keep[k] = (100 + threshold) * common >= threshold * (na[k] + nb[k])
         yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -264,7 +277,7 @@ def _tree_candidates(batches: Iterator[pa.RecordBatch], threshold: int) -> Itera
     rest: pa.Table | None = None
 
     def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: table[c].to_numpy() for c in ("set_id", "comp", "n", "part", "token", "ci", "cj")}
+        cols = {c: table[c].to_numpy() for c in ("set_id", "comp", "n", "part", "limit", "token", "ci", "cj")}
         raw = np.array(table["bits"].to_pylist(), object)
         change = np.zeros(len(raw), bool)
         for c in ("token", "ci", "cj"):
@@ -369,34 +382,35 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
     heavy = _heavy_table(seen.where("not is_doc"))
 
     own = Window.partitionBy("token")
-    posts = _arrow(texts.select("text"), _postings, "set_id long, tokens array<long>", width=width, threshold=threshold, heavy=heavy)
-    posts = posts.select("set_id", F.explode("tokens").alias("token"))
-    turn = F.struct(F.xxhash64("set_id", F.pmod("token", F.lit(CENTRES))).alias("h"), "set_id")
-    shared = (
-        posts.withColumn("lo", F.min("set_id").over(own)).withColumn("hi", F.max("set_id").over(own))
-        .withColumn("centre", F.min(turn).over(own).getField("set_id"))
-        .where("lo < hi").select("token", "set_id", "centre").distinct()
-    )
+    posts = _arrow(texts.select("text"), _postings, "set_id long, n int, tokens array<long>", width=width, threshold=threshold, heavy=heavy)
+    posts = posts.select("set_id", "n", F.posexplode("tokens").alias("pos", "token"))
+    # if a pair's first common shingle is here, n - pos bounds its overlap, and that the partner's size
+    posts = posts.select("token", "set_id", "n", F.expr(f"cast({100 + threshold} * (n - pos) div {threshold} - n as int)").alias("limit"))
+    turn = F.struct(F.xxhash64("set_id", F.pmod("token", F.lit(CENTRES))).alias("h"), "set_id", "n", "limit")
+    shared = posts.withColumn("least", F.min("n").over(own)).where("least <= limit")
+    shared = shared.withColumn("lo", F.min("set_id").over(own)).withColumn("hi", F.max("set_id").over(own)).where("lo < hi")
+    shared = shared.withColumn("centre", F.min(turn).over(own)).select("token", "set_id", "n", "limit", "centre").distinct()
     shared = materialize(shared, "shared-postings")
 
     nodes = seen.where("is_doc").where("n_shingles > 0").join(shared.select("set_id").distinct(), "set_id", "left_semi")
     nodes = nodes.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     signatures = materialize(nodes, "signatures")
 
-    star = shared.where("set_id != centre").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b")).distinct()
+    star = shared.where("set_id != centre.set_id and centre.n <= limit and n <= centre.limit")
+    star = star.where(100 * F.least("n", "centre.n") >= threshold * F.greatest("n", "centre.n"))
+    star = star.select(F.least("set_id", "centre.set_id").alias("a"), F.greatest("set_id", "centre.set_id").alias("b")).distinct()
     star = star.join(signatures.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")), "a")
     star = star.join(signatures.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")), "b")
-    star = star.where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
     star = _arrow(star, _pairs_may_link, "a long, b long", threshold=threshold)
     groups = connected_components(_linked(star, signatures, texts, width, threshold))
 
-    placed = shared.select("token", "set_id").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
+    placed = shared.select("token", "set_id", "limit").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "set_id"))
     open_ = placed.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token", "m")
     blocks = placed.join(open_, "token").withColumn("chunks", F.ceil(F.col("m") / tree_rows).cast("int"))
     blocks = blocks.withColumn("part", F.pmod(F.xxhash64("set_id"), "chunks").cast("int"))
     blocks = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.select("token", "set_id", "comp", "part", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
+    blocks = blocks.select("token", "set_id", "limit", "comp", "part", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
     blocks = blocks.join(signatures.select("set_id", "n", "bits"), "set_id")
     blocks = blocks.repartition("token", "ci", "cj").sortWithinPartitions("token", "ci", "cj")
     pairs = _arrow(blocks, _tree_candidates, "a long, b long", threshold=threshold).distinct()
