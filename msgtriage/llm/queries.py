@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgtriage.llm import langid, nbsvm, pii
+from msgtriage.llm import html_text, langid, nbsvm, pii, token_files
 from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
@@ -106,3 +106,14 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id < first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = token_files.read_ranks(f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
+    return token_files.count_tokens(table(spark, sf_dir, "documents"), ranks, separator=50256)
