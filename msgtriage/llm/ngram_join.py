@@ -82,20 +82,22 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    def rows(ids: pa.Array, n: list[int], keys: np.ndarray, bits: list[bytes | None], is_doc: bool) -> pa.RecordBatch:
-        columns = {"is_doc": pa.array([is_doc] * len(n)), "doc_id": ids, "n_shingles": pa.array(n, pa.int64()), "set_id": pa.array(keys, pa.int64()), "bits": pa.array(bits, pa.binary())}
+    def rows(ids: pa.Array, text_hash: pa.Array, n: list[int], keys: np.ndarray, bits: list[bytes | None], is_doc: bool) -> pa.RecordBatch:
+        columns = {"is_doc": pa.array([is_doc] * len(n)), "doc_id": ids, "text_hash": text_hash, "n_shingles": pa.array(n, pa.int64()), "set_id": pa.array(keys, pa.int64()), "bits": pa.array(bits, pa.binary())}
         return pa.record_batch(columns)
 
     def shared(parts: list[np.ndarray]) -> pa.RecordBatch:
         token, copies = np.unique(np.concatenate(parts), return_counts=True)
         keep = copies >= HEAVY_LOCAL
-        return rows(pa.nulls(int(keep.sum()), pa.int64()), copies[keep], token[keep].view(np.int64), [None] * int(keep.sum()), False)
+        none = pa.nulls(int(keep.sum()), pa.int64())
+        return rows(none, none, copies[keep], token[keep].view(np.int64), [None] * len(none), False)
 
     parts: list[np.ndarray] = []
     for batch in batches:
         for lo, sets in shingle_sets(batch, width):
             ids = batch.column("doc_id").slice(lo, len(sets)).cast(pa.int64())
-            yield rows(ids, [len(s) for s in sets], np.array([set_id(s) for s in sets], np.int64), [bitmap(s).tobytes() if len(s) else None for s in sets], True)
+            text_hash = batch.column("text_hash").slice(lo, len(sets))
+            yield rows(ids, text_hash, [len(s) for s in sets], np.array([set_id(s) for s in sets], np.int64), [bitmap(s).tobytes() if len(s) else None for s in sets], True)
             parts += sets
             if sum(map(len, parts)) > HEAVY_TOKENS:
                 yield shared(parts)
@@ -324,9 +326,7 @@ def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, width: in
     used = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(signatures.select("set_id", "doc_id"), "set_id")
     used = materialize(used, "candidate-docs")
     wanted = used.select("doc_id").distinct()
-    if used.count() * 8 <= ID_BYTES:
-        wanted = F.broadcast(wanted)
-    chosen = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
+    chosen = texts.alias("t").join(_bounded(wanted).alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
     sets = _arrow(chosen.select("text"), _full_sets, "set_id long, n long, tokens array<long>", width=width)
     sets = materialize(sets.join(used.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "candidate-sets")
     one = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -371,14 +371,15 @@ def _arrow(df: DataFrame, f: Callable, schema: str, **args) -> DataFrame:
 
 
 def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(documents as ``doc_id, n_shingles, set_id``; sets in components of two or more
+    """(documents as ``doc_id, text_hash, n_shingles, set_id``; sets in components of two or more
     as ``set_id, comp``). Both are stored in the shared folder or derive from such."""
     spark: SparkSession = docs.sparkSession
     if not 0 < threshold <= 100:
         raise ValueError("threshold is a percentage above 0")
     texts = docs.select("doc_id", "text")
-    seen = materialize(_arrow(texts, _describe, "is_doc boolean, doc_id long, n_shingles long, set_id long, bits binary", width=width), "shingle-sets")
-    described = seen.where("is_doc").select("doc_id", "n_shingles", "set_id")
+    seen = _arrow(texts.withColumn("text_hash", F.xxhash64("text")), _describe, "is_doc boolean, doc_id long, text_hash long, n_shingles long, set_id long, bits binary", width=width)
+    seen = materialize(seen, "shingle-sets")
+    described = seen.where("is_doc").select("doc_id", "text_hash", "n_shingles", "set_id")
     heavy = _heavy_table(seen.where("not is_doc"))
 
     own = Window.partitionBy("token")
@@ -421,9 +422,39 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
 
 def jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id`` (smallest reachable doc_id)."""
-    described, members = near_duplicate_sets(docs, width, threshold, tree_rows)
-    group = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "set_id"))
-    placed = described.join(members, "set_id", "left").withColumn("group", group)
+    placed = _grouped(docs, width, threshold, tree_rows)
     least = placed.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     out = placed.join(least, "group", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("least", F.when(F.col("n_shingles") == 0, F.col("doc_id"))).alias("component_id"))
+
+
+def _grouped(docs: DataFrame, width: int, threshold: int, tree_rows: int) -> DataFrame:
+    """Documents with the ``group`` of their set; null for the empty set."""
+    described, members = near_duplicate_sets(docs, width, threshold, tree_rows)
+    placed = described.join(members, "set_id", "left")
+    return placed.withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "set_id")))
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Stored ids, marked for broadcast if their size allows it."""
+    return F.broadcast(rows) if rows.count() * 16 <= ID_BYTES else rows
+
+
+def keep_one_per_group(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """``docs`` with one document of each component: that with the smallest ``doc_id``
+    (ids before null, then by text hash), and of its repeated rows one. Documents
+    without words are nobody's copies and all stay."""
+    placed = _grouped(docs, width, threshold, tree_rows).where("group is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    placed = materialize(placed.select("doc_id", "text_hash", "group"), "group-rows")
+    placed = placed.join(placed.groupBy("group").agg(first), "group")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    rows = placed.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.max(stays).alias("__stays"), F.count("*").alias("__rows"))
+    rows = materialize(rows.where("not __stays or __rows > 1"), "group-rest")
+    found = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.xxhash64("text") == F.col("__hash"))
+    kept = docs.join(_bounded(rows.select("__id", "__hash")), found, "left_anti")
+    again = rows.where("__stays")
+    if again.limit(1).count():  # repeated rows of a document that stays: one of them
+        alike = docs.join(_bounded(again.select("__id", "__hash")), found).withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash")))
+        kept = kept.union(alike.where("__nth = 1").select(*docs.columns))
+    return kept
