@@ -13,11 +13,11 @@ respected; nothing is sampled or capped.
 3. *Near groups.* Each member of a block is compared exactly with the block's
    centre; most members of a group of near copies join here, without the
    group's pairs being formed.
-4. *Signature trees.* Blocks whose members are still in different groups get
-   a tree: leaves hold a set's size and token bitmap, inner nodes the size range and
+4. *Signature trees.* Blocks whose members are still in different groups are brought
+   together by their smallest group, and each such home gets a tree: leaves hold a set's size and token bitmap, inner nodes the size range and
    the OR of their children's bitmaps. A dual traversal from the root pair drops
    node pairs whose sizes cannot reach the threshold or whose bitmaps bound the
-   overlap below it. Blocks larger than ``tree_rows`` are split into
+   overlap below it. Homes larger than ``tree_rows`` are split into
    pairs of chunks, each with its own two trees.
 5. Surviving pairs are checked exactly on the sets; links plus near groups
    give the components.
@@ -47,7 +47,8 @@ HEAVY_LOCAL = 2  # copies of a shingle among HEAVY_TOKENS of a task that make it
 HEAVY_TOKENS = 3_000_000
 ID_BYTES = 64 << 20  # ids of candidate documents are broadcast up to this size, else joined by shuffle
 CENTRES = 4
-TREE_ROWS = 2048
+STAR_PART = 100
+TREE_ROWS = 8192
 FANOUT = 8
 MAX_BITS = 1 << 17
 PAIRS_AT_ONCE = 1 << 15
@@ -274,15 +275,15 @@ def _pairs_may_link(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterat
 
 
 def _tree_candidates(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """Batches hold blocks as runs of equal (token, i, j); a block's rows number
+    """Batches hold blocks as runs of equal (home, i, j); a block's rows number
     2 ``tree_rows`` at most, so the open block kept between batches is bounded."""
     rest: pa.Table | None = None
 
     def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: table[c].to_numpy() for c in ("set_id", "comp", "n", "part", "limit", "token", "ci", "cj")}
+        cols = {c: table[c].to_numpy() for c in ("set_id", "comp", "n", "part", "limit", "home", "ci", "cj")}
         raw = np.array(table["bits"].to_pylist(), object)
         change = np.zeros(len(raw), bool)
-        for c in ("token", "ci", "cj"):
+        for c in ("home", "ci", "cj"):
             change[1:] |= cols[c][1:] != cols[c][:-1]
         cuts = np.concatenate([[0], np.flatnonzero(change), [len(raw)]])
         found: set[tuple[int, int]] = set()
@@ -302,7 +303,7 @@ def _tree_candidates(batches: Iterator[pa.RecordBatch], threshold: int) -> Itera
         table = pa.Table.from_batches([batch])
         if rest is not None:
             table = pa.concat_tables([rest, table]).combine_chunks()
-        key = [table[c].to_numpy() for c in ("token", "ci", "cj")]
+        key = [table[c].to_numpy() for c in ("home", "ci", "cj")]
         last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1])) if len(table) else []
         cut = int(last[-1]) + 1 if len(last) else 0
         yield from blocks(table.slice(0, cut).combine_chunks()) if cut else ()
@@ -399,7 +400,9 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
 
     star = shared.where("set_id != centre.set_id and centre.n <= limit and n <= centre.limit")
     star = star.where(100 * F.least("n", "centre.n") >= threshold * F.greatest("n", "centre.n"))
-    star = star.select(F.least("set_id", "centre.set_id").alias("a"), F.greatest("set_id", "centre.set_id").alias("b")).distinct()
+    star = star.groupBy(F.least("set_id", "centre.set_id").alias("a"), F.greatest("set_id", "centre.set_id").alias("b"))
+    # copies meet in many blocks; whoever meets its centre in a few only is left to the trees
+    star = star.agg(F.count("*").alias("blocks"), F.max("n").alias("n")).where(f"{STAR_PART} * blocks >= n").select("a", "b")
     star = star.join(signatures.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")), "a")
     star = star.join(signatures.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")), "b")
     star = _arrow(star, _pairs_may_link, "a long, b long", threshold=threshold)
@@ -407,13 +410,16 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
 
     placed = shared.select("token", "set_id", "limit").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "set_id"))
-    open_ = placed.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token", "m")
-    blocks = placed.join(open_, "token").withColumn("chunks", F.ceil(F.col("m") / tree_rows).cast("int"))
-    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("set_id"), "chunks").cast("int"))
-    blocks = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.select("token", "set_id", "limit", "comp", "part", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
+    # blocks with the same smallest component share most of their sets and become one home, where each set stands once
+    open_ = placed.groupBy("token").agg(F.min("comp").alias("home"), F.max("comp").alias("c1")).where("home < c1").select("token", "home")
+    homes = placed.join(open_, "token").groupBy("home", "set_id").agg(F.first("comp").alias("comp"), F.max("limit").alias("limit"))
+    homes = materialize(homes, "homes")
+    chunks = homes.groupBy("home").agg(F.ceil(F.count("*") / tree_rows).cast("int").alias("chunks"))
+    blocks = homes.join(chunks, "home").withColumn("part", F.pmod(F.xxhash64("set_id"), "chunks").cast("int"))
     blocks = blocks.join(signatures.select("set_id", "n", "bits"), "set_id")
-    blocks = blocks.repartition("token", "ci", "cj").sortWithinPartitions("token", "ci", "cj")
+    blocks = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = blocks.select("home", "set_id", "limit", "comp", "part", "n", "bits", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
+    blocks = blocks.repartition("home", "ci", "cj").sortWithinPartitions("home", "ci", "cj")
     pairs = _arrow(blocks, _tree_candidates, "a long, b long", threshold=threshold).distinct()
     more = _linked(pairs, signatures, texts, width, threshold)
     joined = groups.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)
