@@ -52,9 +52,11 @@ def make_classifier(
             maxIter=int(p.get("max_iter", 50)), family="binomial",
         )
     elif kind in ("forest", "bagging", "extra_trees"):
+        if int(p.get("max_depth", 8)) > 30:
+            raise ValueError("trees of Spark ML are at most 30 levels deep")
         m = C.RandomForestClassifier(
             **common, rawPredictionCol=f"raw_{label}", probabilityCol=f"prob_{label}",
-            numTrees=int(p.get("num_trees", 40)), maxDepth=min(int(p.get("max_depth", 8)), 30),
+            numTrees=int(p.get("num_trees", 40)), maxDepth=int(p.get("max_depth", 8)),
             featureSubsetStrategy="all" if kind == "bagging" else str(p.get("max_features", "sqrt")),
             subsamplingRate=float(p.get("max_samples", 1.0)), seed=seed,
         )
@@ -265,13 +267,19 @@ def predict_long(
 ) -> DataFrame:
     """``(key, label, [y,] yhat)`` long predictions; names travel with values (Q7)."""
     out = model.transform(df)
-    cols = [F.col(f"pred_{x}").cast("int").alias(x) for x in labels]
-    wide = out.select(key, *cols)
-    long = wide.unpivot([key], list(labels), "label", "yhat")
-    if not with_truth:
-        return long
-    truth = df.unpivot([key], list(labels), "label", "y").select(key, "label", F.col("y").cast("int"))
-    return long.join(truth, [key, "label"]).select(key, "label", "y", "yhat")
+    return _long(out, labels, key, with_truth)
+
+
+def _long(scored: DataFrame, labels: Sequence[str], key: str, with_truth: bool = True) -> DataFrame:
+    """One row per (input row, label); truth and prediction come from the same row."""
+    fields = [
+        F.struct(
+            F.lit(x).alias("label"), *([F.col(x).cast("int").alias("y")] if with_truth else []),
+            F.col(f"pred_{x}").cast("int").alias("yhat"),
+        )
+        for x in labels
+    ]
+    return scored.select(key, F.explode(F.array(*fields)).alias("_p")).select(key, "_p.*")
 
 
 def classify(model: PipelineModel, df: DataFrame, labels: Sequence[str], key: str = "id"):
@@ -323,10 +331,7 @@ def _predict_features(by_label: dict, feats: DataFrame, labels: Sequence[str], k
     out = feats
     for x in labels:
         out = by_label[x].transform(out).drop(f"raw_{x}", f"prob_{x}")
-    wide = out.select(key, *[F.col(f"pred_{x}").cast("int").alias(x) for x in labels])
-    long = wide.unpivot([key], list(labels), "label", "yhat")
-    truth = feats.unpivot([key], list(labels), "label", "y").select(key, "label", F.col("y").cast("int"))
-    return long.join(truth, [key, "label"]).select(key, "label", "y", "yhat")
+    return _long(out, labels, key)
 
 
 def grid_search(

@@ -160,7 +160,9 @@ def _draw_with_replacement(
     from msgtriage.operators.lexicon import sized_side
 
     spark = pool.sparkSession
-    if n_draw <= 0 or n_pool <= 0:
+    if n_draw > 0 and n_pool <= 0:
+        raise ValueError(f"cannot draw {n_draw} rows ({tag}) from an empty class")
+    if n_draw <= 0:
         return pool.limit(0).withColumn("draw", F.lit(None).cast("bigint"))
     indexed = dense_random_index(pool, key, seed, "_pick")
     draws = spark.range(n_draw).select(

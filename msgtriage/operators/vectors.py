@@ -105,23 +105,43 @@ def global_median(
     if n == 0:
         return None
     k1, k2 = (n - 1) // 2, n // 2
-    lo, hi, below = None, None, 0
+    sub, m, below = data, n, 0
     d = 2.0 / accuracy
     while True:
-        sub = data
-        if lo is not None:
-            sub = data.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        m = sub.count()
         r1, r2 = k1 - below, k2 - below
         if m <= collect_limit:
             vals = sorted(r["x"] for r in sub.collect())
             return (vals[r1] + vals[r2]) / 2.0
         f1, f2 = max(r1 / m - d, 0.0), min(r2 / m + d, 1.0)
         a, b = sub.agg(F.percentile_approx("x", [f1, f2], accuracy).alias("q")).first()["q"]
-        if a == b:
+        v = F.col("x")
+        c = sub.agg(
+            F.count_if(v < a).alias("less"), F.count_if(v == a).alias("at_a"),
+            F.count_if((v > a) & (v < b)).alias("mid"), F.max(F.when(v < b, v)).alias("before_b"),
+            F.min(F.when(v > a, v)).alias("after_a"),
+        ).first()
+        to_mid = c["less"] + c["at_a"]  # ranks from here on are above a
+        to_b = to_mid + c["mid"]
+        if r1 < c["less"] or (a < b and r2 > m - 1):
+            d *= 2.0  # the approximate quantile lies above the rank it stands for
+            continue
+        if r2 < to_mid:
             return float(a)
-        below += sub.where(F.col("x") < a).count()
-        lo, hi = a, b
+        if r1 < to_mid:
+            return (float(a) + float(c["after_a"])) / 2.0
+        if a == b or (r1 >= to_b and r1 >= m):
+            d *= 2.0
+            continue
+        if r1 >= to_b:  # at b, or above it if the quantile was too low
+            at_b = sub.where(v == b).count()
+            if r2 < to_b + at_b:
+                return float(b)
+            d *= 2.0
+            continue
+        if r2 >= to_b:
+            return (float(c["before_b"]) + float(b)) / 2.0
+        # both ranks lie strictly between: the ends go, so every round shrinks the range
+        sub, m, below = sub.where((v > a) & (v < b)), c["mid"], below + to_mid
 
 
 def fill_nan_global_median(
@@ -180,13 +200,16 @@ def most_similar(
     return scored.orderBy(F.desc("score"), F.col("word")).limit(topn)
 
 
-def hashed_word_vectors(words: DataFrame, embeddings: DataFrame, n_vectors: int = 500) -> DataFrame:
-    """Fixture word vectors: ``word`` -> ``embeddings`` row ``md5(word)[:6] mod n``."""
-    vid = (F.conv(F.substring(F.md5(F.col("word")), 1, 6), 16, 10).cast("bigint") % n_vectors)
-    emb = embeddings.select(
-        F.col("vec_id").alias("_vid"), V.as_doubles("embedding").alias("vector")
-    )
-    # the embedding side is a fixed-size table (n_vectors rows used)
-    return words.select("word", vid.alias("_vid")).join(
-        F.broadcast(emb.where(F.col("_vid") < n_vectors)), "_vid"
-    ).select("word", "vector")
+def hashed_word_vectors(words: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """Fixture word vectors: ``word`` -> the ``embeddings`` row in slot ``md5(word)[:6] mod n``.
+
+    ``n`` is the number of embeddings; a row's slot is ``vec_id mod n`` and the
+    smallest id holds a slot that several share, so dense ids use every row.
+    Words whose slot is empty have no vector.
+    """
+    n = max(embeddings.count(), 1)
+    slot = F.pmod(F.col("vec_id"), F.lit(n)).alias("_slot")
+    held = embeddings.select(slot, F.struct("vec_id", V.as_doubles("embedding").alias("vector")).alias("row"))
+    held = held.groupBy("_slot").agg(F.min_by("row.vector", "row.vec_id").alias("vector"))
+    wanted = F.pmod(F.conv(F.substring(F.md5(F.col("word")), 1, 6), 16, 10).cast("bigint"), F.lit(n))
+    return words.select("word", wanted.alias("_slot")).join(sized_side(held), "_slot").select("word", "vector")

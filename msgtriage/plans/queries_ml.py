@@ -161,7 +161,7 @@ def _first_component_sql():
             ("toks", f"SELECT doc_id, {tokens_sql('text', 'train')} AS t FROM documents"),
             ("wc", "SELECT w AS word, count(*) AS n FROM (SELECT unnest(t) AS w FROM toks) x GROUP BY w"),
             ("vecs", """SELECT v.word, CAST(e.embedding[1] AS DOUBLE) AS x FROM (SELECT word FROM wc WHERE n >= 5) v
-                        JOIN embeddings e ON e.vec_id = CAST(('0x' || substr(md5(v.word), 1, 6)) AS BIGINT) % 500"""),
+                        JOIN embeddings e ON e.vec_id = CAST(('0x' || substr(md5(v.word), 1, 6)) AS BIGINT) % (SELECT count(*) FROM embeddings)"""),
             ("c", """SELECT doc_id, avg(x) AS v FROM (SELECT doc_id, unnest(t) AS word FROM toks) u
                      JOIN vecs ON u.word = vecs.word GROUP BY doc_id"""),
         ),

@@ -36,7 +36,7 @@ def _word_vectors(spark, sf_dir, toks=None):
         F.count(F.lit(1)).alias("c")
     )
     vocab = counts.where(F.col("c") >= MIN_COUNT).select("word")
-    wv = vectors.hashed_word_vectors(vocab, table(spark, sf_dir, "embeddings"), 500)
+    wv = vectors.hashed_word_vectors(vocab, table(spark, sf_dir, "embeddings"))
     return materialize(wv, "word-vectors")
 
 
@@ -47,7 +47,7 @@ def _vec_ctes():
         ("vocab", f"SELECT word FROM wc WHERE c >= {MIN_COUNT}"),
         ("vecs", """SELECT v.word, list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS vector
                     FROM vocab v JOIN embeddings e
-                      ON e.vec_id = CAST(('0x' || substr(md5(v.word), 1, 6)) AS BIGINT) % 500"""),
+                      ON e.vec_id = CAST(('0x' || substr(md5(v.word), 1, 6)) AS BIGINT) % (SELECT count(*) FROM embeddings)"""),
         ("hits", """SELECT x.doc_id, x.pos, x.word, v.vector FROM
                     (SELECT doc_id, unnest(t) AS word, unnest(range(1, len(t) + 1)) AS pos FROM toks) x
                     JOIN vecs v ON x.word = v.word"""),

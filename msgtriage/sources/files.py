@@ -16,14 +16,22 @@ from pyspark.sql import types as T
 from msgtriage.schema import CATEGORIES_SCHEMA, MESSAGES_SCHEMA, clean_schema
 
 
+# Texts come back as they were: blanks at either end stay, an empty string is written
+# as "" and a NULL as nothing between the separators.
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# A blank field is read as the NULL mark, a character no message holds, so "" stays a string.
+CSV_READ = {**CSV_TEXT, "nullValue": "\x01", "emptyValue": ""}
+CSV_WRITE = {**CSV_TEXT, "nullValue": "", "emptyValue": '""'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with an explicit schema; quoted fields may span lines."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("multiLine", True)
-        .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .options(**CSV_READ)
         .csv(path)
     )
 
@@ -62,7 +70,7 @@ def write_table(
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A5: CSV copy with a header (no index column)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).options(**CSV_WRITE).csv(path)
 
 
 def read_back_check(
@@ -114,5 +122,5 @@ def read_word_vectors(spark: SparkSession, path: str, dim: int | None = None) ->
     keep = F.size("p") == dim + 1 if dim is not None else F.size("p") > 2
     return parts.where(keep).select(
         F.col("p")[0].alias("word"),
-        F.transform(F.slice("p", 2, 1_000_000), lambda x: x.cast("double")).alias("vector"),
+        F.transform(F.slice("p", 2, F.size("p")), lambda x: x.cast("double")).alias("vector"),
     )

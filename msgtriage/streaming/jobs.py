@@ -9,6 +9,7 @@ long-running deployment uses ``processingTime`` instead.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -21,28 +22,32 @@ from pyspark.sql.streaming import StreamingQuery
 from msgtriage.operators.ingest import dedupe_first
 
 
+LANDING_FILE_BYTES = 128 * 1024 * 1024
+
+
 def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = None) -> None:
-    """Write ``df`` into a landing folder for a stream, as ``n_files`` parts.
+    """Write ``df`` into a landing folder for a stream, in one job.
 
-    Without ``order`` the parts are written by one job. With ``order`` (event
-    time) the rows are cut at approximate quantiles of that column and the
-    slices are appended one after another, so files arrive in time order as
-    a real feed would (the file source picks files up by modification time).
+    ``n_files`` is the least number of files; larger inputs get one per
+    ``LANDING_FILE_BYTES`` of their estimated size. With ``order`` (event time) the
+    rows are range-partitioned on that column (NULL times first, no row is left out) and the
+    files' modification times are set in that order, so they arrive in time order as a
+    real feed would (the file source picks files up by modification time).
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n_files = max(n_files, min(-(-size // LANDING_FILE_BYTES), 100_000))
     if order is None:
         df.repartition(n_files).write.mode("overwrite").parquet(path)
         return
-    key = F.col(order).cast("double")
-    probs = [i / n_files for i in range(1, n_files)]
-    cuts = df.select(key.alias("_k")).approxQuantile("_k", probs, 0.001)
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (key >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (key < F.lit(hi))
-        df.where(cond).coalesce(1).write.mode("append").parquet(path)
+    df.repartitionByRange(n_files, F.col(order).asc_nulls_first()).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # parts are named by their range's number
+    parts = sorted((f.getPath().getName(), f.getPath()) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    start = int(time.time() * 1000) - 1000 * len(parts)
+    for i, (_, part) in enumerate(parts):
+        system.setTimes(part, start + 1000 * i, -1)
 
 
 def _reader(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int):
@@ -160,10 +165,12 @@ def dedupe_stream(
     """S3 without event time: write each key once.
 
     ``mode="state"`` (default): streaming ``dropDuplicates([key])``; the seen
-    keys live in the state store (use the RocksDB provider on a cluster), so a
+    keys live in the state store (RocksDB, see ``session.DEFAULT_CONF``; one entry per
+    key ever seen, so it suits key sets that fit the executors' disks), and a
     micro-batch costs lookups for its own rows only; the file sink's commit
     log makes replays exactly-once. Among copies of a key in one batch an
-    arbitrary one is kept (the reference's copies are identical).
+    arbitrary one is kept: use it where copies are identical, as the
+    reference's are, and ``anti_join`` where the first by ``order`` matters.
 
     ``mode="anti_join"``: each batch keeps its first row per key by ``order``
     (D1, deterministic) and drops keys already in the sink with a
