@@ -152,8 +152,10 @@ def clean_messages(
     if labels is None:
         labels = discover_label_names(categories)
     labels = list(labels)
-    m1 = dedupe_first(messages.select("id", *message_order), "id", list(message_order))
     c1 = dedupe_first(categories.select("id", "categories"), "id", ["categories"])
+    # messages without labels go before their texts are compared
+    labelled = messages.join(categories.select("id"), "id", "left_semi")
+    m1 = dedupe_first(labelled.select("id", *message_order), "id", list(message_order))
     joined = m1.join(c1, "id", "inner")
     unpacked = unpack_labels(joined, labels).drop("original")
     clean = drop_null_labels(unpacked, labels[0])

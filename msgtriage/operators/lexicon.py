@@ -236,36 +236,43 @@ def length_gazetteer(tokens_long: DataFrame, token: str = "token") -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def deletion_keys(word: Column, max_edits: int = 2) -> Column:
-    """The word and every string made by deleting up to ``max_edits`` (1 or 2) letters."""
-    n = F.length(word)
-
-    def drop1(w, i):
-        return F.concat(F.substring(w, 1, i - 1), F.substring(w, i + 1, 1_000_000))
-
-    d1 = F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: drop1(word, i))).otherwise(
-        F.array().cast("array<string>")
-    )
-    keys = F.concat(F.array(word), d1)
-    if max_edits >= 2:
-        d2 = F.when(
-            n >= 2,
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(1), n - 1),
-                    lambda i: F.transform(
-                        F.sequence(i + 1, n),
-                        lambda j: F.concat(
-                            F.substring(word, 1, i - 1),
-                            F.substring(word, i + 1, j - i - 1),
-                            F.substring(word, j + 1, 1_000_000),
-                        ),
-                    ),
-                )
+def _segment(word: Column, i: Column, length: Column, parts: int, shift: Column) -> Column:
+    """Piece ``i`` (from 0) of ``parts`` pieces of a ``length``-letter word, read ``shift`` letters on."""
+    start, end = F.floor(i * length / parts), F.floor((i + 1) * length / parts)
+    return F.when(start + shift >= 0, F.substring(word, (start + shift + 1).cast("int"), (end - start).cast("int")))
+
+
+def _segment_key(length: Column, i: Column, piece: Column) -> Column:
+    return F.concat_ws(":", length.cast("string"), i.cast("string"), piece)
+
+
+def own_segments(word: Column, max_edits: int = 2) -> Column:
+    """Keys of a known word: its ``max_edits + 1`` pieces with their place and the word's length."""
+    n, parts = F.length(word), max_edits + 1
+    return F.transform(F.sequence(F.lit(0), F.lit(max_edits)), lambda i: _segment_key(n, i, _segment(word, i, n, parts, F.lit(0))))
+
+
+def reachable_segments(word: Column, max_edits: int = 2) -> Column:
+    """Keys of all known words that ``max_edits`` edits can reach share one of these.
+
+    Of ``max_edits + 1`` pieces one is untouched by the edits; it stands in ``word`` at
+    most ``max_edits`` letters from its place. The number of keys does not depend on the word's length."""
+    n, parts = F.length(word), max_edits + 1
+    lengths = F.sequence(F.greatest(n - max_edits, F.lit(1)), n + max_edits)
+    keys = F.transform(
+        lengths,
+        lambda m: F.transform(
+            F.sequence(F.lit(0), F.lit(max_edits)),
+            lambda i: F.transform(
+                F.sequence(F.lit(-max_edits), F.lit(max_edits)),
+                lambda d: F.when(
+                    F.length(_segment(word, i, m, parts, d)) == F.floor((i + 1) * m / parts) - F.floor(i * m / parts),
+                    _segment_key(m, i, _segment(word, i, m, parts, d)),
+                ),
             ),
-        ).otherwise(F.array().cast("array<string>"))
-        keys = F.concat(keys, d2)
-    return F.array_distinct(keys)
+        ),
+    )
+    return F.array_distinct(F.array_compact(F.flatten(F.flatten(keys))))
 
 
 def spell_suggestions(
@@ -275,31 +282,25 @@ def spell_suggestions(
 
     ``words``: ``(word)`` to check; ``vocabulary``: ``(word, freq)`` known
     words. Unknown = not in the vocabulary (``left_anti``). Candidates come
-    from a join on shared deletion keys (the distinct words on each side
-    bound every key's group; no vocabulary x word cross product), are
+    from a join on shared word segments (no vocabulary x word cross product;
+    words longer than any known word + ``max_edits`` have none), are
     verified with ``levenshtein <= max_edits``, and the best is the smallest
     distance, then the highest frequency, then the word. Words without a
     candidate keep themselves as suggestion with a NULL distance.
     """
     vocab = vocabulary.select("word", "freq").distinct()
     unknown = words.select("word").distinct().join(vocab.select("word"), "word", "left_anti")
-
-    def keyed(df, name):
-        with_keys = df.select(
-            F.col("word").alias(name), deletion_keys(F.col("word"), max_edits).alias("_keys")
-        )
-        return explode_tokens(with_keys, name, "_keys", "k")
-
-    uk = keyed(unknown, "word")
-    vk = keyed(vocab.select("word"), "cand").join(vocab.withColumnRenamed("word", "cand"), "cand")
-    close_len = F.abs(F.length("word") - F.length("cand")) <= max_edits
+    longest = vocab.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
+    short = unknown.where(F.length("word") <= longest + max_edits)
+    uk = explode_tokens(short.select("word", reachable_segments(F.col("word"), max_edits).alias("_keys")), "word", "_keys", "k")
+    vk = explode_tokens(vocab.select(F.col("word").alias("cand"), own_segments(F.col("word"), max_edits).alias("_keys")), "cand", "_keys", "k")
     pairs = (
         uk.join(vk, "k")
-        .where(close_len)
-        .select("word", "cand", "freq")
+        .select("word", "cand")
         .distinct()
         .withColumn("dist", F.levenshtein("word", "cand"))
         .where(F.col("dist") <= max_edits)
+        .join(vocab.withColumnRenamed("word", "cand"), "cand")
     )
     best = pairs.groupBy("word").agg(
         F.min(F.struct("dist", F.negative(F.col("freq")).alias("nf"), "cand")).alias("_b")

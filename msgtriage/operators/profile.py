@@ -19,6 +19,14 @@ def _one_row_to_long(row_df: DataFrame, names: Sequence[str], value: str, key: s
     return row_df.unpivot([], list(names), key, value)
 
 
+def _value_key(df: DataFrame, column: str):
+    """What distinct counting needs of a value: for strings a 128-bit digest, so the rows that
+    several distinct counts in one pass multiply hold no texts."""
+    if df.schema[column].dataType.simpleString() == "string":
+        return F.unhex(F.md5(F.col(column)))
+    return F.col(column)
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False):
     """distinct non-NULL values per column -> ``(column_name, n_distinct)``.
 
@@ -26,8 +34,10 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
     the right choice for very wide or very large inputs.
     """
     cols = list(columns or df.columns)
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    row = df.agg(*[fn(F.col(c)).alias(c) for c in cols])
+    if approx:
+        row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols])
+    else:
+        row = df.agg(*[F.count_distinct(_value_key(df, c)).alias(c) for c in cols])
     return _one_row_to_long(row, cols, "n_distinct", "column_name")
 
 
@@ -47,7 +57,7 @@ def column_info(df: DataFrame) -> DataFrame:
         aggs += [
             F.count(F.col(c)).alias(f"nn__{c}"),
             F.count_if(F.col(c).isNull()).alias(f"nl__{c}"),
-            F.count_distinct(F.col(c)).alias(f"nd__{c}"),
+            F.count_distinct(_value_key(df, c)).alias(f"nd__{c}"),
         ]
     row = df.agg(*aggs)
     stacked = row.select(

@@ -102,9 +102,15 @@ def q_entity_flags(spark, sf_dir):
             ("dt", f"SELECT DISTINCT unnest({tokens_sql('text', 'train')}) AS word FROM documents"),
             ("bv", f"SELECT word, count(*) AS freq FROM (SELECT unnest({tokens_sql('text', 'train')}) AS word FROM benchmark) x GROUP BY word"),
             ("unk", "SELECT word FROM dt WHERE word NOT IN (SELECT word FROM bv)"),
-            ("pairs", """SELECT u.word, b.word AS cand, b.freq, levenshtein(u.word, b.word) AS dist
-                         FROM unk u JOIN bv b ON abs(length(u.word) - length(b.word)) <= 2
-                         WHERE levenshtein(u.word, b.word) <= 2"""),
+            # candidates share one of three segments of the known word, at most two letters from its place
+            ("vseg", """SELECT word, freq, length(word) AS n, i,
+                               substr(word, CAST(i * length(word) // 3 + 1 AS BIGINT), CAST((i + 1) * length(word) // 3 - i * length(word) // 3 AS BIGINT)) AS seg
+                        FROM bv, range(0, 3) r(i)"""),
+            ("useg", """SELECT word, n, i, substr(word, CAST(i * n // 3 + d + 1 AS BIGINT), CAST((i + 1) * n // 3 - i * n // 3 AS BIGINT)) AS seg
+                        FROM (SELECT word, length(word) + e AS n FROM unk, range(-2, 3) x(e) WHERE length(word) + e >= 1) u, range(0, 3) r(i), range(-2, 3) s(d)
+                        WHERE i * n // 3 + d >= 0"""),
+            ("cands", "SELECT DISTINCT u.word, v.word AS cand, v.freq FROM useg u JOIN vseg v ON u.n = v.n AND u.i = v.i AND u.seg = v.seg"),
+            ("pairs", "SELECT * FROM (SELECT *, levenshtein(word, cand) AS dist FROM cands) x WHERE dist <= 2"),
             ("ranked", "SELECT *, row_number() OVER (PARTITION BY word ORDER BY dist, freq DESC, cand) AS rn FROM pairs"),
         ),
     ),

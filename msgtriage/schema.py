@@ -98,9 +98,15 @@ STARTING_VERB_TAGS = ["VB", "VBP"]
 ENTITY_TYPES = ["GPE", "PERSON", "ORGANIZATION"]
 
 
+def contraction_pieces() -> list[str]:
+    """Letter runs of the listed contractions (``didn't`` -> ``didn``, ``t``): what is left of
+    them once punctuation is removed, so what a letters-only token can equal."""
+    return [piece for word in ENGLISH_STOP_WORDS if "'" in word for piece in word.split("'")]
+
+
 def stop_words(variant: str = "train") -> list[str]:
-    """Base list plus the variant's extra words, order kept, no repeats."""
+    """Base list, the pieces of its contractions, the variant's extra words; no repeats."""
     seen: dict[str, None] = {}
-    for word in ENGLISH_STOP_WORDS + EXTRA_STOP_WORDS[variant]:
+    for word in ENGLISH_STOP_WORDS + contraction_pieces() + EXTRA_STOP_WORDS[variant]:
         seen.setdefault(word, None)
     return list(seen)

@@ -84,6 +84,44 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def input_version(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of the names, lengths and modification times of all files of ``paths``."""
+    import hashlib
+
+    seen = []
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr(sorted(seen)).encode()).hexdigest()
+
+
+def materialize_once(spark: SparkSession, name: str, version: str, build) -> DataFrame:
+    """The stored table ``name`` for one version of its inputs, built on first use.
+
+    Later calls of the session read the Parquet files written then; other
+    versions of the inputs have tables of their own."""
+    key = (spark.sparkContext.applicationId, name, version)
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stored.get(key, "/"))
+    if key not in _stored or not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize_once`` has stored in this session."""
+    for key in [k for k in _stored if k[0] == spark.sparkContext.applicationId]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop(key))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread rows before CPU-heavy per-row work (tokenising whole texts) when
     the scan yields fewer partitions than there are cores, e.g. a large file

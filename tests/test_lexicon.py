@@ -41,3 +41,28 @@ def test_entity_flags_ngrams(spark):
                                 "phrase string, type string")
     got = {r.id: (r.GPE, r.PERSON, r.ORGANIZATION) for r in lexicon.entity_flags(df, gaz, "id").collect()}
     assert got == {1: (1, 0, 0), 2: (1, 0, 0)}
+
+
+def test_spell_segments_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    known = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))): rng.randrange(1, 5) for _ in range(60)}
+    words = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 11))) for _ in range(200)} | {"x" * 3000}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    want = {}
+    for w in words - set(known):
+        close = [(d, -f, k) for k, f in known.items() if abs(len(k) - len(w)) <= 2 and (d := distance(w, k)) <= 2]
+        want[w] = (min(close)[2], min(close)[0]) if close else (w, None)
+    got = lexicon.spell_suggestions(
+        spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame(list(known.items()), "word string, freq long")
+    )
+    assert {r.word: (r.suggestion, r.distance) for r in got.collect()} == want

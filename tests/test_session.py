@@ -21,3 +21,22 @@ def test_ensure_parallelism_only_spreads_small_inputs(spark):
     assert spread.rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(8)
     assert ensure_parallelism(many, 4).rdd.getNumPartitions() == 8
+
+
+def test_stored_table_follows_its_inputs(spark, tmp_path):
+    from msgtriage.session import drop_stored, input_version, materialize_once
+
+    path, built = str(tmp_path / "in"), []
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(path)
+
+    spark.range(3).write.parquet(path)
+    first = input_version(spark, [path])
+    assert materialize_once(spark, "t", first, build).count() == materialize_once(spark, "t", first, build).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(path)
+    second = input_version(spark, [path])
+    assert second != first and materialize_once(spark, "t", second, build).count() == 5 and len(built) == 2
+    drop_stored(spark)
+    assert materialize_once(spark, "t", second, build).count() == 5 and len(built) == 3
