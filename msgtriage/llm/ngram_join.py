@@ -149,9 +149,10 @@ def _postings(batches: Iterator[pa.RecordBatch], width: int, threshold: int, hea
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    seen: set[int] = set()
     for batch in batches:
         for _, sets in shingle_sets(batch, width):
-            sets = [s for s in sets if len(s)]
+            sets = [s for s in sets if len(s) and set_id(s) not in seen and not seen.add(set_id(s))]
             if not sets:
                 continue
             off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -329,7 +330,8 @@ def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, width: in
     wanted = used.select("doc_id").distinct()
     chosen = texts.alias("t").join(_bounded(wanted).alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
     sets = _arrow(chosen.select("text"), _full_sets, "set_id long, n long, tokens array<long>", width=width)
-    sets = materialize(sets.join(used.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "candidate-sets")
+    # repeated rows of a document may give its set again; a pair found twice is one link
+    sets = materialize(sets, "candidate-sets")
     one = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
@@ -357,13 +359,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     e = materialize(e, "cc-edges")
-    state = None
     while True:
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state or now[0] == 0:
+        # done when every edge leads to a root: no node has two smaller neighbours or is between two
+        more = e.groupBy("u").count().where("count > 1").select("u").union(e.join(e.select(F.col("u").alias("v")), "v", "left_semi").select("u"))
+        if not more.limit(1).count():
             break
-        state = now
-        e = materialize(star(materialize(star(e, True), "cc-large"), False), "cc-small")
+        e = materialize(star(star(e, True), False), "cc-round")
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
