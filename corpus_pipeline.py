@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgtriage.llm import decontaminate, langid, mixing, ngram_join, pii
-from msgtriage.llm.queries import TOKENIZERS, table
+from msgtriage.llm.queries import TOKENIZERS, reach_workers, table
 from msgtriage.session import materialize
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -31,6 +31,7 @@ MAX_COVERAGE = 0.5
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: reject ``und`` and scores below ``MIN_LANGUAGE_SCORE``."""
+    reach_workers(spark)
     model = langid.fit(docs, langid.vocabulary_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
     names = ("__lang", "__score")
     found = langid.predict(docs, model, names=names)
@@ -39,6 +40,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each component the smallest ``doc_id`` stays, once."""
+    reach_workers(spark)
     return ngram_join.keep_one_per_group(docs, width=5, threshold=80)
 
 

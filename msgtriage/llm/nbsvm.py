@@ -110,86 +110,95 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"label": batch.column("label").cast(pa.int32()), "x": pa.array([np.sort(u).astype(np.int32) for u in own], pa.list_(pa.int32()))})
 
 
+def sample(rows: DataFrame, *key: str, max_rows: int = MAX_ROWS) -> DataFrame:
+    """About ``max_rows`` of ``rows`` at most, chosen by a hash of the key columns."""
+    part = min(1.0, max_rows / max(rows.count(), 1))
+    return rows.where(F.pmod(F.xxhash64(*key, F.lit(23)), F.lit(1 << 30)) / float(1 << 30) < part)
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(block, labels, copies, indicators of each row) of packed blocks."""
+    for k, block in enumerate(batch.column("block").to_pylist()):
+        label, copies, sizes, flat = (batch.column(c)[k].values.to_numpy() for c in ("label", "copies", "sizes", "flat"))
+        yield block, label, copies, np.split(flat, np.cumsum(sizes)[:-1])
+
+
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many rows of each class hold each indicator."""
-    total = np.zeros((2, 1 << BITS))
     for batch in batches:
-        for y, x, n in zip(batch.column("label").to_pylist(), batch.column("x").to_pylist(), batch.column("copies").to_pylist()):
-            total[y, x] += n
-    y, at = np.nonzero(total)
-    yield pa.record_batch({"label": pa.array(y, pa.int32()), "at": pa.array(at, pa.int32()), "n": pa.array(total[y, at])})
+        for _, label, copies, rows in _unpacked(batch):
+            total = np.zeros((2, 1 << BITS))
+            for y, n, x in zip(label, copies, rows):
+                total[y, x] += n
+            y, at = np.nonzero(total)
+            yield pa.record_batch({"label": pa.array(y, pa.int32()), "at": pa.array(at, pa.int32()), "n": pa.array(total[y, at])})
 
 
-def _descend(table: pa.Table, ratio: np.ndarray, weight: np.ndarray, cost: np.ndarray, blocks: int) -> pa.Table:
-    """One round of a block: passes of dual coordinate descent over its rows.
+def _descend(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """One round of each block: passes of dual coordinate descent over its rows.
 
     ``weight`` is the shared primal vector, the bias its last entry. A block's own change
     counts ``blocks`` times in its gradients, so that the changes of all blocks may be
     added up. Returns the new dual variables and the block's change of the weights."""
-    w = weight.copy()
-    keys, alpha, copies = table["row"].to_numpy(), table["alpha"].to_numpy().copy(), table["copies"].to_numpy()
-    sign = table["label"].to_numpy() * 2.0 - 1.0
-    limit = cost[(sign > 0).astype(int)] * copies
-    rows = []
-    for x in table["x"].to_pylist():
-        x = np.array(x + [len(ratio) - 1], np.int64)
-        v = ratio[x]
-        size = np.sqrt((v[:-1] ** 2).sum())
-        v[:-1] /= size if size > 0 else 1.0
-        rows.append((x, v, float(v @ v)))
-    rng = np.random.RandomState(int(keys.min()) & 0x7FFFFFFF)
-    for _ in range(PASSES):
-        for i in rng.permutation(len(rows)):
-            x, v, q = rows[i]
-            new = min(max(alpha[i] - (sign[i] * (w[x] @ v) - 1.0) / (q * blocks), 0.0), limit[i])
-            if new != alpha[i]:
-                w[x] += (new - alpha[i]) * sign[i] * blocks * v
-                alpha[i] = new
-    change = (w - weight) / blocks
-    at = np.flatnonzero(change)
-    rest = pa.nulls(len(at), pa.int64())
-    return pa.table(
-        {
-            "row": pa.concat_arrays([pa.array(keys, pa.int64()), rest]),
-            "at": pa.concat_arrays([pa.nulls(len(keys), pa.int32()), pa.array(at, pa.int32())]),
-            "v": pa.array(np.concatenate([alpha, change[at]])),
-        }
-    )
+    ratio, weight, alphas, cost, blocks = shared.value
+    for batch in batches:
+        for block, label, copies, rows in _unpacked(batch):
+            w, alpha = weight.copy(), alphas.get(block, np.zeros(len(rows))).copy()
+            sign = label * 2.0 - 1.0
+            limit = cost[label] * copies
+            scaled = []
+            for x in rows:
+                x = np.append(x, len(ratio) - 1)
+                v = ratio[x]
+                size = np.sqrt((v[:-1] ** 2).sum())
+                v[:-1] /= size if size > 0 else 1.0
+                scaled.append((x, v, float(v @ v)))
+            rng = np.random.RandomState(block)
+            for _ in range(PASSES):
+                for i in rng.permutation(len(rows)):
+                    x, v, q = scaled[i]
+                    new = min(max(alpha[i] - (sign[i] * (w[x] @ v) - 1.0) / (q * blocks), 0.0), limit[i])
+                    if new != alpha[i]:
+                        w[x] += (new - alpha[i]) * sign[i] * blocks * v
+                        alpha[i] = new
+            change = (w - weight) / blocks
+            at = np.flatnonzero(change)
+            yield pa.record_batch(
+                {"block": pa.array([block], pa.int32()), "alpha": pa.array([alpha], pa.list_(pa.float64())), "at": pa.array([at], pa.list_(pa.int32())), "v": pa.array([change[at]], pa.list_(pa.float64()))}
+            )
 
 
 def fit(rows: DataFrame, max_rows: int = MAX_ROWS, rounds: int = ROUNDS, blocks: int = BLOCKS, blend: float = BLEND) -> Model:
-    """Learn from ``(text, label)`` rows with labels 0 and 1."""
+    """Learn from ``(text, label)`` rows with labels 0 and 1, about ``max_rows`` at most
+    (see :func:`sample`, which callers may apply to keys before they look up texts)."""
     spark = rows.sparkSession
-    rows = rows.select("text", "label").where("label in (0, 1)")
-    n = rows.count()
-    chance = F.pmod(F.xxhash64("text", F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(chance < min(1.0, max_rows / max(n, 1)))
-    data = chosen.mapInArrow(_rows, "label int, x array<int>").withColumn("row", F.xxhash64("x", "label"))
+    rows = sample(rows.select("text", "label").where("label in (0, 1)"), "text", max_rows=max_rows)
+    data = rows.mapInArrow(_rows, "label int, x array<int>").withColumn("row", F.xxhash64("x", "label"))
     data = data.groupBy("row").agg(F.first("label").alias("label"), F.first("x").alias("x"), F.count("*").alias("copies"))
-    data = materialize(data.withColumn("block", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(blocks)).cast("int")), "nbsvm-rows")
-    totals = {r["label"]: r["n"] for r in data.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
+    # a block is one stored row, so the rounds read it without a shuffle
+    data = data.groupBy(F.pmod(F.xxhash64("row", F.lit(5)), F.lit(blocks)).cast("int").alias("block"))
+    data = data.agg(F.array_sort(F.collect_list(F.struct("row", "label", "copies", "x"))).alias("r"))
+    data = data.select("block", F.expr("r.label").alias("label"), F.expr("r.copies").alias("copies"), F.expr("transform(r, s -> size(s.x))").alias("sizes"), F.flatten(F.expr("r.x")).alias("flat"))
+    data = materialize(data.repartition(blocks, "block"), "nbsvm-blocks")
+    totals = {r["label"]: r["n"] for r in data.select(F.explode(F.arrays_zip("label", "copies")).alias("z")).groupBy("z.label").agg(F.sum("z.copies").alias("n")).collect()}
     if len(totals) < 2:
         return Model(None, None, 0.0)
-    seen = data.select("label", "x", "copies").mapInArrow(_class_counts, "label int, at int, n double")
+    seen = data.mapInArrow(_class_counts, "label int, at int, n double")
     seen = seen.groupBy("label", "at").agg(F.sum("n").alias("n")).toArrow()  # 2 x 2^BITS rows at most
     counts = np.full((2, 1 << BITS), SMOOTH)
     counts[seen["label"].to_numpy(), seen["at"].to_numpy()] += seen["n"].to_numpy()
     p = counts / counts.sum(axis=1, keepdims=True)
     ratio = np.append(np.log(p[1] / p[0]), 1.0)  # the last one is the bias
     cost = np.array([COST * sum(totals.values()) / (2.0 * totals[y]) for y in (0, 1)])  # both classes weigh the same
-    weight = np.zeros(len(ratio))
-    state = data.select("row", F.lit(0.0).alias("alpha"))
+    weight, alphas = np.zeros(len(ratio)), {}
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((ratio, weight))
-
-        def descend(table):  # runs before the next round sets ``shared`` anew
-            return _descend(table, *shared.value, cost, blocks)
-
-        step = materialize(data.join(state, "row").groupBy("block").applyInArrow(descend, "row long, at int, v double"), "nbsvm-round")
-        change = step.where("at is not null").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        shared = spark.sparkContext.broadcast((ratio, weight, alphas, cost, blocks))
+        step = data.mapInArrow(partial(_descend, shared=shared), "block int, alpha array<double>, at array<int>, v array<double>")
         weight = weight.copy()
-        weight[change["at"].to_numpy()] += change["v"].to_numpy()
-        state = step.where("at is null").select("row", F.col("v").alias("alpha"))
+        for r in step.toArrow().to_batches():  # a row per block: duals of max_rows rows, 2^BITS changes a block at most
+            for k, block in enumerate(r.column("block").to_pylist()):
+                alphas = alphas | {block: r.column("alpha")[k].values.to_numpy()}
+                weight[r.column("at")[k].values.to_numpy()] += r.column("v")[k].values.to_numpy()
     w = weight[:-1]
     model = Model(ratio[:-1], blend * w + (1 - blend) * np.abs(w).mean(), float(weight[-1]))
     return _calibrated(data, model)
@@ -197,8 +206,8 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS, rounds: int = ROUNDS, blocks:
 
 def _margins(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        margin = [shared.value.margin(np.array(x, np.int64)) for x in batch.column("x").to_pylist()]
-        yield pa.record_batch({"label": batch.column("label"), "copies": batch.column("copies"), "margin": pa.array(margin, pa.float64())})
+        for _, label, copies, rows in _unpacked(batch):
+            yield pa.record_batch({"label": pa.array(label), "copies": pa.array(copies), "margin": pa.array([shared.value.margin(x) for x in rows], pa.float64())})
 
 
 def _calibrated(data: DataFrame, model: Model) -> Model:
@@ -206,7 +215,7 @@ def _calibrated(data: DataFrame, model: Model) -> Model:
     the same, in the middle of its gap; set the slope by the classes' distance.
     One number per fitted row reaches the driver, so ``max_rows`` bounds it."""
     shared = data.sparkSession.sparkContext.broadcast(model)
-    rows = data.select("label", "copies", "x").mapInArrow(partial(_margins, shared=shared), "label int, copies long, margin double").toArrow()
+    rows = data.mapInArrow(partial(_margins, shared=shared), "label int, copies long, margin double").toArrow()
     y, m = rows["label"].to_numpy(), rows["margin"].to_numpy()
     n = rows["copies"].to_numpy().astype(float)
     n /= np.where(y == 1, n[y == 1].sum(), n[y == 0].sum())

@@ -3,7 +3,9 @@ tables, call the operator with production parameters and keep the contract's col
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,18 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import the package from the folder the driver has it in, where they
+    can see that folder (a local run, a shared installation); elsewhere the package
+    is shipped with ``--py-files`` as usual."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,8 +79,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rest = F.crc32(F.col("doc_id").cast("string")) % 3
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = nbsvm.fit(docs.where(rest != 1).join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(rest != 1)
+    chosen = F.broadcast(nbsvm.sample(labels, "doc_id"))  # MAX_ROWS ids or so
+    model = nbsvm.fit(docs.join(chosen, "doc_id"))
     scored = nbsvm.score(docs.select("doc_id", "text", F.coalesce(rest == 1, F.lit(False)).alias("held_out")), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
