@@ -89,24 +89,28 @@ def vocabulary(
     return ordered_index(kept, "term", "term_index")
 
 
-def ordered_index(df: DataFrame, order: str, out: str, prefix_len: int = 3) -> DataFrame:
-    """Dense 0-based index in ``order`` (a string column) without a global window.
-
-    The first ``prefix_len`` characters form an order-preserving bucket: every
-    string in a smaller bucket sorts before every string in a larger one.
-    Per-bucket counts (one row per distinct prefix, a bounded table) give
-    prefix offsets; ``row_number`` then runs inside each bucket only.
+def ordered_index(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Dense 0-based index in ``order`` (a string column of distinct values) without a
+    global window.
+
+    The rows are range-partitioned on ``order`` and stored with their range's number;
+    counts per range (a row per partition) give offsets, and ``row_number`` runs inside
+    each range only. Ranges are cut by Spark's sample of the values, so common
+    prefixes do not make a range large.
     """
-    bucket = F.substring(F.col(order), 1, prefix_len)
-    keyed = df.withColumn("_pb", bucket)
-    counts = keyed.groupBy("_pb").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pb", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_pb").orderBy(order)
+    from msgtriage.session import materialize
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ordered-index")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_range").orderBy(order)
     return (
-        keyed.join(F.broadcast(offsets), "_pb")
+        ranged.join(F.broadcast(offsets), "_range")
         .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("int"))
-        .drop("_pb", "_off")
+        .drop("_range", "_off")
     )
 
 
@@ -208,24 +212,29 @@ def tfidf_stages(
     min_df: float = 5.0,
     max_df: float = 0.98,
     norm_p: float | None = 2.0,
+    sublinear: bool = False,
 ):
-    """J1-J4 as ML stages: CountVectorizer -> IDF -> Normalizer.
+    """J1-J4 as ML stages: counts -> (sublinear) TF -> smooth IDF + 1 -> norm.
 
-    MLlib's IDF is ``ln((n+1)/(df+1))`` (no ``+1``) and there is no sublinear
-    TF stage; the relational ``tfidf`` above is the exact form.
+    With ``sublinear`` the weights of the relational ``tfidf`` above, fitted and
+    saveable; Spark ML has no sparse form of that step, so the vectors become dense.
+    Without it they stay sparse.
     """
-    from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
+    from pyspark.ml.feature import CountVectorizer, Normalizer
+
+    from msgtriage.operators.transformers import SmoothIDF, SublinearTF
 
     stages = [
         CountVectorizer(
-            inputCol=input_col, outputCol=f"{output_col}_tf", vocabSize=vocab_size,
+            inputCol=input_col, outputCol=f"{output_col}_counts", vocabSize=vocab_size,
             minDF=min_df, maxDF=max_df,
-        ),
-        IDF(inputCol=f"{output_col}_tf", outputCol=f"{output_col}_idf"),
+        )
     ]
-    if norm_p is None:
-        stages[-1].setOutputCol(output_col)
-    else:
+    if sublinear:
+        stages.append(SublinearTF(inputCol=f"{output_col}_counts", outputCol=f"{output_col}_log"))
+    tf = f"{output_col}_log" if sublinear else f"{output_col}_counts"
+    stages.append(SmoothIDF(inputCol=tf, outputCol=output_col if norm_p is None else f"{output_col}_idf"))
+    if norm_p is not None:
         stages.append(Normalizer(inputCol=f"{output_col}_idf", outputCol=output_col, p=norm_p))
     return stages
 

@@ -10,6 +10,7 @@ predicting into ``pred_<label>``), saved and loaded with the label list (A8).
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,7 +24,7 @@ from msgtriage.functions.text import display_name
 from msgtriage.operators import features as feat
 from msgtriage.operators.metrics import multilabel_scores
 from msgtriage.operators.sampling import assign_folds
-from msgtriage.operators.transformers import KeywordSearch, TextTokenizer
+from msgtriage.operators.transformers import KeywordSearch, SuffixLemma, TextTokenizer
 
 # --------------------------------------------------------------------------
 # Estimators (K2-K8)
@@ -90,20 +91,32 @@ def make_classifier(
 # --------------------------------------------------------------------------
 
 
+UNCAPPED = 1 << 18  # Spark's own largest default; document-frequency bounds keep vocabularies below it
+
+
 def featurizer(
     kind: str = "tfidf", text_col: str = "message", variant: str = "train", **p
 ) -> Pipeline:
     """Feature families, ending in one ``features`` vector.
 
-    ``tfidf``: tokens -> counts (2500, min_df 5, max_df .98) -> IDF -> L2.
+    ``tfidf``: tokens -> lemmas -> counts (2500, min_df 5, max_df .98) -> IDF + 1 -> L2.
+    ``tfidf_sublinear``: the same with sublinear TF, the reference's exact weights (dense).
+    ``tfidf_l1``: tokens (base stop list) -> counts (min_df .01, max_df .95) -> IDF -> L1.
     ``hashed_l1``: tokens -> HashingTF -> IDF -> L1.
     ``union``: TF-IDF + standardised Word2Vec mean vectors + keyword flags.
     """
     tok = TextTokenizer(inputCol=text_col, outputCol="tokens", variant=variant)
-    if kind == "tfidf":
+    if kind in ("tfidf", "tfidf_sublinear"):
+        stages = feat.tfidf_stages(
+            "lemmas", "features", int(p.get("vocab_size", 2500)), float(p.get("min_df", 5.0)),
+            float(p.get("max_df", 0.98)), 2.0, kind == "tfidf_sublinear",
+        )
+        return Pipeline(stages=[tok, SuffixLemma(inputCol="tokens", outputCol="lemmas"), *stages])
+    if kind == "tfidf_l1":
+        tok = TextTokenizer(inputCol=text_col, outputCol="tokens", variant="base")
         stages = feat.tfidf_stages(
-            "tokens", "features", int(p.get("vocab_size", 2500)), float(p.get("min_df", 5.0)),
-            float(p.get("max_df", 0.98)), 2.0,
+            "tokens", "features", int(p.get("vocab_size", UNCAPPED)), float(p.get("min_df", 0.01)),
+            float(p.get("max_df", 0.95)), 1.0,
         )
         return Pipeline(stages=[tok, *stages])
     if kind == "hashed_l1":
@@ -116,7 +129,7 @@ def featurizer(
         ])
     if kind == "union":
         stages = feat.tfidf_stages(
-            "tokens", "tfidf", int(p.get("vocab_size", 2500)), float(p.get("min_df", 5.0)),
+            "tokens", "tfidf", int(p.get("vocab_size", UNCAPPED)), float(p.get("min_df", 5.0)),
             float(p.get("max_df", 0.95)), 2.0,
         )
         w2v = feat.word2vec_stage(
@@ -142,14 +155,11 @@ ROWS_PER_PARTITION = 20_000
 
 
 def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
-    """Fewer, fuller partitions for the iterative fits: each optimizer
-    iteration is a job over every partition, so tiny partitions cost more in
-    task overhead than they save. Never increases the partition count."""
-    import math
-
-    target = max(1, math.ceil(n_rows / rows_per_partition))
-    current = df.rdd.getNumPartitions()
-    return df.coalesce(target) if target < current else df
+    """Partitions of about ``rows_per_partition`` rows for the iterative fits: each
+    optimizer iteration is a job over every partition, so tiny partitions cost more in
+    task overhead than they save. The rows move after featurising, which keeps the
+    parallelism of its input."""
+    return df.repartition(max(1, math.ceil(n_rows / rows_per_partition)))
 
 
 def balanced_weight_columns(feats: DataFrame, labels: Sequence[str]) -> dict:

@@ -7,7 +7,7 @@ can sit inside a saved ``PipelineModel``; the work is a Column expression.
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -78,6 +78,52 @@ class KeywordSearch(_ColumnTransformer):
         return array_to_vector(F.transform(flags, lambda x: x.cast("double")))
 
 
+class SuffixLemma(_ColumnTransformer):
+    """I7 as a stage: tokens of more than three letters lose a final ``s`` (the rule of the
+    fixture lexicon, see ``lexicon.suffix_lemma_lexicon``)."""
+
+    @keyword_only
+    def __init__(self, inputCol: str = "tokens", outputCol: str = "lemmas"):
+        super(_ColumnTransformer, self).__init__()
+        self._set(**self._input_kwargs)
+
+    def expression(self, col):
+        return F.transform(col, lambda t: F.when((F.length(t) > 3) & t.endswith("s"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t))
+
+
+class SublinearTF(_ColumnTransformer):
+    """J3 as a stage: counts ``c`` become ``1 + ln(c)``, zeros stay."""
+
+    @keyword_only
+    def __init__(self, inputCol: str = "counts", outputCol: str = "tf"):
+        super(_ColumnTransformer, self).__init__()
+        self._set(**self._input_kwargs)
+
+    def expression(self, col):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+
+        return array_to_vector(F.transform(vector_to_array(col), lambda c: F.when(c > 0, 1.0 + F.log(c)).otherwise(F.lit(0.0))))
+
+
+class SmoothIDF(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """J2 as a stage: multiply by ``ln((1 + n) / (1 + df)) + 1``.
+
+    Spark's IDF lacks the ``+ 1``; the fitted weights plus one make an
+    ``ElementwiseProduct``, which saves and loads as any Spark ML stage."""
+
+    @keyword_only
+    def __init__(self, inputCol: str = "tf", outputCol: str = "tfidf"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame):
+        from pyspark.ml.feature import IDF, ElementwiseProduct
+        from pyspark.ml.linalg import Vectors
+
+        io = {"inputCol": self.getInputCol(), "outputCol": self.getOutputCol()}
+        return ElementwiseProduct(scalingVec=Vectors.dense(IDF(**io).fit(df).idf.toArray() + 1.0), **io)
+
+
 class Dense(_ColumnTransformer):
     """J12 as a stage: vector -> dense vector."""
 

@@ -40,6 +40,52 @@ def q_multilabel_predictions(spark, sf_dir):
     return models.predict_long(loaded, test, names, "id")
 
 
+FITTED_SQL = """SELECT doc_id AS id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
+           FROM (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * (ln(CAST(1 + nd.n AS DOUBLE) / (1 + v.df)) + 1) AS w
+                 FROM tf JOIN v ON tf.term = v.term, nd) x"""
+
+
+@register(
+    "fitted_tfidf",
+    ("J1", "J2", "J3", "J4", "I7", "U2", "A8"),
+    with_fixtures(
+        FITTED_SQL,
+        ctes=(
+            ("toks", f"SELECT doc_id, {tokens_sql('text', 'train')} AS t FROM documents"),
+            ("lem", """SELECT doc_id, CASE WHEN length(x) > 3 AND suffix(x, 's') THEN left(x, length(x) - 1) ELSE x END AS term
+                       FROM (SELECT doc_id, unnest(t) AS x FROM toks) u"""),
+            ("tf", "SELECT doc_id, term, count(*) AS tf FROM lem GROUP BY ALL"),
+            ("nd", "SELECT count(*) AS n FROM documents"),
+            ("v", "SELECT term, count(*) AS df FROM tf, nd GROUP BY term, n HAVING count(*) >= 5 AND count(*) <= 0.98 * n"),
+        ),
+    ),
+)
+def q_fitted_tfidf(spark, sf_dir):
+    """The canonical training features as fitted, saved and loaded, one row per non-zero term."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("message"))
+    path = scratch_path(spark, "fitted-tfidf")
+    models.featurizer("tfidf_sublinear", "message", vocab_size=models.UNCAPPED).fit(docs).save(path)
+    model = PipelineModel.load(path)
+    terms = next(s for s in model.stages if hasattr(s, "vocabulary")).vocabulary
+    names = F.broadcast(spark.createDataFrame(list(enumerate(terms)), "pos INT, term STRING"))  # at most UNCAPPED rows
+    weights = model.transform(docs).select("id", F.posexplode(vector_to_array("features")).alias("pos", "w")).where("w != 0")
+    return weights.join(names, "pos").select("id", "term", r6("w").alias("weight"))
+
+
+@register("forest_l1_predictions", ("K3", "J2", "J4"))
+def q_forest_l1(spark, sf_dir):
+    """Forest on L1-normalised TF-IDF over the base stop list."""
+    train, test, labels = _split(spark, sf_dir)
+    model, _ = models.fit_multilabel(
+        train, labels, "tfidf_l1", "forest",
+        clf_params={"num_trees": 40, "max_depth": 8, "max_features": "0.8", "max_samples": 0.8},
+    )
+    return models.predict_long(model, test, labels, "id")
+
+
 @register("holdout_report", ("F9", "F10", "F11", "K1"))
 def q_holdout_report(spark, sf_dir):
     train, test, labels = _split(spark, sf_dir)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from msgtriage.operators.ingest import dedupe_first
+from msgtriage.operators.lexicon import measured_size
 
 
 LANDING_FILE_BYTES = 128 * 1024 * 1024
@@ -29,13 +30,12 @@ def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = N
     """Write ``df`` into a landing folder for a stream, in one job.
 
     ``n_files`` is the least number of files; larger inputs get one per
-    ``LANDING_FILE_BYTES`` of their estimated size. With ``order`` (event time) the
+    ``LANDING_FILE_BYTES`` of their measured size. With ``order`` (event time) the
     rows are range-partitioned on that column (NULL times first, no row is left out) and the
     files' modification times are set in that order, so they arrive in time order as a
     real feed would (the file source picks files up by modification time).
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n_files = max(n_files, min(-(-size // LANDING_FILE_BYTES), 100_000))
+    n_files = max(n_files, -(-measured_size(df)[1] // LANDING_FILE_BYTES))
     if order is None:
         df.repartition(n_files).write.mode("overwrite").parquet(path)
         return

@@ -6,7 +6,7 @@ from msgtriage.operators import features, lexicon
 def test_ordered_index_matches_global_sort(spark):
     words = ["apple", "ap", "b", "banana", "zeta", "a", "apricot", "appletree", "", "zz", "zeta2"]
     df = spark.createDataFrame([(w,) for w in words], "term string")
-    got = {r.term: r.idx for r in features.ordered_index(df, "term", "idx", prefix_len=2).collect()}
+    got = {r.term: r.idx for r in features.ordered_index(df, "term", "idx").collect()}
     assert got == {w: i for i, w in enumerate(sorted(words))}
 
 
