@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import labels as L
 from msgtriage.functions import text as T
-from msgtriage.schema import LABEL_KEYWORDS, stop_words
+from msgtriage.schema import ENGLISH_STOP_WORDS, LABEL_KEYWORDS, stop_words
 
 
 def one(spark, col_expr, value, dtype="string"):
