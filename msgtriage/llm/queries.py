@@ -137,14 +137,14 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 ORACLE_SQL["op4_decontamination"] = rf"""
 WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-win AS (
+win AS MATERIALIZED (
   SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS g
   FROM (SELECT item, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0) x),
-d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 grams AS (
   SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
   FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM win) s WHERE len(w) >= k) x),
-hits AS (SELECT doc_id, p, grams.k AS k, item FROM grams JOIN win ON grams.k = win.k AND grams.g = win.g),
+hits AS MATERIALIZED (SELECT doc_id, p, grams.k AS k, item FROM grams JOIN win ON grams.k = win.k AND grams.g = win.g),
 n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) x GROUP BY doc_id),
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) x GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -154,12 +154,12 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 
 ORACLE_SQL["op8_ngram_join"] = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (
+s AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' '))) END AS s FROM w),
-u AS (SELECT doc_id, unnest(s) AS g FROM s),
+u AS MATERIALIZED (SELECT doc_id, hash(unnest(s)) AS g FROM s),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-l AS (
+l AS MATERIALIZED (
   SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * i >= 80 * (len(a.s) + len(b.s) - i)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT doc_id AS root, doc_id AS d FROM documents UNION SELECT root, e.y FROM r JOIN e ON r.d = e.x)
