@@ -43,7 +43,7 @@ UNKNOWN = "und"
 MARK = "▁"
 MAX_WORD = 24
 MAX_PIECE = 12
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 MAX_ROWS = 3000
 ROUNDS = 3
 FLOOR = 1e-8  # probability of a letter outside the vocabulary, and of an unseen piece
