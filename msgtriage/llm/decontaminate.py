@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgtriage.llm.arrays import alnum_words, doc_slices, find_words, shingle_hashes, word_hashes
+from msgtriage.session import materialize
 
 BLOCK_WORDS = 500_000
 GRAM = 3
 TABLE_BITS = 22
+SPANS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
 
 class SuffixAutomaton:
@@ -298,10 +300,73 @@ def _without(text: str, spans: list[tuple[int, int]], first: np.ndarray, last: n
     return b"".join([*parts, raw[at:]]).decode()
 
 
+def _block_spans(batches: Iterator[pa.RecordBatch], shared, row: str) -> Iterator[pa.RecordBatch]:
+    auto: SuffixAutomaton = shared.value
+    table = alnum_words()
+    for batch in batches:
+        for lo, _, data, starts, ends in doc_slices(batch.column("text")):
+            h, _, _, off = find_words(data, starts, ends, table)
+            found = [(lo + d, merge_spans(spans)) for d, (spans, _, _) in enumerate(_document_hits(auto, h, off)) if spans]
+            rows = batch.column(row).take(pa.array([d for d, _ in found], pa.int64()))
+            spans = pa.array([[{"first": a, "end": b} for a, b in s] for _, s in found], SPANS)
+            yield pa.RecordBatch.from_arrays([rows, spans], [row, "spans"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch], spans: str, max_coverage: float | None) -> Iterator[pa.RecordBatch]:
+    table = alnum_words()
+    for batch in batches:
+        texts, keep = batch.column("text").to_pylist(), np.ones(len(batch), bool)
+        hit = batch.column(spans).to_pylist()
+        for lo, _, data, starts, ends in doc_slices(batch.column("text")):
+            _, first, last, off = find_words(data, starts, ends, table)
+            for d in range(len(starts)):
+                own = merge_spans([(x["first"], x["end"]) for x in hit[lo + d]])
+                if max_coverage is not None:
+                    keep[lo + d] = sum(b - a for a, b in own) < max_coverage * (off[d + 1] - off[d])
+                texts[lo + d] = _without(texts[lo + d], own, first[off[d] :] - starts[d], last[off[d] :] - starts[d])
+        out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
+        yield out.drop_columns([spans]).filter(pa.array(keep))
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _clean_by_blocks(docs: DataFrame, shared: list, max_coverage: float) -> DataFrame:
+    """:func:`decontaminate` with several automata: in each round all of them see the
+    same texts, their spans are merged by row, and what was cut is scanned again.
+
+    Rows and spans are stored between the steps, so a task holds one automaton."""
+    row, spans = _unused("__row", docs.columns), _unused("__spans", docs.columns)
+    work = materialize(docs.select(F.monotonically_increasing_id().alias(row), "*"), "decontaminate")
+    out, coverage = None, max_coverage
+    while True:
+        hit = None
+        for auto in shared:
+            own = work.select(row, "text").mapInArrow(partial(_block_spans, shared=auto, row=row), f"`{row}` long, spans array<struct<first:int,end:int>>")
+            own = materialize(own, "decontaminate-spans")
+            hit = own if hit is None else hit.unionAll(own)
+        hit = hit.groupBy(row).agg(F.flatten(F.collect_list("spans")).alias(spans))
+        clean = work.join(hit, row, "left_anti")
+        out = clean if out is None else out.unionAll(clean)
+        cut = work.join(hit, row).mapInArrow(partial(_cut, spans=spans, max_coverage=coverage), work.schema)
+        work, coverage = materialize(cut, "decontaminate-cut"), None
+        if work.isEmpty():
+            return out.drop(row)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Documents with hit spans cut out of ``text``; a document of whose words
-    ``max_coverage`` or more are hit is removed. Other columns and untouched texts stay."""
-    out = docs
-    for auto in automata(benchmark, window, block_words):
-        out = out.mapInArrow(partial(_clean, shared=docs.sparkSession.sparkContext.broadcast(auto), max_coverage=max_coverage), docs.schema)
-    return out
+    ``max_coverage`` or more are hit is removed. Other columns and untouched texts stay.
+
+    The result does not depend on ``block_words``: coverage is that of all items in
+    the given text, and texts are cut until no item has a window in them."""
+    shared = [docs.sparkSession.sparkContext.broadcast(auto) for auto in automata(benchmark, window, block_words)]
+    if not shared:
+        return docs
+    if len(shared) > 1:
+        return _clean_by_blocks(docs, shared, max_coverage)
+    return docs.mapInArrow(partial(_clean, shared=shared[0], max_coverage=max_coverage), docs.schema)

@@ -104,6 +104,22 @@ def test_decontamination_equals_brute_force(spark, block_words):
     assert sorted(got, key=order) == sorted(decontamination(docs, items), key=order)
 
 
+def test_cleaning_does_not_depend_on_blocks(spark):
+    docs, items = contaminated(random.Random(10))
+    first, second = ([f"{c}{k}" for k in range(20)] for c in "gh")
+    items += [("90", " ".join(first)), ("91", " ".join(second))]  # ids far apart: blocks of their own
+    rest = [f"r{k}" for k in range(26)]
+    docs += [(900, " ".join([*first, *rest, *second])), (901, " ".join([*first[:9], *second, *first[9:18], *rest, *rest]))]
+    d = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, spans int").repartition(3)
+    b = spark.createDataFrame([(None if i is None else str(i), t) for i, t in items], "item_id string, text string")
+    for most in (0.5, 1.1):
+        whole, blocks = (decontaminate.decontaminate(d, b, max_coverage=most, block_words=n) for n in (500_000, 30))
+        assert blocks.columns == d.columns
+        assert sorted(map(tuple, blocks.collect()), key=lambda r: r[2]) == sorted(map(tuple, whole.collect()), key=lambda r: r[2])
+    left = {r.doc_id: r.text for r in blocks.collect()}  # every text stays at 1.1
+    assert "h0" not in left[900] and left[901].split() == [*rest, *rest]
+
+
 def test_cut_texts_hold_no_window(spark):
     docs, items = contaminated(random.Random(9))
     d = spark.createDataFrame(docs, "doc_id long, text string")
