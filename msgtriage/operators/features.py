@@ -205,10 +205,13 @@ def unigrams_and_bigrams(tokens: Column | str) -> Column:
 # --------------------------------------------------------------------------
 
 
+ML_TERMS = 1 << 18  # longest vocabulary of an ML stage that is not told its size
+
+
 def tfidf_stages(
     input_col: str = "tokens",
     output_col: str = "tfidf",
-    vocab_size: int = 2500,
+    vocab_size: int | None = 2500,
     min_df: float = 5.0,
     max_df: float = 0.98,
     norm_p: float | None = 2.0,
@@ -218,16 +221,18 @@ def tfidf_stages(
 
     With ``sublinear`` the weights of the relational ``tfidf`` above, fitted and
     saveable; Spark ML has no sparse form of that step, so the vectors become dense.
-    Without it they stay sparse.
+    Without it they stay sparse. ``vocab_size`` None keeps all terms, and fitting raises an
+    error where they are more than ``ML_TERMS``; the relational form has no such bound.
     """
     from pyspark.ml.feature import CountVectorizer, Normalizer
 
-    from msgtriage.operators.transformers import SmoothIDF, SublinearTF
+    from msgtriage.operators.transformers import CountAllTerms, SmoothIDF, SublinearTF
 
+    counts = CountAllTerms if vocab_size is None else CountVectorizer
     stages = [
-        CountVectorizer(
-            inputCol=input_col, outputCol=f"{output_col}_counts", vocabSize=vocab_size,
-            minDF=min_df, maxDF=max_df,
+        counts(
+            inputCol=input_col, outputCol=f"{output_col}_counts",
+            vocabSize=ML_TERMS if vocab_size is None else vocab_size, minDF=min_df, maxDF=max_df,
         )
     ]
     if sublinear:

@@ -91,9 +91,6 @@ def make_classifier(
 # --------------------------------------------------------------------------
 
 
-UNCAPPED = 1 << 18  # Spark's own largest default; document-frequency bounds keep vocabularies below it
-
-
 def featurizer(
     kind: str = "tfidf", text_col: str = "message", variant: str = "train", **p
 ) -> Pipeline:
@@ -101,6 +98,8 @@ def featurizer(
 
     ``tfidf``: tokens -> lemmas -> counts (2500, min_df 5, max_df .98) -> IDF + 1 -> L2.
     ``tfidf_sublinear``: the same with sublinear TF, the reference's exact weights (dense).
+    Kinds without a vocabulary size keep every term within the bounds and raise an error
+    where these are more than ``features.ML_TERMS``.
     ``tfidf_l1``: tokens (base stop list) -> counts (min_df .01, max_df .95) -> IDF -> L1.
     ``hashed_l1``: tokens -> HashingTF -> IDF -> L1.
     ``union``: TF-IDF + standardised Word2Vec mean vectors + keyword flags.
@@ -115,7 +114,7 @@ def featurizer(
     if kind == "tfidf_l1":
         tok = TextTokenizer(inputCol=text_col, outputCol="tokens", variant="base")
         stages = feat.tfidf_stages(
-            "tokens", "features", int(p.get("vocab_size", UNCAPPED)), float(p.get("min_df", 0.01)),
+            "tokens", "features", p.get("vocab_size"), float(p.get("min_df", 0.01)),
             float(p.get("max_df", 0.95)), 1.0,
         )
         return Pipeline(stages=[tok, *stages])
@@ -129,7 +128,7 @@ def featurizer(
         ])
     if kind == "union":
         stages = feat.tfidf_stages(
-            "tokens", "tfidf", int(p.get("vocab_size", UNCAPPED)), float(p.get("min_df", 5.0)),
+            "tokens", "tfidf", p.get("vocab_size"), float(p.get("min_df", 5.0)),
             float(p.get("max_df", 0.95)), 2.0,
         )
         w2v = feat.word2vec_stage(

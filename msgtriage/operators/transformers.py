@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Transformer
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -105,6 +106,18 @@ class SublinearTF(_ColumnTransformer):
         return array_to_vector(F.transform(vector_to_array(col), lambda c: F.when(c > 0, 1.0 + F.log(c)).otherwise(F.lit(0.0))))
 
 
+class CountAllTerms(CountVectorizer):
+    """J1 as a stage that keeps every term within the document-frequency bounds: more than
+    ``vocabSize`` of them are an error, none is dropped."""
+
+    def _fit(self, df: DataFrame):
+        most = self.getVocabSize()
+        model = super(CountAllTerms, self.copy({self.vocabSize: most + 1}))._fit(df)
+        if len(model.vocabulary) > most:
+            raise ValueError(f"more than {most} terms for an ML vector; raise min_df or set vocab_size")
+        return model
+
+
 class SmoothIDF(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """J2 as a stage: multiply by ``ln((1 + n) / (1 + df)) + 1``.
 

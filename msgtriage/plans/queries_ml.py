@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from msgtriage.operators import metrics, models, sampling
+from msgtriage.operators import features, metrics, models, sampling
 from msgtriage.plans import etl
 from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import tokens_sql
-from msgtriage.session import scratch_path
+from msgtriage.session import ensure_parallelism, materialize, scratch_path
 from msgtriage.sources.models import load_model, save_model
 
 SEED = 42
@@ -61,18 +61,18 @@ FITTED_SQL = """SELECT doc_id AS id, term, round(w / sqrt(sum(w * w) OVER (PARTI
     ),
 )
 def q_fitted_tfidf(spark, sf_dir):
-    """The canonical training features as fitted, saved and loaded, one row per non-zero term."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.functions import vector_to_array
+    """The canonical training features as fitted, saved and loaded, one row per non-zero term.
+
+    The vocabulary has no size limit, so it is a table and not an ML stage's vector."""
+    from msgtriage.operators.transformers import SuffixLemma, TextTokenizer
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("message"))
-    path = scratch_path(spark, "fitted-tfidf")
-    models.featurizer("tfidf_sublinear", "message", vocab_size=models.UNCAPPED).fit(docs).save(path)
-    model = PipelineModel.load(path)
-    terms = next(s for s in model.stages if hasattr(s, "vocabulary")).vocabulary
-    names = F.broadcast(spark.createDataFrame(list(enumerate(terms)), "pos INT, term STRING"))  # at most UNCAPPED rows
-    weights = model.transform(docs).select("id", F.posexplode(vector_to_array("features")).alias("pos", "w")).where("w != 0")
-    return weights.join(names, "pos").select("id", "term", r6("w").alias("weight"))
+    tokens = TextTokenizer(inputCol="message", outputCol="tokens").transform(ensure_parallelism(docs))
+    lemmas = SuffixLemma(inputCol="tokens", outputCol="lemmas").transform(tokens).select("id", "lemmas")
+    tf = materialize(features.term_frequencies(lemmas, "id", "lemmas"), "fitted-tf")
+    n_docs = features.n_docs_of(docs)
+    vocab = materialize(features.vocabulary(tf, n_docs, vocab_size=None, min_df=5, max_df=0.98), "fitted-tfidf")
+    return features.tfidf(tf, vocab, n_docs, "id").select("id", "term", r6("weight").alias("weight"))
 
 
 @register("forest_l1_predictions", ("K3", "J2", "J4"))

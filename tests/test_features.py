@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
-from msgtriage.operators import features, lexicon
+from msgtriage.operators import features, lexicon, models
+from msgtriage.plans.catalog import REGISTRY
 
 
 def test_ordered_index_matches_global_sort(spark):
@@ -29,6 +31,25 @@ def test_tfidf_rows_have_unit_norm(spark):
     assert all(abs(r.n - 1.0) < 1e-12 for r in norms)
 
 
+def test_more_terms_than_an_ml_vector_holds_are_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([("alpha beta gamma",)] * 5 + [("delta beta",)] * 5 + [("alpha",)], "message string")
+    assert sum(len(s.vocabulary) for s in models.featurizer("union").fit(df).stages if hasattr(s, "vocabulary")) == 4
+    monkeypatch.setattr(features, "ML_TERMS", 3)
+    with pytest.raises(ValueError, match="more than 3 terms"):
+        models.featurizer("union").fit(df)
+
+
+def test_fitted_tfidf_has_no_vocabulary_limit(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(features, "ML_TERMS", 3, raising=False)
+    monkeypatch.setattr(models, "UNCAPPED", 3, raising=False)  # the former limit
+    rows = [(k, "apple banana cherries lemon") for k in range(6)] + [(k, "water apple") for k in range(6, 12)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = REGISTRY["fitted_tfidf"].fn(spark, str(tmp_path)).collect()
+    assert {r.term for r in got if r.id == 0} == {"banana", "cherrie", "lemon"}  # apple: in all documents
+    assert {r.term: r.weight for r in got if r.id == 6} == {"water": 1.0}
+    assert len(got) == 24
+
+
 def test_sized_side_bounds(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("w"))
     n, b = lexicon.measured_size(df)
