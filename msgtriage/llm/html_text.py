@@ -9,10 +9,10 @@ a line.
 
 The ratio of text outside links to tags is computed per line, smoothed along the page with a
 Gaussian, and lines above a threshold (the ratios' standard deviation, CETR's choice, or
-the border of two clusters if that is lower) form the content regions. The smallest
-container that holds nearly all text of the regions, an ``article`` or ``main`` before
-any other, is the article; all its lines are returned, so short paragraphs between long
-ones stay.
+the border of two clusters if that is lower) form the content regions. All ``article``
+elements with such lines, or else ``main``, are the article if they hold most text of the
+regions; otherwise it is the smallest container that holds the regions whole. All its
+lines are returned, so short paragraphs between long ones stay.
 
 Defined results: a null or empty page, and one without content, has the empty text; unclosed
 and stray tags are tolerated (a block element ends at the next closing tag of a container
@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.5
-NEARLY_ALL = 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
@@ -213,24 +212,26 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     if not lines:
         return ""
     chosen = content_mask(smoothed_ratios(lines, sigma))
-    held: dict[int, int] = {}
-    for line, on in zip(lines, chosen):
-        if on:
-            for n in line.path:
-                held[n] = held.get(n, 0) + len(line.text)
-    inside = _container(held, kinds, sum(len(x.text) for x, on in zip(lines, chosen) if on))
-    return "\n\n".join(x.text for x in lines if inside is None or inside in x.path)
+    # lines of links that smoothing lifted beside a text do not widen the article
+    inside = _containers([x for x, on in zip(lines, chosen) if on and 2 * x.linked < len(x.text)], kinds)
+    return "\n\n".join(x.text for x in lines if not inside or not inside.isdisjoint(x.path))
 
 
-def _container(held: dict[int, int], kinds: list[str], total: int) -> int | None:
-    """The article among containers by the region text they hold; None is the page."""
+def _containers(region: list[Line], kinds: list[str]) -> set[int]:
+    """The containers that make up the article, by the lines of the content regions: every
+    ``article`` (else ``main``) with such lines if these hold most of their text, else
+    the smallest container around all of them; empty is the page."""
     for kind in ("article", "main"):
-        own = [n for n in held if kinds[n] == kind]
-        if own:  # of nested ones the innermost that holds nearly as much
-            most = max(held[n] for n in own)
-            return max(n for n in own if held[n] >= NEARLY_ALL * most)
-    deep = [n for n, size in held.items() if size >= NEARLY_ALL * total]
-    return max(deep, default=None)
+        own = [(x, n) for x in region if (n := next((n for n in x.path if kinds[n] == kind), None)) is not None]
+        if sum(len(x.text) for x, _ in own) > sum(len(x.text) for x in region) / 2:
+            return {_innermost([x.path for x, m in own if m == n], kinds, kind) for n in {n for _, n in own}}
+    return {n for n in [_innermost([x.path for x in region], kinds)] if n >= 0}
+
+
+def _innermost(paths: list[tuple[int, ...]], kinds: list[str], kind: str | None = None) -> int:
+    """The deepest container (of a kind) that all paths have in common; -1 is none."""
+    common = set(paths[0]).intersection(*paths[1:]) if paths else set()
+    return max((n for n in common if kind in (None, kinds[n])), default=-1)
 
 
 def _extract(batches: Iterator[pa.RecordBatch], html: str, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:

@@ -143,6 +143,24 @@ def test_article_is_found(frame):
     assert html_text.main_text(PAGE % frame) == TEXT
 
 
+def prose_blocks(name, n):
+    return "".join(f"<p>{name} paragraph {k} of a page whose text goes on for quite a while, as texts of articles do.</p>" for k in range(n))
+
+
+def test_whole_article_without_article_element():
+    page = "<body><div class=top><a href=/>Home</a> <a href=/x>News</a></div><div class=content><h1>The title of it</h1><div class=body>%s</div></div></body>"
+    assert html_text.main_text(page % prose_blocks("a", 6)).startswith("The title of it\n\na paragraph 0")
+    page = "<body><div><div><a href=/>Home</a></div><section>%s</section><section>%s</section></div></body>" % (prose_blocks("a", 11), prose_blocks("b", 2))
+    assert html_text.main_text(page).count("paragraph") == 13
+
+
+def test_every_sibling_article_stays():
+    articles = [prose_blocks("a", 6), prose_blocks("b", 6), prose_blocks("c", 2)]
+    page = "<body><main><p><a href=/>Home</a></p>%s<article class=comment>%s</article></main></body>"
+    got = html_text.main_text(page % ("".join(f"<article>{x}</article>" for x in articles), prose_blocks("d", 2)))
+    assert [sum(x.startswith(c) for x in got.split("\n\n")) for c in "abcdH"] == [6, 6, 2, 0, 0]
+
+
 def test_html_table(spark):
     pages = [(1, PAGE % ("<article>", "</article>")), (2, None), (3, ""), (4, "plain  text"), (5, "<p>a<p>b <![foo[ x ]]> c &amp"), (6, "<" * 2000), (7, "<div>" * 3000 + "deep"), (8, "<p>" + "word " * 50000)]
     df = spark.createDataFrame([(i, "u", h, 0) for i, h in pages], "page_id long, url string, html string, kind int")
