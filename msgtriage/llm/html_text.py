@@ -4,8 +4,11 @@ One pass of the standard library's event parser turns a page into *lines*, one p
 element, each with its text, its number of tags, its text inside links and its place in
 the nesting of containers. Text that cannot be content (scripts, styles, navigation,
 headers and footers of the page, asides, forms, and elements whose role or
-class names say advert, notice, sidebar, menu, comments and the like) never enters
-a line.
+names as a whole say advert, notice, sidebar, menu, comments and the like) never enters
+a line. Names of states (``no-sidebar``, ``comments-open``) say nothing. An element with
+such a word only as part of a name (``related-work``, ``share-price``) stays if its own text
+lies in the content regions. Names are wrong, and their elements stay, where elements of one
+name hold most text of the regions; so are all names that together exclude three quarters of it.
 
 The ratio of text outside links to tags is computed per line, smoothed along the page with a
 Gaussian, and lines above a threshold (the ratios' standard deviation, CETR's choice, or
@@ -23,6 +26,7 @@ parsed, whatever their length. :func:`extract` keeps all columns.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 from html.parser import HTMLParser
@@ -48,6 +52,16 @@ HINTS = frozenset(
     "replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login search widget widgets toolbar "
     "pagination pager skip".split()
 )
+#: Words beside hints in names that still say nothing of a text of the page's own.
+FILLER = frozenset(
+    "area article articles bar block body bottom box button buttons card center col column container content div entry footer global group holder icon icons "
+    "inner item items layer left link links list main message outer page panel place placeholder post posts primary region right row secondary section site "
+    "slot small text thread title top unit wrap wrapper zone".split()
+)
+#: Names of states: ``no-sidebar``, ``comments-open``.
+STATE = re.compile(r"(?:no|not|has|have|with|without|hide|show|is)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|allowed|count|visible|hidden)")
+#: Words that mark an article element as none of the page's own.
+MARKS = frozenset("comment comments reply replies teaser teasers related recommended promo sponsored ad advert".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _NAME = re.compile(r"[a-z0-9]+")
 
@@ -55,23 +69,35 @@ _NAME = re.compile(r"[a-z0-9]+")
 class Line:
     """Text of one block element and what stands around it."""
 
-    __slots__ = ("parts", "tags", "linked", "path", "text")
+    __slots__ = ("events", "tags", "linked", "path", "text")
 
     def __init__(self, path: tuple[int, ...]):
-        self.parts: list[str] = []
+        self.events: list[tuple[tuple[int, ...], str, int, int]] = []  # hinted elements around, text, tags, linked
         self.tags, self.linked, self.path, self.text = 0, 0, path, ""
 
+    def without(self, dropped: set[int]) -> Line:
+        """The line as it is without the hinted elements ``dropped``."""
+        new = Line(self.path)
+        new.events = [e for e in self.events if dropped.isdisjoint(e[0])] if dropped else self.events
+        new.text = " ".join("".join(e[1] for e in new.events).split())
+        new.tags, new.linked = sum(e[2] for e in new.events), sum(e[3] for e in new.events)
+        return new
+
 
 class PageLines(HTMLParser):
     """Collects the lines of a page from the parser's events."""
 
-    def __init__(self, hints: bool = True) -> None:
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.hints = HINTS if hints else frozenset()
         self.lines: list[Line] = []
         self.kinds: list[str] = []  # of containers, by number
         self.stack: list[tuple[str, bool, int]] = []  # open elements: name, skipped, container or -1
+        self.whole: list[bool] = []  # of hinted elements, by number: the whole name is a hint
+        self.names: list[str] = []  # and their tags and names
+        self.hinted: list[tuple[int, int]] = []  # open ones: place in the stack, number
+        self.around: tuple[int, ...] = ()  # their numbers
         self.skipped = self.links = 0
+        self.article = False
         self.line: Line | None = None
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:  # odd declarations are comments
@@ -87,17 +113,26 @@ class PageLines(HTMLParser):
             elif tag == "hr":
                 self.line = None
             return
-        if tag in ("article", "main") and self.skipped:
-            self._leave_hinted()
+        if tag in ("article", "main"):
+            if self.skipped or self.hinted and not self.article:
+                self._leave_hinted()
+            self.article = True
         if tag == "p" and any(t == "p" for t, _, _ in self.stack[-8:]):
             self._close("p")
-        skip = self._is_skipped(tag, dict(attrs))
+        named = dict(attrs)
+        skip = self._is_skipped(tag, named)
+        hint = not skip and self._hint(tag, named)
         number = -1
         if tag in BLOCK:
             self.line = None
             if tag in CONTAINER:
                 number = len(self.kinds)
                 self.kinds.append(tag)
+        if hint:
+            self.hinted.append((len(self.stack), len(self.whole)))
+            self.whole.append(hint == 2)
+            self.names.append(f"{tag} {named.get('class') or named.get('id')}")
+            self.around = tuple(n for _, n in self.hinted)
         self.stack.append((tag, skip, number))
         self.skipped += skip
         self.links += tag == "a"
@@ -125,12 +160,22 @@ class PageLines(HTMLParser):
             return True
         if tag in ("html", "body") or "hidden" in attrs and tag != "input":
             return tag not in ("html", "body")
-        if (attrs.get("role") or "").lower() in ROLES:
-            return True
-        names = set(_NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())) & self.hints
-        if inside:
-            names.discard("header")
-        return bool(names) and tag not in ("main", "a", "b", "i", "em", "strong")
+        return (attrs.get("role") or "").lower() in ROLES
+
+    def _hint(self, tag: str, attrs: dict[str, str | None]) -> int:
+        """2 if a class name or the id is a hint as a whole, 1 if in part, else 0."""
+        if tag in ("html", "body", "main", "a", "b", "i", "em", "strong"):
+            return 0
+        found = 0
+        for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
+            words = set(_NAME.findall(name))
+            own = words & HINTS if tag != "article" else words & MARKS
+            if "header" in own and any(t in ("article", "main") for t, _, _ in self.stack):
+                own = own - {"header"}
+            if own and not STATE.fullmatch(name):
+                whole = all(w in HINTS or w in MARKS or w in FILLER or w.isdigit() for w in words)
+                found = max(found, 2 if whole else 1)
+        return found if tag != "article" or found == 2 else 0
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
@@ -142,20 +187,27 @@ class PageLines(HTMLParser):
                     if t in BLOCK:
                         self.line = None
                 del self.stack[k:]
+                self._leave_closed()
                 return
             if name in CONTAINER and tag not in CONTAINER and tag not in SKIPPED and tag != "header":
                 return  # a stray end tag does not reach beyond its container
 
     def _leave_hinted(self) -> None:
         """An article opens inside something skipped only by its names, left unclosed."""
-        while self.stack and self.skipped and self.stack[-1][0] not in SKIPPED:
+        while self.stack and (self.skipped or self.hinted) and self.stack[-1][0] not in SKIPPED:
             t, skip, _ = self.stack.pop()
             self.skipped -= skip
             self.links -= t == "a"
+            self._leave_closed()
+
+    def _leave_closed(self) -> None:
+        while self.hinted and self.hinted[-1][0] >= len(self.stack):
+            self.hinted.pop()
+            self.around = tuple(n for _, n in self.hinted)
 
     def _tag(self, tag: str) -> None:
         if self.line is not None and not self.skipped:
-            self.line.tags += 1
+            self.line.events.append((self.around, "", 1, 0))
 
     def _text(self, data: str) -> None:
         if self.skipped:
@@ -165,19 +217,45 @@ class PageLines(HTMLParser):
                 return
             self.line = Line(tuple(n for _, _, n in self.stack if n >= 0))
             self.lines.append(self.line)
-        self.line.parts.append(data)
-        if self.links:
-            self.line.linked += len(data.strip())
+        self.line.events.append((self.around, data, 0, len(data.strip()) if self.links else 0))
 
 
-def page_lines(html: str, hints: bool = True) -> tuple[list[Line], list[str]]:
-    """Lines with text, white space reduced, and the kinds of the page's containers."""
-    parser = PageLines(hints)
+def page_lines(html: str, sigma: float = SIGMA) -> tuple[list[Line], list[str]]:
+    """Lines with text that can be content, white space reduced, and the kinds of the
+    page's containers."""
+    parser = PageLines()
     parser.feed(html)
     parser.close()
-    for line in parser.lines:
-        line.text = " ".join("".join(line.parts).split())
-    return [x for x in parser.lines if x.text], parser.kinds
+    dropped = misnamed(parser, sigma) if parser.whole else set()
+    lines = [x.without(dropped) for x in parser.lines]
+    return [x for x in lines if x.text], parser.kinds
+
+
+def misnamed(parser: PageLines, sigma: float) -> set[int]:
+    """The hinted elements to be left out, by the smoothed ratios of the whole page."""
+    full = [(x, y) for x in parser.lines if (y := x.without(set())).text]
+    chosen = content_mask(smoothed_ratios([y for _, y in full], sigma)) if full else []
+    n = len(parser.whole)
+    total, inside = [0] * n, [0] * n  # characters of each element: outside links, and of these in regions
+    pieces: list[tuple[tuple[int, ...], int]] = []
+    for (x, y), on in zip(full, chosen):
+        on = on and 2 * y.linked < len(y.text)
+        for around, text, _, linked in x.events:
+            size = len(text.strip())
+            if on:
+                pieces.append((around, size - linked))
+            for k in around:
+                total[k] += size
+                inside[k] += on * (size - linked)
+    dropped = {k for k in range(n) if parser.whole[k] or 2 * inside[k] <= total[k]}
+    region = sum(size for _, size in pieces)
+    alike = Counter()
+    for around, size in pieces:
+        alike.update(dict.fromkeys({parser.names[k] for k in around}, size))
+    dropped -= {k for k in dropped if 2 * alike[parser.names[k]] > region}
+    if 4 * sum(size for around, size in pieces if not dropped.isdisjoint(around)) > 3 * region:
+        dropped.clear()
+    return dropped if any(dropped.isdisjoint(around) for x in parser.lines for around, text, _, _ in x.events if text.strip()) else set()
 
 
 def smoothed_ratios(lines: list[Line], sigma: float = SIGMA) -> np.ndarray:
@@ -206,9 +284,7 @@ def content_mask(ratios: np.ndarray) -> np.ndarray:
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """The article's blocks, joined by two line breaks."""
-    lines, kinds = page_lines(html or "")
-    if not lines:  # perhaps the whole page stands in an element with a misleading name
-        lines, kinds = page_lines(html or "", hints=False)
+    lines, kinds = page_lines(html or "", sigma)
     if not lines:
         return ""
     chosen = content_mask(smoothed_ratios(lines, sigma))

@@ -161,6 +161,20 @@ def test_every_sibling_article_stays():
     assert [sum(x.startswith(c) for x in got.split("\n\n")) for c in "abcdH"] == [6, 6, 2, 0, 0]
 
 
+@pytest.mark.parametrize("tag", ['article class="post comments-open"', 'article class="no-sidebar"', 'section id="related-work"', 'div class="layout sidebar"'])
+def test_misleading_names_do_not_lose_the_article(tag):
+    page = f"<body><p>One stray paragraph of the page stands elsewhere, before it.</p><{tag}>{prose_blocks('a', 8)}</{tag.split()[0]}></body>"
+    assert html_text.main_text(page).count("paragraph") >= 8
+
+
+def test_parts_with_misleading_names_stay():
+    more = "<section id=related-work>%s</section><p class=share-price>The price of a share of it rose by a good deal on that very day, as was told.</p>" % prose_blocks("r", 2)
+    page = f"<body><article class='post has-comments'>{prose_blocks('a', 8)}%s{prose_blocks('b', 2)}<div class='share-buttons'>Share it with all your friends</div></article></body>"
+    got = html_text.main_text(page % more)
+    assert [sum(x.startswith(c) for x in got.split("\n\n")) for c in ("a ", "r ", "The price", "b ", "Share")] == [8, 2, 1, 2, 0]
+    assert html_text.main_text("<p>Text <span class=ad>buy</span> goes on.</p>") == "Text goes on."
+
+
 def test_html_table(spark):
     pages = [(1, PAGE % ("<article>", "</article>")), (2, None), (3, ""), (4, "plain  text"), (5, "<p>a<p>b <![foo[ x ]]> c &amp"), (6, "<" * 2000), (7, "<div>" * 3000 + "deep"), (8, "<p>" + "word " * 50000)]
     df = spark.createDataFrame([(i, "u", h, 0) for i, h in pages], "page_id long, url string, html string, kind int")
