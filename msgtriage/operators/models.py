@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from msgtriage.functions.text import display_name
 from msgtriage.operators import features as feat
 from msgtriage.operators.metrics import multilabel_scores
-from msgtriage.operators.sampling import assign_folds
+from msgtriage.operators.sampling import assign_folds, resample_training
 from msgtriage.operators.transformers import KeywordSearch, SuffixLemma, TextTokenizer
 
 # --------------------------------------------------------------------------
@@ -71,7 +71,8 @@ def make_classifier(
         m._set(rawPredictionCol=f"raw_{label}", probabilityCol=f"prob_{label}")
     elif kind == "svm":
         m = C.LinearSVC(
-            **common, rawPredictionCol=f"raw_{label}", regParam=float(p.get("reg", 0.01)),
+            **common, rawPredictionCol=f"raw_{label}", standardization="C" not in p,
+            regParam=1.0 / (float(p["C"]) * max(n_rows, 1)) if "C" in p else float(p.get("reg", 0.01)),
             maxIter=int(p.get("max_iter", 50)),
         )
     elif kind == "mlp":
@@ -107,7 +108,7 @@ def featurizer(
     tok = TextTokenizer(inputCol=text_col, outputCol="tokens", variant=variant)
     if kind in ("tfidf", "tfidf_sublinear"):
         stages = feat.tfidf_stages(
-            "lemmas", "features", int(p.get("vocab_size", 2500)), float(p.get("min_df", 5.0)),
+            "lemmas", "features", p.get("vocab_size", 2500), float(p.get("min_df", 5.0)),
             float(p.get("max_df", 0.98)), 2.0, kind == "tfidf_sublinear",
         )
         return Pipeline(stages=[tok, SuffixLemma(inputCol="tokens", outputCol="lemmas"), *stages])
@@ -306,9 +307,10 @@ def classify(model: PipelineModel, df: DataFrame, labels: Sequence[str], key: st
 # --------------------------------------------------------------------------
 
 
-def _fold_features(df, labels, k, seed, key, feature_kind="tfidf", feature_params=None):
+def _fold_features(df, labels, k, seed, key, feature_kind="tfidf", feature_params=None, resample=None):
     """Per fold: the featuriser fitted on the other folds, applied to both
-    parts; persisted, right-sized. Folds are assigned on the key first (Q20).
+    parts; persisted, right-sized. Folds are assigned on the key first (Q20);
+    ``resample`` (arguments of ``resample_training``) then changes the training part only.
 
     Tokenising is stateless, so the folded rows are tokenised once into a
     narrow persisted frame; only the vectorizer / IDF are fitted per fold.
@@ -322,6 +324,8 @@ def _fold_features(df, labels, k, seed, key, feature_kind="tfidf", feature_param
         for fold in range(k):
             train = tokd.where(F.col("fold") != fold)
             test = tokd.where(F.col("fold") == fold)
+            if resample:
+                train = resample_training(train, key=key, seed=seed, **resample)
             rest = Pipeline(stages=rest_stages).fit(train)
             tr = rest.transform(train).select(key, "features", *labels)
             n = tr.count()
@@ -367,18 +371,43 @@ def grid_search(
     ]
 
 
+#: The reference's grid: 16 forests and 2 logistic models.
+GRID: tuple[dict, ...] = (
+    *(
+        {"clf_kind": "forest", "balanced": False,
+         "clf_params": {"num_trees": trees, "max_depth": depth, "max_samples": rows, "max_features": str(terms)}}
+        for trees in (20, 50) for depth in (4, 8) for rows in (0.6, 0.8) for terms in (0.6, 0.8)
+    ),
+    *({"clf_kind": "logistic", "balanced": True, "clf_params": {"C": c}} for c in (0.1, 0.01)),
+)
+
+
+def refit_best(
+    train: DataFrame, labels: Sequence[str], candidates: Sequence[dict],
+    scores: Sequence[tuple[int, str, float]], feature_kind: str = "tfidf",
+) -> tuple[int, PipelineModel]:
+    """K9: the first candidate of the highest mean score, fitted on all training rows."""
+    best = max(scores, key=lambda row: (row[2], -row[0]))[0]
+    cand = candidates[best]
+    model, _ = fit_multilabel(
+        train, labels, feature_kind, cand.get("clf_kind", "logistic"), cand.get("balanced", True),
+        clf_params=cand.get("clf_params"),
+    )
+    return best, model
+
+
 def cross_val_scores(
     df: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11, key: str = "id",
     scorer: str = "recall_weighted", clf_kind: str = "logistic", clf_params: dict | None = None,
-    balanced: bool = True, feature_kind: str = "tfidf",
+    balanced: bool = True, feature_kind: str = "tfidf", resample: dict | None = None,
 ) -> list[tuple[int, float]]:
     """Per fold, fit on the other folds and score the held-out fold.
 
-    Folds are assigned on the original key first (Q20); any resampling must
-    happen inside the training part of each fold.
+    Folds are assigned on the original key first (Q20); ``resample`` happens
+    inside the training part of each fold.
     """
     out = []
-    for fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind):
+    for fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind, None, resample):
         by_label, _ = fit_classifiers(tr, labels, clf_kind, balanced, 4, clf_params, n)
         row = multilabel_scores(_predict_features(by_label, te, labels, key)).first()
         out.append((fold, float(row[scorer])))

@@ -108,45 +108,48 @@ def q_union(spark, sf_dir):
     train, test, labels = _split(spark, sf_dir)
     model, _ = models.fit_multilabel(
         train, labels, "union", "logistic", clf_params={"C": 0.1},
-        feature_params={"size": 100, "min_count": 5, "iter": 1, "partitions": 4},
+        feature_params={"size": 100, "min_count": 2, "window": 1, "iter": 5, "partitions": 4},
     )
     return models.predict_long(model, test, labels, "id")
 
 
-def _single_kind(kind, params):
+def _single_kind(kind, params, feature_params=None):
     def q(spark, sf_dir):
         train, test, labels = _split(spark, sf_dir)
         model, _ = models.fit_multilabel(train, labels, "tfidf", kind, clf_params=params,
-                                         balanced=kind not in ("gbt", "mlp"))
+                                         balanced=kind not in ("bagging", "mlp"), feature_params=feature_params)
         return models.predict_long(model, test, labels, "id")
 
     return q
 
 
-register("gbt_predictions", ("K4",))(_single_kind("gbt", {"max_iter": 20, "max_depth": 4}))
-register("svm_predictions", ("K5",))(_single_kind("svm", {"reg": 0.01, "max_iter": 10}))
-register("bagging_predictions", ("K6",))(_single_kind("bagging", {"num_trees": 20, "max_depth": 8}))
-register("mlp_predictions", ("K8",))(_single_kind("mlp", {"layers": [0, 16, 2], "max_iter": 30}))
+register("gbt_predictions", ("K4",))(_single_kind("gbt", {"max_iter": 100, "max_depth": 10}, {"vocab_size": None}))
+register("svm_predictions", ("K5",))(_single_kind("svm", {"C": 0.01, "max_iter": 1000}))
+register("bagging_predictions", ("K6",))(_single_kind("bagging", {"num_trees": 60, "max_depth": 30}))
+register("mlp_predictions", ("K8",))(_single_kind("mlp", {"layers": [0, 400, 2], "max_iter": 500}))
 
 
 @register("cross_val_scores", ("K10", "K11", "H3"))
 def q_cross_val(spark, sf_dir):
     train, labels = etl.training_table(spark, sf_dir)
-    scores = models.cross_val_scores(train, labels, 3, 11, "id", "recall_weighted",
-                                     clf_kind="logistic", clf_params={"C": 0.01})
+    scores = models.cross_val_scores(
+        train, labels, 3, 11, "id", "recall_weighted", clf_kind="logistic", clf_params={"C": 0.01},
+        resample={"upsample_targets": ("toxic", "long"), "downsample_target": "related"},
+    )
     return spark.createDataFrame(scores, "fold INT, recall_weighted DOUBLE")
 
 
 @register("grid_search_scores", ("K9", "K11"))
 def q_grid_search(spark, sf_dir):
-    train, labels = etl.training_table(spark, sf_dir)
-    cands = [
-        {"clf_kind": "logistic", "clf_params": {"C": 0.01}},
-        {"clf_kind": "logistic", "clf_params": {"C": 0.1}},
-        {"clf_kind": "forest", "clf_params": {"num_trees": 20, "max_depth": 6}},
-    ]
-    rows = models.grid_search(train, labels, cands, 3, 11, "id", "recall_weighted")
-    return spark.createDataFrame(rows, "candidate INT, params STRING, mean_score DOUBLE")
+    """Scores of the whole grid; the best candidate, refitted, has its per-label report
+    on the held-out rows."""
+    train, test, labels = _split(spark, sf_dir)
+    scores = models.grid_search(train, labels, models.GRID, 3, 11, "id", "recall_weighted")
+    best, model = models.refit_best(train, labels, models.GRID, scores)
+    report = metrics.label_report(models.predict_long(model, test, labels, "id"))
+    report = report.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("report"))  # a few rows per label
+    rows = spark.createDataFrame([(*row, row[0] == best) for row in scores], "candidate INT, params STRING, mean_score DOUBLE, best BOOLEAN")
+    return rows.crossJoin(F.broadcast(report)).withColumn("report", F.when(F.col("best"), F.col("report")))
 
 
 @register("stacked_predictions", ("K7",))

@@ -54,3 +54,22 @@ def test_stream_dedupe_modes_agree(spark):
         jobs.run(jobs.dedupe_stream(spark, landing, msgs.schema, sink, ckpt, "id", mode=mode))
         got = sorted(map(tuple, spark.read.parquet(sink).select("id", "genre").collect()))
         assert got == expected, mode
+
+
+def test_grid_is_whole_and_best_is_refitted(spark):
+    kinds = [c["clf_kind"] for c in models.GRID]
+    assert kinds.count("forest") == 16 and kinds.count("logistic") == 2
+    train, test, labels = _split(spark, SF_SMALL)
+    scores = [(i, "", 0.5 + (i in (16, 17))) for i in range(18)]
+    best, model = models.refit_best(train, labels, models.GRID, scores)
+    assert best == 16  # the first of equal ones
+    assert models.predict_long(model, test, labels, "id").count() == test.count() * len(labels)
+
+
+def test_resampling_stays_inside_training_folds(spark):
+    train, _, labels = _split(spark, SF_SMALL)
+    plain = {f: (n, te.count()) for f, _, te, n in models._fold_features(train, labels, 3, 11, "id")}
+    resample = {"upsample_targets": ("toxic",)}
+    for fold, tr, te, n in models._fold_features(train, labels, 3, 11, "id", resample=resample):
+        assert te.count() == plain[fold][1] and n > plain[fold][0]
+        assert tr.join(te, "id", "left_semi").isEmpty()
