@@ -4,7 +4,9 @@ Every stage takes ``(spark, docs, sf_dir)`` with all its predecessor kept, and r
 DataFrame that is written as Parquet to the shared folder and read again as the next
 stage's documents. All stages but the last return the columns of ``docs``.
 
-1. *language*: documents without a letter, or whose language is uncertain, go.
+1. *language*: documents without a letter, whose language is uncertain, or whose words are unlikely
+   in the best of the learned languages go. If no document has a language, none can be
+   learned, and all with a letter stay.
 2. *near duplicates*: of each group of near copies the document with the smallest id stays.
 3. *decontamination*: passages of benchmark items are cut out; documents made up of them go.
 4. *personal data*: spans found are replaced by their kind.
@@ -26,16 +28,21 @@ from msgtriage.llm.queries import TOKENIZERS, reach_workers, table
 from msgtriage.session import materialize
 
 MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_FIT = -3.0  # texts half in another learned language lie above -2, other languages below -4.5 (sf0.01)
 MAX_COVERAGE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: reject ``und`` and scores below ``MIN_LANGUAGE_SCORE``."""
+    """Language ID: reject ``und``, scores below ``MIN_LANGUAGE_SCORE`` and fits below
+    ``MIN_LANGUAGE_FIT``; without any language to learn only texts without a letter."""
     reach_workers(spark)
     model = langid.fit(docs, langid.vocabulary_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
-    names = ("__lang", "__score")
+    names = ("__lang", "__score", "__fit")
     found = langid.predict(docs, model, names=names)
-    return found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    if not model.langs:
+        return found.where(F.col("__fit") > float("-inf")).select(*docs.columns)
+    known = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)
+    return found.where(known & (F.col("__fit") >= MIN_LANGUAGE_FIT)).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

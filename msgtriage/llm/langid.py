@@ -4,7 +4,10 @@ Over the pieces of a fixed public vocabulary every language has its own piece
 probabilities. A word's probability under a language is the sum over all its
 segmentations into pieces, by a forward algorithm; a text's is the product over its
 words, times the language's share of the training rows. The posterior of the best language is
-the score.
+the score. It only weighs the learned languages against each other; the *fit* says whether the text
+is in the best of them at all: the mean over its words of the log-likelihood above what
+words of their length have in that language's training rows, in standard deviations of such
+words, plus four standard errors.
 
 Words are runs of letters, lower-cased, cut every ``MAX_WORD`` letters (so no text is
 dropped and a run without spaces costs no more than its length); a word starts with
@@ -172,8 +175,10 @@ def expected_counts(table: PieceTable, prob: np.ndarray, words: list[str], lang:
 class Model:
     """Languages, their log priors and piece probabilities; small and sent to all tasks."""
 
-    def __init__(self, langs: list[str], prior: np.ndarray, pieces: list[str], prob: np.ndarray):
+    def __init__(self, langs: list[str], prior: np.ndarray, pieces: list[str], prob: np.ndarray, mean: np.ndarray | None = None, spread: np.ndarray | None = None):
         self.langs, self.prior, self.pieces, self.prob = langs, prior, pieces, prob
+        self.mean = np.zeros(len(langs)) if mean is None else mean  # log-likelihood of a letter
+        self.spread = np.ones(len(langs)) if spread is None else spread  # of a word, about its letters' means
         self.key = uuid.uuid4().hex
 
 
@@ -196,6 +201,20 @@ def _expect(batches: Iterator[pa.RecordBatch], langs: list[str], pieces: list[st
     yield pa.record_batch({"piece": pa.array(piece, pa.int32()), "lang": pa.array(lang, pa.int32()), "n": pa.array(total[piece, lang])})
 
 
+def _usual(batches: Iterator[pa.RecordBatch], langs: list[str], pieces: list[str], prob: np.ndarray) -> Iterator[pa.RecordBatch]:
+    table, total = PieceTable(pieces), np.zeros((len(langs), 6))
+    place = {lang: k for k, lang in enumerate(langs)}
+    for batch in batches:
+        words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
+        if not words:
+            continue
+        lang = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
+        size = np.fromiter(map(len, words), float, len(words))
+        own = word_scores(table, prob, words)[np.arange(len(words)), lang]
+        np.add.at(total, lang, n[:, None] * np.stack([np.ones_like(size), size, own, size * size, size * own, own * own], axis=1))
+    yield pa.record_batch({"lang": pa.array(range(len(langs)), pa.int32()), "sums": pa.array(total.tolist(), pa.list_(pa.float64()))})
+
+
 def fit(rows: DataFrame, pieces: list[str], max_rows: int = MAX_ROWS, rounds: int = ROUNDS) -> Model:
     """Learn from ``(text, lang)`` rows with a language."""
     rows = rows.select("text", "lang").where("lang is not null")
@@ -217,7 +236,14 @@ def fit(rows: DataFrame, pieces: list[str], max_rows: int = MAX_ROWS, rounds: in
         total = np.full(prob.shape, 0.01)
         total[seen["piece"].to_numpy(), seen["lang"].to_numpy()] += seen["n"].to_numpy()
         prob = np.maximum(total / total.sum(axis=0), FLOOR * 1e-2)
-    return Model(langs, np.log(n / n.sum()), pieces, prob)
+    sums = np.zeros((len(langs), 6))
+    for r in words.mapInArrow(partial(_usual, langs=langs, pieces=pieces, prob=prob), "lang int, sums array<double>").toLocalIterator():  # a row per task and language
+        sums[r["lang"]] += r["sums"]
+    count, size, own, size2, both, own2 = sums.T
+    count, size = np.maximum(count, 1.0), np.maximum(size, 1.0)
+    mean = own / size
+    spread = np.sqrt(np.maximum(own2 - 2 * mean * both + mean * mean * size2, 0) / count)
+    return Model(langs, np.log(n / n.sum()), pieces, prob, mean, np.maximum(spread, 1.0))
 
 
 class _Scorer:
@@ -254,30 +280,36 @@ class _Scorer:
         return [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in words]
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared, text: str, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, text: str, names: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     model: Model = shared.value
     scorer = _Scorer.of(model) if model.langs else None
     for batch in batches:
-        lang, score = [], []
+        lang, score, fits = [], [], []
         texts = batch.column(text)
         for lo in range(0, len(batch), 256):
             words = [words_of(t) for t in texts.slice(lo, 256).to_pylist()]
-            for at in scorer.places(words) if scorer else [()] * len(words):
+            for own, at in zip(words, scorer.places(words) if scorer else [()] * len(words)):
                 if not len(at):
                     lang.append(UNKNOWN)
                     score.append(0.0)
+                    fits.append(0.0 if own else -np.inf)
                     continue
-                total = model.prior + scorer.rows[at].sum(axis=0)
+                likelihood = scorer.rows[at].sum(axis=0)
+                total = model.prior + likelihood
                 best = int(total.argmax())
+                above = likelihood[best] - model.mean[best] * sum(map(len, own))
+                fits.append(float(above / (len(own) * model.spread[best]) + 4 / np.sqrt(len(own))))
                 lang.append(model.langs[best])
                 score.append(float(1.0 / np.exp(total - total[best]).sum()))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, *names])
+        found = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.float64())][: len(names)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the best language and its posterior probability as two more columns."""
+def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the best language and its posterior probability as two more columns,
+    and with a third name the fit (minus infinity without a letter, 0 where no language is known)."""
     if taken := set(names) & set(docs.columns):
         raise ValueError(f"documents have columns {sorted(taken)} already; choose other names")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*docs.columns, F.lit("").alias(names[0]), F.lit(0.0).alias(names[1])).schema
+    schema = docs.select(*docs.columns, *[F.lit(x).alias(c) for x, c in zip(("", 0.0, 0.0), names)]).schema
     return docs.mapInArrow(partial(_predict, shared=shared, text=text, names=names), schema)

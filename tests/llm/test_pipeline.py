@@ -68,6 +68,22 @@ def test_stages(spark, corpus):
     assert {(r.doc_id, r.text) for r in out["mixing"]} <= kept and max(r.mix_copy for r in out["mixing"]) <= 2
 
 
+def test_language_stage_without_any_language(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.keep_known_languages(spark, docs, corpus[0])
+    assert got.columns == docs.columns
+    assert got.count() == docs.where("text rlike '[a-z]'").count() > 0
+
+
+def test_language_stage_rejects_languages_not_learned(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
+    texts = ["вода дом улица " * 30, "水家街 " * 40, "zqxj wvkq xkcdq jjqz " * 30]
+    more = spark.createDataFrame([(9000 + k, t, None, "s1", len(t)) for k, t in enumerate(texts)], docs.schema)
+    got = [r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs.unionByName(more), corpus[0]).collect()]
+    assert not {9000, 9001, 9002} & set(got)
+    assert len(got) == docs.where("text rlike '[a-z]'").count()
+
+
 def test_run_equals_stages(spark, corpus):
     folder, rows, _ = corpus
     got = corpus_pipeline.run(spark, folder)
