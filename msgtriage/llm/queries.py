@@ -10,12 +10,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgtriage.llm import html_text, langid, nbsvm, pii, token_files
+from msgtriage.llm import crosstok, hilbert, html_text, langid, merkle, nbsvm, pii, token_files
 from msgtriage.llm.decontaminate import report, scan
 from msgtriage.llm.mixing import copies
 from msgtriage.llm.ngram_join import jaccard_components
 from msgtriage.llm.va_topk import search
 from msgtriage.llm.warc import read_archives, write_archives
+from msgtriage.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +134,111 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.count_tokens(table(spark, sf_dir, "documents"), ranks, separator=50256)
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.verify(docs, tampered, F.replace("text", F.lit("\n"), F.lit("")))
+
+
+ORACLE_SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, source,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 2 = 0 AS tampered,
+    list_reduce(list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+      lambda v: CASE WHEN v IS NULL THEN '-' ELSE concat(octet_length(encode(v)), ':', v) END), lambda a, b: a || b) AS head,
+    text, replace(text, chr(10), '') AS cut
+  FROM documents),
+h AS MATERIALIZED (
+  SELECT row, doc_id, source,
+    sha256(head || CASE WHEN text IS NULL THEN '-' ELSE concat(octet_length(encode(text)), ':', text) END) AS leaf,
+    CASE WHEN tampered THEN sha256(head || CASE WHEN text IS NULL THEN '-' ELSE concat(octet_length(encode(cut)), ':', cut) END) END AS copy
+  FROM d),
+p AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM h),
+nodes AS (
+  SELECT tree, CAST(0 AS BIGINT) AS level, rank AS i, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM p
+  UNION ALL
+  SELECT tree, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY tree, level, i // 3, n),
+above AS (
+  SELECT CAST(0 AS BIGINT) AS level, tree AS i, digest, (SELECT max(tree) + 1 FROM p) AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (n + 2) // 3
+  FROM above WHERE n > 1 GROUP BY level, i // 3, n),
+ups AS MATERIALIZED (SELECT *, i // 3 AS run FROM above WHERE n > 1),
+downs AS MATERIALIZED (SELECT *, i // 3 AS run FROM nodes WHERE n > 1),
+levels AS (SELECT DISTINCT tree, level, CAST(3 AS BIGINT) ** level AS w FROM downs),
+steps AS (
+  SELECT row, 0 AS part, l.level, string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i < rank // w) AS a, string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i > rank // w) AS b
+  FROM (SELECT row, p.tree, rank, level, CAST(w AS BIGINT) AS w FROM p JOIN levels ON levels.tree = p.tree) l
+  JOIN downs s ON s.tree = l.tree AND s.level = l.level AND s.run = rank // (w * 3) GROUP BY ALL
+  UNION ALL
+  SELECT row, 1, l.level, string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i < tree // w), string_agg(s.digest, '' ORDER BY s.i) FILTER (s.i > tree // w)
+  FROM (SELECT row, tree, level, CAST(CAST(3 AS BIGINT) ** level AS BIGINT) AS w FROM p, (SELECT DISTINCT level FROM ups) x) l
+  JOIN ups s ON s.level = l.level AND s.run = tree // (w * 3) GROUP BY ALL),
+paths AS (
+  SELECT p.row, doc_id, leaf, copy, tree,
+    coalesce(list([coalesce(a, ''), coalesce(b, '')] ORDER BY part, steps.level) FILTER (part IS NOT NULL), []) AS path
+  FROM p LEFT JOIN steps ON steps.row = p.row GROUP BY ALL),
+folded AS (
+  SELECT *, coalesce(list_reduce(list_concat([[coalesce(copy, leaf), '']], path), lambda x, s: [sha256(s[1] || x[1] || s[2]), '']), [leaf])[1] AS folded_root,
+    sha256(array_to_string(list_transform(path, lambda s: s[1] || s[2]), '')) AS proof_sha256
+  FROM paths),
+root AS (SELECT digest AS root FROM above WHERE n = 1)
+SELECT doc_id, leaf, t.digest AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM folded JOIN (SELECT tree, digest FROM nodes WHERE n = 1) t ON t.tree = folded.tree, root
+"""
+
+
+@query
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = hilbert.measured(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "size", "text_crc32")
+    out = hilbert.assign(materialize(docs, "shard-rows"), ties=("text_crc32", "doc_id"), shards=24)
+    unlike_key = F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", unlike_key)
+
+
+_STEPS = 1 << hilbert.BITS
+
+ORACLE_SQL["op12_hilbert_shards"] = rf"""
+WITH b AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, source, lang, encode(coalesce(text, '')) AS bytes FROM documents),
+chars AS MATERIALIZED (SELECT row, list_transform(regexp_extract_all(hex(bytes), '..'), lambda h: CAST(concat('0x', h) AS BIGINT)) AS l FROM b),
+crc AS MATERIALIZED (
+  SELECT row, xor(list_reduce(list_concat([4294967295], l),
+    lambda c, x: list_reduce(list_concat([xor(c, x)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) AS text_crc32 FROM chars),
+s AS MATERIALIZED (
+  SELECT row, octet_length(bytes) + 8 AS size FROM b),
+x AS (SELECT min(ln(1 + CAST(size AS DOUBLE))) AS low, max(ln(1 + CAST(size AS DOUBLE))) AS high, count(*) AS n FROM s),
+c AS (
+  SELECT b.row, doc_id, size, n,
+    (dense_rank() OVER (ORDER BY source NULLS FIRST) - 1) * {_STEPS} // (SELECT count(DISTINCT coalesce(source, chr(0))) FROM b) AS p,
+    (dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1) * {_STEPS} // (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM b) AS q,
+    CASE WHEN high > low THEN least(CAST(floor((ln(1 + CAST(size AS DOUBLE)) - low) / (high - low) * {_STEPS}) AS BIGINT), {_STEPS - 1}) ELSE 0 END AS r
+  FROM b JOIN s ON s.row = b.row, x),
+h AS (
+  SELECT row, list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform({list(range(hilbert.BITS))[::-1]}, lambda k: ((p >> k) & 1) + 2 * ((q >> k) & 1) + 4 * ((r >> k) & 1))),
+    lambda a, v: (a >> 8) * 2048 + {hilbert.curve_table(3)}[(a & 255) * 8 + v + 1]) >> 8 AS curve FROM c),
+o AS (
+  SELECT doc_id, size, text_crc32, n, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST) - 1 AS place
+  FROM c JOIN h ON h.row = c.row JOIN crc ON crc.row = c.row)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 24 // n AS INTEGER) AS shard,
+  place - (place * 24 // n * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM o
+"""
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = crosstok.read_vocabularies(f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    aligned = crosstok.align(table(spark, sf_dir, "documents"), *files)
+    return crosstok.report(aligned, crosstok.pair_counts(aligned, crosstok.piece_count(files[1])))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL["op4_decontamination"] = rf"""
