@@ -16,7 +16,7 @@ pairs, summed up per document and per task before the shuffle.
 
 Texts are encoded once and whole. They are handed to the tokenizers in pieces cut before a space
 between two letters, where both vocabularies cut anyway (A's pattern lets no token go on over
-it; :class:`Vocabularies` checks that no piece of B does), so a group ends there and a slice of pieces
+it; :class:`Tokens` checks that no piece of B does), so a group ends there and a slice of pieces
 is aligned on its own: memory is bounded by ``SLICE_CHARS``, not by the text. Only a stretch
 without such a place is handed over whole, whatever its length.
 
@@ -64,31 +64,40 @@ def read_vocabularies(byte_path: str, piece_path: str) -> tuple[str, bytes]:
         return a.read(), b.read()
 
 
-class Vocabularies:
-    """Both tokenizers and the bytes of their tokens, built from the files' contents."""
+class Tokens:
+    """The bytes of both vocabularies' tokens; made once on the driver and broadcast."""
 
     def __init__(self, byte_level: str, piece_model: bytes):
-        import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+        tokenizer, processor = _tokenizers(byte_level, piece_model)
         of_char = byte_of_char()
         special = {t["content"] for t in json.loads(byte_level).get("added_tokens", [])}
-        a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
+        a_bytes = [b""] * tokenizer.get_vocab_size()
+        for token, i in tokenizer.get_vocab().items():
             a_bytes[i] = token.encode() if token in special else bytes(of_char[c] for c in token)
-        b_bytes = []
-        self.cuttable = True  # no piece goes on over a space that follows something else
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-            self.cuttable &= "▁" not in piece.lstrip("▁")
+        pieces = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
+        b_bytes = [bytes([int(x[3:5], 16)]) if processor.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
+        self.cuttable = not any("▁" in x.lstrip("▁") for x in pieces)  # no piece goes on over a space that follows something else
         self.bytes = [pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)]
         self.lengths = [np.array([len(t) for t in x], np.int64) for x in (a_bytes, b_bytes)]
         self.names = pa.array([f"{i}{s}" for i in range(max(map(len, (a_bytes, b_bytes)))) for s in _SEPARATORS], pa.large_string())
 
+
+def _tokenizers(byte_level: str, piece_model: bytes) -> tuple:
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(byte_level)
+    tokenizer.encode_special_tokens = True
+    return tokenizer, sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+
+
+class Vocabularies:
+    """Both tokenizers, built in the task from the files' contents, and their tokens' bytes."""
+
+    def __init__(self, byte_level: str, piece_model: bytes, tokens: Tokens):
+        self.a, self.b = _tokenizers(byte_level, piece_model)
+        self.cuttable, self.bytes, self.lengths, self.names = tokens.cuttable, tokens.bytes, tokens.lengths, tokens.names
+
     def pieces(self, text: str) -> Iterator[str]:
         """Space and text in pieces that begin with a space and are tokenized on their own."""
         whole, at = " " + text, 0
@@ -112,8 +121,8 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     """Terminal token of every token, A's first, then B's; both sides tile the same bytes and no
     token is empty."""
     n = len(a_ends)
-    a_over = np.searchsorted(b_ends, a_ends, "left")  # the B token that holds A's last byte
-    b_over = np.searchsorted(a_ends, b_ends, "left")
+    a_over = _owners(b_ends)[a_ends - 1]  # the B token that holds A's last byte
+    b_over = _owners(a_ends)[b_ends - 1]
     ahead = b_ends[a_over] > a_ends
     follow = np.concatenate([np.where(ahead, n + a_over, np.arange(n)), b_over])
     while True:
@@ -123,6 +132,11 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
         follow = jumped
 
 
+def _owners(ends: np.ndarray) -> np.ndarray:
+    """Number of the token that holds each byte."""
+    return np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+
+
 def _joined(values: pa.Array, ids: np.ndarray) -> np.ndarray:
     """Bytes of the entries of a binary array, one after the other."""
     data = values.take(pa.array(ids)).buffers()[2]
@@ -169,10 +183,12 @@ class _Rows:
         a_ends, b_ends = np.cumsum(v.lengths[0][a]), np.cumsum(v.lengths[1][b])
         label = terminals(a_ends, b_ends)
         ends = np.flatnonzero(label[: len(a)] == np.arange(len(a)))  # A's last token of each group
-        b_last = np.searchsorted(b_ends, a_ends[ends])
-        group = np.searchsorted(ends, label)
+        number = np.empty(len(a), np.int64)
+        number[ends] = np.arange(len(ends))
+        group = number[label]
         a_group, b_group = group[: len(a)], group[len(a) :]
-        a_first, b_first = np.searchsorted(a_group, np.arange(len(ends))), np.searchsorted(b_group, np.arange(len(ends)))
+        b_last = np.flatnonzero(np.diff(b_group, append=len(ends)))
+        b_first = np.append(0, b_last[:-1] + 1)
 
         # ids in the order of groups, A's before B's, each with what follows it
         a_at = np.arange(len(a)) + b_first[a_group]
@@ -181,7 +197,7 @@ class _Rows:
         ids[a_at], ids[b_at] = a, b
         follows[a_at[ends]] = 1
         follows[b_at[b_last]] = 2
-        stop = np.searchsorted(a_doc, np.arange(len(pieces)), "right") + np.searchsorted(b_doc, np.arange(len(pieces)), "right")
+        stop = np.cumsum((sides[0][1] + sides[1][1]) * keep)
         follows[stop[last & keep] - 1] = 3
         names = v.names.take(pa.array(ids * len(_SEPARATORS) + follows))
         offsets = np.frombuffer(names.buffers()[1], np.int64)
@@ -243,7 +259,7 @@ def align(docs: DataFrame, byte_level: str, piece_model: bytes) -> DataFrame:
     """The stored alignment: ``row`` (a number of the row), ``doc_id, n_a, n_b, n_groups,
     groups_sha256`` and the document's distinct linked id pairs with how often each is linked
     (``pairs``: A id times the size of B's vocabulary plus B id; ``times``)."""
-    shared = docs.sparkSession.sparkContext.broadcast((byte_level, piece_model))
+    shared = docs.sparkSession.sparkContext.broadcast((byte_level, piece_model, Tokens(byte_level, piece_model)))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     schema = f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, times array<long>"
     return materialize(rows.mapInArrow(partial(_align, shared=shared), schema), "alignment")
