@@ -219,10 +219,9 @@ def tfidf_stages(
 ):
     """J1-J4 as ML stages: counts -> (sublinear) TF -> smooth IDF + 1 -> norm.
 
-    With ``sublinear`` the weights of the relational ``tfidf`` above, fitted and
-    saveable; Spark ML has no sparse form of that step, so the vectors become dense.
-    Without it they stay sparse. ``vocab_size`` None keeps all terms, and fitting raises an
-    error where they are more than ``ML_TERMS``; the relational form has no such bound.
+    With ``sublinear`` the weights of the relational ``tfidf`` above, fitted and saveable.
+    Vectors stay sparse through all steps. ``vocab_size`` None keeps all terms, and fitting raises
+    an error where they are more than ``ML_TERMS``; the relational form has no such bound.
     """
     from pyspark.ml.feature import CountVectorizer, Normalizer
 
@@ -244,6 +243,14 @@ def tfidf_stages(
     return stages
 
 
+def vector_entries(df: DataFrame, key: str, vector: str, terms: DataFrame) -> DataFrame:
+    """``(key, term, weight)`` of the stored entries of a sparse vector column, named by the
+    table ``terms(index, term)``."""
+    raw = F.unwrap_udt(vector)
+    long = df.select(key, F.explode_outer(F.arrays_zip(raw["indices"].alias("index"), raw["values"].alias("weight"))).alias("_e"))
+    return long.select(key, "_e.*").where("index IS NOT NULL").join(terms, "index").select(key, "term", "weight")
+
+
 def hashing_stage(input_col: str = "tokens", output_col: str = "hashed", num_features: int = 200):
     """J5 as an ML stage (murmur3 buckets, differs from the md5 form by design)."""
     from pyspark.ml.feature import HashingTF

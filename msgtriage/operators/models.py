@@ -17,13 +17,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgtriage.functions.text import display_name
 from msgtriage.operators import features as feat
-from msgtriage.operators.metrics import multilabel_scores
+from msgtriage.operators.metrics import label_report, multilabel_scores
 from msgtriage.operators.sampling import assign_folds, resample_training
+from msgtriage.operators.table_models import PopulationScaler, SentenceVector
 from msgtriage.operators.transformers import KeywordSearch, SuffixLemma, TextTokenizer
 
 # --------------------------------------------------------------------------
@@ -97,19 +98,20 @@ def featurizer(
 ) -> Pipeline:
     """Feature families, ending in one ``features`` vector.
 
-    ``tfidf``: tokens -> lemmas -> counts (2500, min_df 5, max_df .98) -> IDF + 1 -> L2.
-    ``tfidf_sublinear``: the same with sublinear TF, the reference's exact weights (dense).
+    ``tfidf``: tokens -> lemmas -> counts (2500, min_df 5, max_df .98) -> sublinear TF ->
+    IDF + 1 -> L2, the reference's weights, sparse throughout.
     Kinds without a vocabulary size keep every term within the bounds and raise an error
     where these are more than ``features.ML_TERMS``.
     ``tfidf_l1``: tokens (base stop list) -> counts (min_df .01, max_df .95) -> IDF -> L1.
     ``hashed_l1``: tokens -> HashingTF -> IDF -> L1.
-    ``union``: TF-IDF + standardised Word2Vec mean vectors + keyword flags.
+    ``union``: TF-IDF + standardised sentence vectors (J9, J10) + keyword flags, and the outputs
+    of ``families``, further stages over ``tokens`` such as fitted lexicon models.
     """
     tok = TextTokenizer(inputCol=text_col, outputCol="tokens", variant=variant)
-    if kind in ("tfidf", "tfidf_sublinear"):
+    if kind == "tfidf":
         stages = feat.tfidf_stages(
             "lemmas", "features", p.get("vocab_size", 2500), float(p.get("min_df", 5.0)),
-            float(p.get("max_df", 0.98)), 2.0, kind == "tfidf_sublinear",
+            float(p.get("max_df", 0.98)), 2.0, True,
         )
         return Pipeline(stages=[tok, SuffixLemma(inputCol="tokens", outputCol="lemmas"), *stages])
     if kind == "tfidf_l1":
@@ -128,21 +130,23 @@ def featurizer(
             Normalizer(inputCol="hashed_idf", outputCol="features", p=1.0),
         ])
     if kind == "union":
+        from pyspark.ml.feature import VectorSizeHint
+
         stages = feat.tfidf_stages(
-            "tokens", "tfidf", p.get("vocab_size"), float(p.get("min_df", 5.0)),
+            "tokens", "tfidf", p.get("vocab_size"), float(p.get("min_df", 0.01)),
             float(p.get("max_df", 0.95)), 2.0,
         )
-        w2v = feat.word2vec_stage(
-            "tokens", "w2v", int(p.get("size", 100)), int(p.get("min_count", 5)),
-            int(p.get("window", 5)), int(p.get("iter", 1)), int(p.get("partitions", 1)),
+        sentence = SentenceVector(
+            inputCol="tokens", outputCol="sentvec", vectorSize=int(p.get("size", 100)),
+            minCount=int(p.get("min_count", 2)), windowSize=int(p.get("window", 1)),
+            maxIter=int(p.get("iter", 5)), numPartitions=int(p.get("partitions", 1)),
         )
-        scale = feat.standardize_stage("w2v", "w2v_std")
-        from pyspark.ml.feature import VectorSizeHint
-
+        scale = PopulationScaler(inputCol="sentvec", outputCol="sentvec_std")
         kw = KeywordSearch(inputCol="tokens", outputCol="keywords")
         hint = VectorSizeHint(inputCol="keywords", size=len(kw.getOrDefault(kw.keywords)))
-        union = feat.assemble_stage(["tfidf", "w2v_std", "keywords"], "features")
-        return Pipeline(stages=[tok, *stages, w2v, scale, kw, hint, union])
+        families = list(p.get("families", ()))
+        union = feat.assemble_stage(["tfidf", "sentvec_std", "keywords", *[f.getOutputCol() for f in families]], "features")
+        return Pipeline(stages=[tok, *stages, sentence, scale, kw, hint, *families, union])
     raise ValueError(kind)
 
 
@@ -189,16 +193,18 @@ def fit_classifiers(
     parallelism: int = 4,
     clf_params: dict | None = None,
     n_rows: int | None = None,
+    weights: dict | None = None,
 ) -> tuple[dict, dict[str, float]]:
     """One classifier per label on an already featurised (and persisted)
-    ``features`` column, several labels at a time from a thread pool."""
+    ``features`` column, several labels at a time from a thread pool. ``weights``: the
+    columns of ``balanced_weight_columns``, where they are known already."""
     n_rows = n_rows if n_rows is not None else feats.count()
     clf_params = dict(clf_params or {})
     if clf_kind == "mlp":  # the input layer is the feature width
         width = feats.select("features").first()["features"].size
         clf_params["layers"] = [width, *list(clf_params.get("layers", [0, 16, 2]))[1:]]
 
-    weights = balanced_weight_columns(feats, labels) if balanced else {}
+    weights = (weights or balanced_weight_columns(feats, labels)) if balanced else {}
 
     def fit_one(label: str):
         start = time.perf_counter()
@@ -347,24 +353,87 @@ def _predict_features(by_label: dict, feats: DataFrame, labels: Sequence[str], k
     return _long(out, labels, key)
 
 
+def _pooled(tasks: Sequence, parallelism: int) -> list:
+    """Results of the calls, several at a time; their jobs share the cluster (in FAIR pools of
+    their own where the session schedules so)."""
+
+    def run(numbered):
+        i, task = numbered
+        SparkSession.active().sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i % max(1, parallelism)}")
+        return task()
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(inheritable_thread_target(run), list(enumerate(tasks))))
+
+
+_FORESTS = ("forest", "bagging")
+
+
+def first_trees(model, n_trees: int):
+    """The forest of the first ``n_trees`` trees of a fitted forest. Trees of a forest are drawn
+    independently of each other, so this is a fit with that number of trees."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    if n_trees == len(model._java_obj.trees()):
+        return model
+    jvm, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    trees = jvm.trees()
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, n_trees)
+    for i in range(n_trees):
+        kept[i] = trees[i]
+    forest = gateway.jvm.org.apache.spark.ml.classification.RandomForestClassificationModel
+    part = RandomForestClassificationModel(forest(f"{model.uid}_{n_trees}", kept, model.numFeatures, model.numClasses))
+    for col in ("features", "prediction", "rawPrediction", "probability"):
+        part._set(**{f"{col}Col": model.getOrDefault(f"{col}Col")})
+    part._java_obj.set(part._java_obj.getParam("numTrees"), n_trees)
+    return part
+
+
+def _fits(candidates: Sequence[dict]) -> list[tuple[dict, list[int]]]:
+    """The fits that all candidates need: those that differ in the number of trees only share the
+    largest forest."""
+    groups: dict[str, list[int]] = {}
+    for i, cand in enumerate(candidates):
+        params = dict(cand.get("clf_params") or {})
+        if cand.get("clf_kind") in _FORESTS:
+            params.pop("num_trees", None)
+        groups.setdefault(json.dumps({**cand, "clf_params": params}, sort_keys=True), []).append(i)
+    trees = lambda i: (candidates[i].get("clf_params") or {}).get("num_trees", 0)
+    return [(candidates[max(own, key=trees)], own) for own in groups.values()]
+
+
 def grid_search(
     df: DataFrame, labels: Sequence[str], candidates: Sequence[dict], k: int = 3, seed: int = 11,
     key: str = "id", scorer: str = "recall_weighted", feature_kind: str = "tfidf",
+    parallelism: int = 8,
 ) -> list[tuple[int, str, float]]:
     """K9: mean cross-validated score per candidate ``{clf_kind, clf_params, balanced}``.
 
-    Each fold is featurised once (fitted on that fold's training part) and
-    every candidate's classifiers are fitted on the persisted features.
+    Each fold is featurised once (fitted on that fold's training part). Forests that differ in
+    their number of trees only are fitted once, with most trees, and scored at each number; the
+    fits of all (candidate, label) of a fold wait in one pool, and so do the candidates' scores.
     """
     scores: dict[int, list[float]] = {i: [] for i in range(len(candidates))}
+    fits = _fits(candidates)
     for _fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind):
-        for i, cand in enumerate(candidates):
-            by_label, _ = fit_classifiers(
-                tr, labels, cand.get("clf_kind", "logistic"), cand.get("balanced", True), 4,
-                cand.get("clf_params"), n,
-            )
-            row = multilabel_scores(_predict_features(by_label, te, labels, key)).first()
-            scores[i].append(float(row[scorer]))
+        weights = balanced_weight_columns(tr, labels)
+
+        def fit(cand, label):
+            one = {label: weights[label]} if cand.get("balanced", True) else None
+            by, _ = fit_classifiers(tr, [label], cand.get("clf_kind", "logistic"), one is not None, 1, cand.get("clf_params"), n, one)
+            return by[label]
+
+        wanted = [(g, x) for g in range(len(fits)) for x in labels]
+        fitted = dict(zip(wanted, _pooled([lambda g=g, x=x: fit(fits[g][0], x) for g, x in wanted], parallelism)))
+
+        def score(g, i):
+            params = candidates[i].get("clf_params") or {}
+            cut = (lambda m: first_trees(m, int(params["num_trees"]))) if candidates[i].get("clf_kind") in _FORESTS and "num_trees" in params else (lambda m: m)
+            by_label = {x: cut(fitted[g, x]) for x in labels}
+            return i, float(multilabel_scores(_predict_features(by_label, te, labels, key)).first()[scorer])
+
+        for i, value in _pooled([lambda g=g, i=i: score(g, i) for g, (_, own) in enumerate(fits) for i in own], parallelism):
+            scores[i].append(value)
     return [
         (i, json.dumps(c, sort_keys=True), sum(scores[i]) / len(scores[i]))
         for i, c in enumerate(candidates)
@@ -382,6 +451,12 @@ GRID: tuple[dict, ...] = (
 )
 
 
+#: The variant's grid: bagged trees, three numbers of them.
+BAGGING_GRID: tuple[dict, ...] = tuple(
+    {"clf_kind": "bagging", "balanced": False, "clf_params": {"num_trees": trees, "max_depth": 8}} for trees in (100, 110, 120)
+)
+
+
 def refit_best(
     train: DataFrame, labels: Sequence[str], candidates: Sequence[dict],
     scores: Sequence[tuple[int, str, float]], feature_kind: str = "tfidf",
@@ -396,6 +471,62 @@ def refit_best(
     return best, model
 
 
+def stored_folds(
+    df: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11, key: str = "id",
+    feature_kind: str = "tfidf", feature_params: dict | None = None, resample: dict | None = None,
+) -> tuple[DataFrame, dict[int, int]]:
+    """All folds featurised, as one stored table ``fold, part, key, features, labels`` (``part``
+    is ``train`` or ``test``; every row occurs once per fold), and the training rows of each fold."""
+    from msgtriage.session import materialize
+
+    stored, sizes = None, {}
+    for fold, tr, te, n in _fold_features(df, labels, k, seed, key, feature_kind, feature_params, resample):
+        both = [p.select(F.lit(fold).alias("fold"), F.lit(name).alias("part"), key, "features", *labels) for p, name in ((tr, "train"), (te, "test"))]
+        one = materialize(both[0].unionByName(both[1]), f"fold-{fold}")  # read while the fold's rows are cached
+        stored = one if stored is None else stored.unionByName(one)
+        sizes[fold] = n
+    return stored, sizes
+
+
+def fold_predictions(
+    df: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11, key: str = "id",
+    clf_kind: str = "logistic", clf_params: dict | None = None, balanced: bool = True,
+    feature_kind: str = "tfidf", feature_params: dict | None = None, resample: dict | None = None,
+    parallelism: int = 8,
+) -> DataFrame:
+    """Held-out predictions ``fold, key, label, y, yhat`` of every row, each by the models of
+    the fold that did not see it. The fits of all (fold, label) wait in one pool and read one
+    stored table of features."""
+    stored, sizes = stored_folds(df, labels, k, seed, key, feature_kind, feature_params, resample)
+    parts = {f: [stored.where((F.col("fold") == f) & (F.col("part") == p)) for p in ("train", "test")] for f in sizes}
+    parts = {f: [right_size(train, sizes[f]), test] for f, (train, test) in parts.items()}
+    weights = {f: balanced_weight_columns(parts[f][0], labels) for f in sizes} if balanced else {}
+
+    def fit(fold, label):
+        own = {label: weights[fold][label]} if balanced else None
+        by, _ = fit_classifiers(parts[fold][0], [label], clf_kind, balanced, 1, clf_params, sizes[fold], own)
+        return by[label]
+
+    wanted = [(f, x) for f in sizes for x in labels]
+    fitted = dict(zip(wanted, _pooled([lambda f=f, x=x: fit(f, x) for f, x in wanted], parallelism)))
+    out = None
+    for f in sizes:
+        scored = _predict_features({x: fitted[f, x] for x in labels}, parts[f][1], labels, key)
+        scored = scored.select(F.lit(f).alias("fold"), key, "label", "y", "yhat")
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def kfold_report(df: DataFrame, labels: Sequence[str], k: int = 3, **settings) -> DataFrame:
+    """The per-label report (F9) of each fold's held-out rows, by ``fold, label``, with
+    ``n`` rows and ``support`` positive ones, in one aggregate over ``fold_predictions``."""
+    from msgtriage.session import materialize
+
+    scored = materialize(fold_predictions(df, labels, k, **settings), "fold-predictions")
+    sizes = scored.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("support"))
+    return label_report(scored, ("fold", "label")).join(sizes, ["fold", "label"])
+
+
 def cross_val_scores(
     df: DataFrame, labels: Sequence[str], k: int = 3, seed: int = 11, key: str = "id",
     scorer: str = "recall_weighted", clf_kind: str = "logistic", clf_params: dict | None = None,

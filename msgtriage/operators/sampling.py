@@ -237,17 +237,23 @@ def resample_training(
 ) -> DataFrame:
     """The reference's training resampling: several upsamples then one
     negative resample, applied in sequence. Each step's rows are keyed by a
-    ``rowkey`` string so repeated draws of one message stay distinct."""
-    out = df.withColumn("rowkey", F.col(key).cast("string"))
+    ``rowkey`` string so repeated draws of one message stay distinct.
+
+    A step counts, indexes and draws from the rows of the step before it, so each step stores its
+    narrow rows (keys and targets); texts and all other columns are joined to the last step's
+    rows once. ``key`` must be unique, as for every sample (H0)."""
+    from msgtriage.session import materialize
+
+    targets = list(dict.fromkeys([*upsample_targets, *([downsample_target] if downsample_target is not None else [])]))
+    narrow = df.select(F.col(key), F.col(key).cast("string").alias("rowkey"), *targets)
     step = 0
     for t in upsample_targets:
-        out = upsample(out, t, upsample_fraction, "rowkey", seed)
-        out = _rekey(out, step)
+        narrow = materialize(_rekey(upsample(narrow, t, upsample_fraction, "rowkey", seed), step), "resampled")
         step += 1
     if downsample_target is not None:
-        out = resample_negatives(out, downsample_target, downsample_fraction, "rowkey", seed)
-        out = _rekey(out, step)
-    return out
+        narrow = _rekey(resample_negatives(narrow, downsample_target, downsample_fraction, "rowkey", seed), step)
+        narrow = materialize(narrow, "resampled")
+    return narrow.select(key, "rowkey").join(df, key).select(*df.columns, "rowkey")
 
 
 def _rekey(df: DataFrame, step: int) -> DataFrame:

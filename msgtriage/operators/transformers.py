@@ -1,14 +1,18 @@
 """Spark ML Transformer wrappers over the column functions.
 
 Each is a thin ``Transformer`` with ``DefaultParamsReadable/Writable`` so it
-can sit inside a saved ``PipelineModel``; the work is a Column expression.
+can sit inside a saved ``PipelineModel``; the work is a Column expression. Stages whose
+fitted state is a table are in ``table_models``.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -93,7 +97,8 @@ class SuffixLemma(_ColumnTransformer):
 
 
 class SublinearTF(_ColumnTransformer):
-    """J3 as a stage: counts ``c`` become ``1 + ln(c)``, zeros stay."""
+    """J3 as a stage: counts ``c`` become ``1 + ln(c)``, zeros stay and sparse vectors stay
+    sparse: one numpy expression over the stored values of an Arrow batch."""
 
     @keyword_only
     def __init__(self, inputCol: str = "counts", outputCol: str = "tf"):
@@ -101,9 +106,14 @@ class SublinearTF(_ColumnTransformer):
         self._set(**self._input_kwargs)
 
     def expression(self, col):
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-
-        return array_to_vector(F.transform(vector_to_array(col), lambda c: F.when(c > 0, 1.0 + F.log(c)).otherwise(F.lit(0.0))))
+        def sublinear(vectors: pa.Array) -> pa.Array:
+            kind, size, indices, values = (vectors.field(k) for k in range(4))
+            counts = values.values.to_numpy(zero_copy_only=False)
+            tf = np.where(counts > 0, 1.0 + np.log(np.where(counts > 0, counts, 1.0)), 0.0)
+            tf = pa.ListArray.from_arrays(values.offsets, pa.array(tf), type=values.type, mask=values.is_null())
+            return pa.StructArray.from_arrays([kind, size, indices, tf], fields=list(vectors.type), mask=vectors.is_null())
+
+        return F.arrow_udf(sublinear, VectorUDT())(col)  # a nested function: workers need not import this package
 
 
 class CountAllTerms(CountVectorizer):

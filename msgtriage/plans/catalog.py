@@ -15,6 +15,7 @@ from msgtriage.plans import (  # noqa: F401
     queries_lexicon,
     queries_ml,
     queries_sampling,
+    queries_stages,
     queries_stream,
     queries_text,
     queries_vectors,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from msgtriage.operators import features, metrics, models, sampling
 from msgtriage.plans import etl
 from msgtriage.plans.fixtures import table, with_fixtures
+from msgtriage.plans.queries_sampling import _FOLD_SQL, FOLD_SEED, _idx_sql
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import tokens_sql
 from msgtriage.session import ensure_parallelism, materialize, scratch_path
@@ -44,26 +45,29 @@ FITTED_SQL = """SELECT doc_id AS id, term, round(w / sqrt(sum(w * w) OVER (PARTI
            FROM (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * (ln(CAST(1 + nd.n AS DOUBLE) / (1 + v.df)) + 1) AS w
                  FROM tf JOIN v ON tf.term = v.term, nd) x"""
 
+FITTED_CTES = (
+    ("toks", f"SELECT doc_id, {tokens_sql('text', 'train')} AS t FROM documents"),
+    ("lem", """SELECT doc_id, CASE WHEN length(x) > 3 AND suffix(x, 's') THEN left(x, length(x) - 1) ELSE x END AS term
+               FROM (SELECT doc_id, unnest(t) AS x FROM toks) u"""),
+    ("tf", "SELECT doc_id, term, count(*) AS tf FROM lem GROUP BY ALL"),
+    ("nd", "SELECT count(*) AS n FROM documents"),
+    ("v", "SELECT term, count(*) AS df FROM tf, nd GROUP BY term, n HAVING count(*) >= 5 AND count(*) <= 0.98 * n"),
+)
+
 
 @register(
     "fitted_tfidf",
-    ("J1", "J2", "J3", "J4", "I7", "U2", "A8"),
+    ("J1", "J2", "J3", "J4", "I7"),
     with_fixtures(
         FITTED_SQL,
-        ctes=(
-            ("toks", f"SELECT doc_id, {tokens_sql('text', 'train')} AS t FROM documents"),
-            ("lem", """SELECT doc_id, CASE WHEN length(x) > 3 AND suffix(x, 's') THEN left(x, length(x) - 1) ELSE x END AS term
-                       FROM (SELECT doc_id, unnest(t) AS x FROM toks) u"""),
-            ("tf", "SELECT doc_id, term, count(*) AS tf FROM lem GROUP BY ALL"),
-            ("nd", "SELECT count(*) AS n FROM documents"),
-            ("v", "SELECT term, count(*) AS df FROM tf, nd GROUP BY term, n HAVING count(*) >= 5 AND count(*) <= 0.98 * n"),
-        ),
+        ctes=FITTED_CTES,
     ),
 )
 def q_fitted_tfidf(spark, sf_dir):
-    """The canonical training features as fitted, saved and loaded, one row per non-zero term.
+    """The canonical training features in relational form, one row per non-zero term.
 
-    The vocabulary has no size limit, so it is a table and not an ML stage's vector."""
+    The vocabulary has no size limit, so it is a table; the stages of the fitted and saved form are
+    ``ml_tfidf_vectors``."""
     from msgtriage.operators.transformers import SuffixLemma, TextTokenizer
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("message"))
@@ -147,9 +151,47 @@ def q_grid_search(spark, sf_dir):
     scores = models.grid_search(train, labels, models.GRID, 3, 11, "id", "recall_weighted")
     best, model = models.refit_best(train, labels, models.GRID, scores)
     report = metrics.label_report(models.predict_long(model, test, labels, "id"))
-    report = report.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("report"))  # a few rows per label
+    report = report.agg(F.lit(best).alias("candidate"), F.sort_array(F.collect_list(F.struct("*"))).alias("report"))  # a few rows per label
     rows = spark.createDataFrame([(*row, row[0] == best) for row in scores], "candidate INT, params STRING, mean_score DOUBLE, best BOOLEAN")
-    return rows.crossJoin(F.broadcast(report)).withColumn("report", F.when(F.col("best"), F.col("report")))
+    return rows.join(F.broadcast(report), "candidate", "left")
+
+
+@register("grid_search_f1_scores", ("K9", "K11", "K6"))
+def q_grid_search_f1(spark, sf_dir):
+    """The variant's grid: bagged trees of three sizes, scored by ``f1_weighted``."""
+    train, _, labels = _split(spark, sf_dir)
+    scores = models.grid_search(train, labels, models.BAGGING_GRID, 3, 11, "id", "f1_weighted", "tfidf_l1")
+    return spark.createDataFrame(scores, "candidate INT, params STRING, mean_score DOUBLE")
+
+
+@register("kfold_report", ("K12", "K2", "F9", "H3"))
+def q_kfold_report(spark, sf_dir):
+    """Features and models fitted per fold, the held-out rows' report by fold and label."""
+    train, labels = etl.training_table(spark, sf_dir)
+    return models.kfold_report(train, labels, 3, clf_kind="logistic", clf_params={"C": 0.1})
+
+
+@register(
+    "kfold_supports",
+    ("K12", "H3", "K1"),
+    with_fixtures(
+        """SELECT f.fold, u.label, count(*) AS n, count(*) FILTER (u.y = 1) AS support
+           FROM (SELECT id, unnest(['related', 'toxic', 'long', 'multi_line']) AS label, unnest([related, toxic, long, multi_line]) AS y FROM training_fx) u
+           JOIN folds f ON f.id = u.id GROUP BY ALL""",
+        "training_fx",
+        ctes=(
+            ("ids", "SELECT id FROM training_fx"),
+            ("idx", _idx_sql(FOLD_SEED, "ids")),
+            ("cnt", "SELECT count(*) AS n FROM idx"),
+            ("folds", f"SELECT i.id, {_FOLD_SQL} AS fold FROM idx i, cnt c"),
+        ),
+    ),
+)
+def q_kfold_supports(spark, sf_dir):
+    """Rows and positive rows that the fitted folds were scored on."""
+    train, labels = etl.training_table(spark, sf_dir)
+    report = models.kfold_report(train, labels, 3, clf_kind="logistic", clf_params={"C": 0.1})
+    return report.select("fold", "label", "n", "support")
 
 
 @register("stacked_predictions", ("K7",))
