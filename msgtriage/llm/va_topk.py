@@ -14,9 +14,13 @@ between the block's smallest and largest value), and an *exact file* of one row
 Queries are a stated set of rows, taken in blocks of about ``query_rows``; only one block of
 them is sent to the tasks at a time, so memory grows with neither table nor query set.
 
-Defined results: vectors that are null, empty or hold a null, a non-finite component or one
-beyond +-2^27 / scale take no part, neither as query nor as candidate; vectors are scored
-against those of equal length only; ties go to the smaller ``vec_id`` (null ids last);
+Components are whole numbers held as doubles, so all finite ones take part. Bounds carry a slack
+for the rounding of large numbers; exact scores are computed in 64-bit integers where these
+must suffice and in unbounded integers elsewhere.
+
+Defined results: vectors that are null, empty or hold a null or a non-finite component take no
+part, neither as query nor as candidate, and neither do those that ``scale`` makes infinite. A score
+that does not fit a long is the nearest long (such scores are ties). Vectors are scored against those of equal length only; ties go to the smaller ``vec_id`` (null ids last);
 repeated rows are candidates of their own, only the query's own row is left out; a query with
 fewer candidates than k gets them all, one without any has no row. Other columns are not read.
 """
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from msgtriage.session import materialize
 
 CELLS = 256
-LARGEST = 1 << 27
+LONGEST = float(1 << 63)
 BLOCK_ROWS = 2048
 QUERY_ROWS = 1024
 
@@ -50,8 +54,8 @@ def _integers(batch: pa.RecordBatch, scale: float) -> Iterator[tuple[pa.Array, n
     for dim in np.unique(size[size > 0]):
         rows = np.flatnonzero(size == dim)
         v = np.floor(scale * flat[(ends[rows] - dim)[:, None] + np.arange(dim)])
-        ok = (np.isfinite(v) & (np.abs(v) <= LARGEST)).all(axis=1)
-        yield batch.column("vec_id").take(pa.array(rows[ok])).cast(pa.int64()), v[ok].astype(np.int64)
+        ok = np.isfinite(v).all(axis=1)
+        yield batch.column("vec_id").take(pa.array(rows[ok])).cast(pa.int64()), v[ok]
 
 
 def _exact_rows(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
@@ -63,7 +67,7 @@ def _exact_rows(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.
                     continue
                 n = len(v)
                 cols = {"block": np.full(n, (part << 32) + block), "pos": np.arange(n, dtype=np.int32)}
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel().astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
                 yield pa.record_batch({**{k: pa.array(x) for k, x in cols.items()}, "vec_id": ids, "v": lists})
                 block += 1
 
@@ -72,7 +76,7 @@ def _approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of the approximation file; a batch's rows may be part of a block."""
     for batch in batches:
         block, pos = batch.column("block").to_numpy(), batch.column("pos").to_numpy()
-        flat = batch.column("v").flatten().to_numpy().astype(np.int64)
+        flat = batch.column("v").flatten().to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
         ends = np.cumsum(batch.column("v").value_lengths().to_numpy())
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -80,8 +84,8 @@ def _approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             v = flat[ends[a - 1] if a else 0 : ends[b - 1]].reshape(b - a, -1)
             low = v.min(axis=0)
-            width = (v.max(axis=0) - low) // CELLS + 1
-            cell = ((v - low) // width).astype(np.uint8)
+            width = np.floor((v.max(axis=0) - low) / CELLS) + 1
+            cell = np.minimum(np.floor((v - low) / width), CELLS - 1).astype(np.uint8)
             yield pa.record_batch(
                 {
                     "block": pa.array([int(block[a])], pa.int64()), "first": pa.array([int(pos[a])], pa.int32()), "dim": pa.array([v.shape[1]], pa.int32()),
@@ -92,12 +96,13 @@ def _approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bounds(q: np.ndarray, row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds [query, vector] of the scores of a block."""
-    low, width = (np.frombuffer(row[c], np.int64).astype(float) for c in ("low", "width"))
+    low, width = (np.frombuffer(row[c], float) for c in ("low", "width"))
     cell = np.frombuffer(row["cells"], np.uint8).reshape(-1, row["dim"])
     least = low + cell * width
     base = q @ least.T
-    slack = 2.0**-40 * (np.abs(q) @ np.abs(least).max(axis=0))[:, None]  # rounding, if numbers are huge
-    return base + (np.minimum(q, 0) @ (width - 1))[:, None] - slack, base + (np.maximum(q, 0) @ (width - 1))[:, None] + slack
+    slack = 2.0**-40 * (np.abs(q) @ (np.abs(least).max(axis=0) + width))[:, None]  # rounding, if numbers are huge
+    bounds = base + (np.minimum(q, 0) @ (width - 1))[:, None] - slack, base + (np.maximum(q, 0) @ (width - 1))[:, None] + slack
+    return np.clip(bounds[0], -LONGEST, LONGEST), np.clip(bounds[1], -LONGEST, LONGEST)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], shared, k: int) -> Iterator[pa.RecordBatch]:
@@ -121,12 +126,19 @@ def _scan(batches: Iterator[pa.RecordBatch], shared, k: int) -> Iterator[pa.Reco
             )
 
 
+def exact_score(q: np.ndarray, v: np.ndarray) -> int:
+    """Inner product of whole numbers held as doubles, cut to the range of a long."""
+    if len(q) * np.abs(q).max() * np.abs(v).max() < 2.0**62:
+        return int(q.astype(np.int64) @ v.astype(np.int64))
+    return max(-(1 << 63), min((1 << 63) - 1, sum(int(x) * int(y) for x, y in zip(q, v))))
+
+
 def _exact_scores(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     queries = shared.value
     place = {int(n): (d, k) for d, (number, _) in queries.items() for k, n in enumerate(number)}
-    whole = {d: q.astype(np.int64) for d, (_, q) in queries.items()}
     for batch in batches:
-        score = [int(whole[d][k] @ np.array(v, np.int64)) for (d, k), v in zip(map(place.__getitem__, batch.column("q").to_pylist()), batch.column("v").to_pylist())]
+        vectors = map(np.array, batch.column("v").to_pylist())
+        score = [exact_score(queries[d][1][k], v) for (d, k), v in zip(map(place.__getitem__, batch.column("q").to_pylist()), vectors)]
         yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("vec_id"), pa.array(score, pa.int64())], ["q", "vec_id", "score"])
 
 
@@ -138,7 +150,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 102
     """``query_id, rank, vec_id, score`` of the k best inner products of each row that
     ``is_query`` (a condition on ``vec_id``) selects, against all rows but itself."""
     spark = vectors.sparkSession
-    exact = vectors.select("vec_id", "embedding").mapInArrow(partial(_exact_rows, scale=scale), "block long, pos int, vec_id long, v array<int>")
+    exact = vectors.select("vec_id", "embedding").mapInArrow(partial(_exact_rows, scale=scale), "block long, pos int, vec_id long, v array<double>")
     exact = materialize(exact, "va-exact")
     rough = exact.mapInArrow(_approximate, "block long, first int, dim int, low binary, width binary, cells binary")
     rough = materialize(rough, "va-cells")
@@ -153,7 +165,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 102
             continue
         names = spark.createDataFrame([(i, r["block"], r["pos"], r["vec_id"]) for i, r in enumerate(own.select(["block", "pos", "vec_id"]).to_pylist())], "q long, own_block long, own_pos int, query_id long")
         names = F.broadcast(names)  # query_rows rows
-        by_dim: dict[int, list[tuple[int, list[int]]]] = {}
+        by_dim: dict[int, list[tuple[int, list[float]]]] = {}
         for i, v in enumerate(own["v"].to_pylist()):
             by_dim.setdefault(len(v), []).append((i, v))
         shared = spark.sparkContext.broadcast({d: (np.array([i for i, _ in vs]), np.array([v for _, v in vs], float)) for d, vs in by_dim.items()})

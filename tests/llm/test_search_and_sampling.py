@@ -1,5 +1,6 @@
 """Top-k search and mixing against brute force."""
 
+import math
 import random
 from collections import Counter
 
@@ -24,10 +25,22 @@ def test_top_k_equals_brute_force(spark, k, query_rows):
     got = [tuple(r) for r in va_topk.search(docs, F.col("vec_id") % 100 == 0, k=k, query_rows=query_rows).collect()]
     import numpy as np
 
-    exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows if i != 2400]
+    exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert Counter(got) == Counter(top_k(exact, k))
 
 
+def test_top_k_of_huge_components(spark):
+    big = [(100, [1.0, 0.0]), (200, [1e30, -1.0]), (3, [200000.0, 0.0]), (4, [1.0, 1.0]), (5, [3e38, 1.0]), (6, [-3e38, 2e5]), (7, [2e30, 0.0]), (8, [float(2**53), 3.0])]
+    docs = spark.createDataFrame(big, "vec_id long, embedding array<double>").repartition(2)
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in big}
+    want = []
+    for q in (100, 200):
+        scores = [(max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], whole[i])))), i) for i in whole if i != q]
+        scores.sort(key=lambda x: (-x[0], x[1]))
+        want += [(q, r + 1, i, s) for r, (s, i) in enumerate(scores[:3])]
+    assert Counter(tuple(r) for r in va_topk.search(docs, F.col("vec_id") % 100 == 0, k=3).collect()) == Counter(want)
+
+
 def test_top_k_without_vectors_or_queries(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert va_topk.search(none, F.col("vec_id") % 100 == 0).collect() == []
