@@ -38,6 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from msgtriage.operators.lexicon import sized_side
 from msgtriage.session import materialize, scratch_path
 
 MIN_BYTES = 1000
@@ -120,18 +121,33 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
 
 
 def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``page_id, url, payload, digest, revisit, refers_to`` for each page."""
+    """``page_id, url, payload, digest, revisit, refers_to`` for each page.
+
+    Copies are decided on digests alone: the payloads that occur more than once make a narrow
+    stored table (digest, the response's page, how many rows that page has), which the scan is
+    joined with; it is broadcast within a measured size, so payloads then move through no shuffle.
+    Only where the response's own row is repeated, those rows are grouped (their payload moves
+    once per task), numbered by url, and repeated again."""
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     large = F.length("payload") >= min_bytes
-    # copies with one id are told apart by their number; such groups are repeated rows only
-    twin = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
-    rows = rows.withColumn("twin", twin)
-    first = rows.where(large).groupBy("digest").agg(F.max(F.struct(F.col("page_id").isNotNull(), "page_id", (-F.col("twin")).alias("twin"))).alias("first"))
-    rows = rows.join(first.withColumnRenamed("digest", "d"), large & (F.col("digest") == F.col("d")), "left")
-    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("twin") == -F.col("first.twin"))
-    rows = rows.withColumn("revisit", F.col("first").isNotNull() & ~is_first)
-    return rows.select("page_id", "url", "payload", "digest", "revisit", F.when(F.col("revisit"), F.col("first.page_id")).alias("refers_to"))
+    per = rows.where(large).groupBy("digest", "page_id").agg(F.count("*").alias("n"))
+    first = F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "n")).alias("first")
+    copies = per.groupBy("digest").agg(first, F.sum("n").alias("rows")).where("rows > 1")
+    copies = copies.select(F.col("digest").alias("d"), F.col("first.page_id").alias("first_id"), F.col("first.n").alias("twins"))
+    copies = materialize(copies, "warc-copies")
+    joined = rows.join(sized_side(copies), large & (F.col("digest") == F.col("d")), "left")
+    is_first = F.col("page_id").eqNullSafe(F.col("first_id"))
+    revisit = F.col("d").isNotNull() & ~is_first
+    named = lambda df: df.select("page_id", "url", "payload", "digest", "revisit", F.when(F.col("revisit"), F.col("first_id")).alias("refers_to"))
+    if copies.where("twins > 1").isEmpty():
+        return named(joined.withColumn("revisit", revisit))
+    twin = F.col("d").isNotNull() & is_first & (F.col("twins") > 1)
+    alike = joined.where(twin).groupBy("page_id", "first_id", "digest", "url").agg(F.count("*").alias("k"), F.first("payload").alias("payload"))
+    earlier = Window.partitionBy("digest").orderBy("url").rowsBetween(Window.unboundedPreceding, -1)  # urls of one page
+    alike = alike.withColumn("before", F.coalesce(F.sum("k").over(earlier), F.lit(0)))
+    alike = alike.withColumn("place", F.explode(F.sequence(F.lit(1), F.col("k")))).withColumn("revisit", F.col("before") + F.col("place") > 1)
+    return named(joined.where(~twin).withColumn("revisit", revisit)).union(named(alike))
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_BYTES) -> DataFrame:

@@ -272,3 +272,13 @@ def test_operators_leave_other_columns(spark):
     docs = spark.createDataFrame([(1, "text", "keep")], "doc_id long, text string, extra string")
     assert nbsvm.score(docs, nbsvm.Model(None, None, 0.0)).first() == (1, "text", "keep", 0.5)
     assert html_text.extract(docs.withColumnRenamed("text", "html")).select("extra", F.col("text")).first() == ("keep", "text")
+
+
+def test_copies_of_the_response_are_numbered(spark):
+    body = "x" * 1200
+    rows = [(9, "u1", body)] * 3 + [(9, "u0", body), (9, None, body), (4, "u2", body), (None, "u3", body), (9, "u4", "y" * 1200), (1, "a", "z" * 1500), (1, "b", "z" * 1500), (3, "c", "short"), (2, "d", "short")]
+    got = warc.plan_records(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert Counter((r.page_id, r.url, bytes(r.payload).decode()) for r in got) == Counter(rows)
+    assert {(r.page_id, r.url) for r in got if not r.revisit} == {(9, None), (9, "u4"), (1, "a"), (3, "c"), (2, "d")}
+    assert Counter((r.page_id, r.refers_to) for r in got if r.revisit) == Counter({(9, 9): 4, (4, 9): 1, (None, 9): 1, (1, 1): 1})
+    assert all(r.refers_to is None for r in got if not r.revisit)
