@@ -219,29 +219,39 @@ def q_classified(spark, sf_dir):
     return out.select("id", F.array_join("categories", ", ").alias("categories"))
 
 
-@register(
-    "pca_projection",
-    ("J13", "J12"),
-    with_fixtures("SELECT id, CAST(5 AS INTEGER) AS k FROM training_fx", "training_fx"),
-)
+@register("pca_projection", ("J13", "J12"))
 def q_pca(spark, sf_dir):
+    """The first five principal components of the 200-bucket hashed features of the training rows."""
     from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
 
     from msgtriage.operators.features import optional_transform_stage
     from msgtriage.operators.transformers import Dense
 
     train, labels = etl.training_table(spark, sf_dir)
     # Spark's PCA builds a d x d Gramian: project the 200-bucket hashed
-    # features (J5), not the 2,500-term TF-IDF.
+    # features (J5), not the 2,500-term TF-IDF (that is ``svd_projection``).
     fmodel = models.featurizer("hashed_l1", "message").fit(train)
     feats = fmodel.transform(train)
     pipe = Pipeline(stages=[
         Dense(inputCol="features", outputCol="dense"),
         optional_transform_stage("pca", "dense", "pca", k=5),
     ]).fit(feats)
-    from pyspark.ml.functions import vector_to_array
+    parts = pipe.transform(feats).select("id", vector_to_array("pca").alias("p"))
+    return parts.select("id", F.size("p").alias("k"), *[r6(F.col("p")[i]).alias(f"c{i}") for i in range(5)])
+
+
+@register("svd_projection", ("J13", "J3"))
+def q_svd(spark, sf_dir):
+    """Truncated SVD of all documents' sublinear TF-IDF over an unlimited vocabulary: each
+    document's place along the five largest right vectors, and the singular values."""
+    from msgtriage.operators.svd import truncated_svd
 
-    return pipe.transform(feats).select("id", F.size(vector_to_array("pca")).alias("k"))
+    entries = materialize(q_fitted_tfidf(spark, sf_dir), "svd-tfidf")
+    svd = truncated_svd(entries, 5)
+    found = svd.project(entries)
+    sigma = [F.lit(round(x, 6)).alias(f"sigma{i}") for i, x in enumerate(svd.singular_values)]
+    return found.select("id", *[r6(F.col("vector")[i]).alias(f"c{i}") for i in range(len(sigma))], *sigma)
 
 
 def _first_component_sql():
