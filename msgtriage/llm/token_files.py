@@ -16,8 +16,8 @@ Defined results: a null or empty text is a document of 0 tokens; repeated rows a
 stay rows of their own; an empty file has no documents; tokens after a file's last
 separator are one more document with ``complete`` false. Texts are encoded whole: beyond
 ``CUT_CHARS`` characters they are handed over in parts, cut before a space that follows and
-precedes a letter (where the vocabulary's pattern cuts too); only a stretch of that length
-without any such place is cut elsewhere.
+precedes a letter (where the vocabulary's pattern cuts too); a stretch without any such place
+is handed over whole, whatever its length.
 """
 
 from __future__ import annotations
@@ -52,27 +52,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Byte-pair encoder whose ids end below ``separator``; one per worker process."""
 
-    kept: "tuple[int, Encoder] | None" = None
+    kept: "tuple[str, Encoder] | None" = None
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, key: str = ""):
         import tiktoken
 
         self.encoding = tiktoken.Encoding("token_files", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def of(cls, shared) -> "Encoder":
-        if cls.kept is None or cls.kept[0] != id(shared.value):
-            cls.kept = (id(shared.value), cls(*shared.value))
+        key = shared.value[2]  # made anew for every vocabulary sent
+        if cls.kept is None or cls.kept[0] != key:
+            cls.kept = (key, cls(*shared.value))
         return cls.kept[1]
 
     def encode(self, text: str) -> Iterator[np.ndarray]:
         at = 0
-        while len(text) - at > CUT_CHARS:
-            cut = at + CUT_CHARS
-            if place := next((m for m in _CUT.finditer(text, cut, min(len(text), cut + CUT_CHARS))), None):
-                cut = place.start()
-            yield self.encoding.encode_to_numpy(text[at:cut], disallowed_special=())
-            at = cut
+        while len(text) - at > CUT_CHARS and (place := _CUT.search(text, at + CUT_CHARS)):
+            yield self.encoding.encode_to_numpy(text[at : place.start()], disallowed_special=())
+            at = place.start()
         yield self.encoding.encode_to_numpy(text[at:], disallowed_special=())
 
 
@@ -112,7 +110,7 @@ def write(docs: DataFrame, ranks: dict[bytes, int], separator: int, folder: str
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
-    shared = spark.sparkContext.broadcast((ranks, pattern))
+    shared = spark.sparkContext.broadcast((ranks, pattern, uuid.uuid4().hex))
     rows = docs.select("doc_id", "text").mapInArrow(partial(_write, shared=shared, folder=folder, separator=separator, kind=kind), "path string, place long, doc_id long")
     return materialize(rows, "token-list")
 

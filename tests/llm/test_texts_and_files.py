@@ -283,3 +283,12 @@ def test_copies_of_the_response_are_numbered(spark):
     assert {(r.page_id, r.url) for r in got if not r.revisit} == {(9, None), (9, "u4"), (1, "a"), (3, "c"), (2, "d")}
     assert Counter((r.page_id, r.refers_to) for r in got if r.revisit) == Counter({(9, 9): 4, (4, 9): 1, (None, 9): 1, (1, 1): 1})
     assert all(r.refers_to is None for r in got if not r.revisit)
+
+
+def test_unbroken_stretches_are_encoded_whole():
+    rng = random.Random(4)
+    encoder = token_files.Encoder(token_files.read_ranks("/opt/tokenizers/byte_bpe_multi_50k.tiktoken"), token_files.PATTERN)
+    runs = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (49_999, 50_001, 52_000)] + ["7" * 120_000, " " * 60_000 + "x", "ab cd " * 20_000, "1 2 " * 30_000]
+    for text in runs:
+        whole = encoder.encoding.encode_ordinary(text)
+        assert np.concatenate(list(encoder.encode(text))).tolist() == whole
