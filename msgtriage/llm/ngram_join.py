@@ -17,10 +17,13 @@ respected; nothing is sampled or capped.
    together by their smallest group, and each such home gets a tree: leaves hold a set's size and token bitmap, inner nodes the size range and
    the OR of their children's bitmaps. A dual traversal from the root pair drops
    node pairs whose sizes cannot reach the threshold or whose bitmaps bound the
-   overlap below it. Homes larger than ``tree_rows`` are split into
-   pairs of chunks, each with its own two trees.
-5. Surviving pairs are checked exactly on the sets; links plus near groups
-   give the components.
+   overlap below it. Homes of more than ``tree_rows`` sets, or more than ``CHUNK_TOKENS``
+   shingles, are split into chunks by size band, then by hash; only chunks whose bands
+   can link meet, each pair with its own two trees. Out come the sets with a partner left.
+5. These sets meet once more in their homes, now with all their shingles: the traversal's
+   pairs are checked exactly in the task, pairs of sets that links have joined already are
+   passed over, and only links that join two groups leave the task, so a home gives
+   fewer links than it has sets. Links plus near groups give the components.
 
 Defined results: null or word-less texts have an empty set and link with
 nothing; texts with fewer than ``width`` words have their whole sequence as one
@@ -31,12 +34,13 @@ Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgtriage.llm.arrays import doc_slices, mix, separator_words, shingle_hashes, short_hash, word_hashes
@@ -46,6 +50,8 @@ HEAVY_BITS = 18  # the table of shared shingles has 2^18 one-byte entries, at an
 HEAVY_LOCAL = 2  # copies of a shingle among HEAVY_TOKENS of a task that make it worth counting
 HEAVY_TOKENS = 3_000_000
 ID_BYTES = 64 << 20  # ids of candidate documents are broadcast up to this size, else joined by shuffle
+BLOCK_ROW_BYTES = 64  # of a row that says which block a set goes to
+CHUNK_TOKENS = 1 << 22  # shingles of a chunk, one set at least
 CENTRES = 4
 STAR_PART = 100
 TREE_ROWS = 8192
@@ -243,8 +249,9 @@ def dual_traversal(left: SignatureTree, right: SignatureTree, threshold: int) ->
 
 
 def _block_pairs(rows: dict[str, np.ndarray], threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of different components that the trees of a block leave over."""
     order = np.lexsort((rows["comp"], rows["n"]))
-    ids, comp, n, part, limit = (rows[c][order] for c in ("set_id", "comp", "n", "part", "limit"))
+    comp, n, part, limit = (rows[c][order] for c in ("comp", "n", "part", "limit"))
     raw = rows["bits"][order]
     own = np.flatnonzero(part == part.min())  # chunk i of the pair (i, j); all rows if i = j
     other = np.flatnonzero(part == part.max())
@@ -257,8 +264,7 @@ def _block_pairs(rows: dict[str, np.ndarray], threshold: int) -> Iterator[tuple[
     for i, j in dual_traversal(left, right, threshold):
         i, j = own[i], other[j]
         apart = comp[i] != comp[j]
-        a, b = ids[i[apart]], ids[j[apart]]
-        yield np.minimum(a, b), np.maximum(a, b)
+        yield order[i[apart]], order[j[apart]]
 
 
 def _pairs_may_link(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
@@ -272,70 +278,153 @@ def _pairs_may_link(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterat
             a, b = (_widened(r, max(len(a), len(b))) for r in (x, y))
             common = np.bitwise_count(a & b).sum(dtype=np.int64) + spare
             keep[k] = (100 + threshold) * common >= threshold * (na[k] + nb[k])
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+        yield batch.select(["a", "b", "home", "na"]).filter(pa.array(keep))
 
 
-def _tree_candidates(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """Batches hold blocks as runs of equal (home, i, j); a block's rows number
-    2 ``tree_rows`` at most, so the open block kept between batches is bounded."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The blocks of sorted batches, runs of equal (home, ci, cj). A block is two
+    chunks at most, so the open one that is kept between batches is bounded."""
     rest: pa.Table | None = None
-
-    def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: table[c].to_numpy() for c in ("set_id", "comp", "n", "part", "limit", "home", "ci", "cj")}
-        raw = np.array(table["bits"].to_pylist(), object)
-        change = np.zeros(len(raw), bool)
-        for c in ("home", "ci", "cj"):
-            change[1:] |= cols[c][1:] != cols[c][:-1]
-        cuts = np.concatenate([[0], np.flatnonzero(change), [len(raw)]])
-        found: set[tuple[int, int]] = set()
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if b - a < 2:
-                continue
-            rows = {c: v[a:b] for c, v in cols.items()} | {"bits": raw[a:b]}
-            for x, y in _block_pairs(rows, threshold):
-                found.update(zip(x.tolist(), y.tolist()))
-            if len(found) >= 1 << 16:
-                yield _pair_batch(found)
-                found = set()
-        if found:
-            yield _pair_batch(found)
-
     for batch in batches:
         table = pa.Table.from_batches([batch])
         if rest is not None:
-            table = pa.concat_tables([rest, table]).combine_chunks()
-        key = [table[c].to_numpy() for c in ("home", "ci", "cj")]
-        last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1])) if len(table) else []
-        cut = int(last[-1]) + 1 if len(last) else 0
-        yield from blocks(table.slice(0, cut).combine_chunks()) if cut else ()
-        rest = table.slice(cut)
+            table = pa.concat_tables([rest, table])
+        if not len(table):
+            continue
+        change = np.zeros(len(table), bool)
+        for c in ("home", "ci", "cj"):
+            v = table[c].to_numpy()
+            change[1:] |= v[1:] != v[:-1]
+        cuts = np.concatenate([[0], np.flatnonzero(change)])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield table.slice(a, b - a)
+        rest = table.slice(int(cuts[-1]))
     if rest is not None and len(rest):
-        yield from blocks(rest.combine_chunks())
+        yield rest
 
 
-def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*found)
-    return pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _tree_survivors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Of each block the sets that have a partner in another component left."""
+    for block in _blocks(batches):
+        if len(block) < 2:
+            continue
+        rows = {c: block[c].to_numpy() for c in ("comp", "n", "part", "limit")}
+        rows["bits"] = np.array([*block["bits"].to_pylist(), None], object)[:-1]
+        open_ = np.zeros(len(block), bool)
+        for i, j in _block_pairs(rows, threshold):
+            open_[i] = open_[j] = True
+        if open_.any():
+            yield from block.select(["home", "set_id", "comp", "n", "limit"]).filter(pa.array(open_)).combine_chunks().to_batches()
+
+
+def _exact_links(batches: Iterator[pa.RecordBatch], threshold: int, star: bool) -> Iterator[pa.RecordBatch]:
+    """Of each block links that join its components as all its links do; in a star only
+    links with the home itself are looked for."""
+    for block in _blocks(batches):
+        ids, first = np.unique(block["set_id"].to_numpy(), return_index=True)  # repeated documents give a set again
+        if len(ids) < 2:
+            continue
+        block = block.take(pa.array(first)).combine_chunks()
+        tokens = block["tokens"].combine_chunks()
+        off = tokens.offsets.to_numpy().astype(np.int64)
+        flat = tokens.values.to_numpy().view(np.uint64)
+        rows = {c: block[c].to_numpy() for c in ("comp", "n", "part", "limit")}
+        if star:
+            centre = np.flatnonzero(ids == block["home"][0].as_py())
+            others = np.flatnonzero(ids != block["home"][0].as_py())
+            pairs = iter([(np.repeat(centre, len(others)), others)] if len(centre) else [])
+        else:
+            rows["bits"] = np.array([*(bitmap(flat[a:b]).tobytes() for a, b in zip(off[:-1], off[1:])), None], object)[:-1]
+            pairs = _block_pairs(rows, threshold)
+        links = _joining_links(pairs, flat, off, rows["comp"], threshold)
+        if links:
+            a, b = (ids[np.array(x)] for x in zip(*links))
+            yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+
+def _joining_links(pairs: Iterator[tuple[np.ndarray, np.ndarray]], flat: np.ndarray, off: np.ndarray, comp: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Pairs that reach the threshold exactly and are of two groups when they are met."""
+    _, local = np.unique(flat, return_inverse=True)
+    held = np.zeros(len(flat) + 1, bool)
+    size = np.diff(off)
+    _, root = np.unique(comp, return_inverse=True)  # the group of each row
+    members: dict[int, list[int]] = {}
+    for k, r in enumerate(root.tolist()):
+        members.setdefault(r, []).append(k)
+    links = []
+    for i, j in pairs:
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(i)) + 1, [len(i)]])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if lo == hi:
+                continue
+            x = int(i[lo])
+            own = local[off[x] : off[x + 1]]
+            held[own] = True
+            near = j[lo:hi]
+            near = near[root[near] != root[x]]
+            for a in range(0, len(near), PAIRS_AT_ONCE >> 5):
+                some = near[a : a + (PAIRS_AT_ONCE >> 5)]
+                where = np.concatenate([np.arange(off[y], off[y + 1]) for y in some])
+                common = np.add.reduceat(held[local[where]].astype(np.int64), np.concatenate([[0], np.cumsum(size[some])[:-1]]))
+                for y in some[(100 + threshold) * common >= threshold * (size[x] + size[some])].tolist():
+                    old, new = int(root[y]), int(root[x])
+                    if old == new:
+                        continue
+                    if len(members[old]) > len(members[new]):
+                        old, new = new, old
+                    root[members[old]] = new
+                    members[new] += members.pop(old)
+                    links.append((x, y))
+            held[own] = False
+    return links
 
 
 # -- links and components ------------------------------------------------------
 
 
-def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Pairs whose exact Jaccard similarity reaches the threshold; only the sets that
-    occur in ``pairs`` are read again from their texts."""
-    pairs = materialize(pairs, "candidate-pairs")
-    used = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct().join(signatures.select("set_id", "doc_id"), "set_id")
-    used = materialize(used, "candidate-docs")
-    wanted = used.select("doc_id").distinct()
-    chosen = texts.alias("t").join(_bounded(wanted).alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
+def _chunk_pairs(rows: DataFrame, threshold: int, tree_rows: int) -> DataFrame:
+    """``rows`` (home, set_id, n and more) once for each pair of chunks ``ci <= cj`` that they
+    take part in, with ``part`` the own chunk.
+
+    A large home is cut into size bands, these by hash; linked sets lie in one band or
+    in neighbouring ones. The width has a margin, so rounding puts no linked sets further apart."""
+    band = F.floor(F.log("n") / (1.000001 * math.log(100 / threshold))).cast("int") if threshold < 100 else F.lit(0)
+    rows = rows.withColumn("band", band)
+    cells = rows.groupBy("home", "band").agg(F.count("*").alias("sets"), F.max("n").cast("long").alias("top"))
+    parts = F.ceil(F.greatest(F.col("sets") / tree_rows, F.col("sets") * F.col("top") / CHUNK_TOKENS)).cast("int")
+    homes = cells.groupBy("home").agg(F.sum("sets").alias("sets"), F.max("top").alias("top"), F.map_from_entries(F.collect_list(F.struct("band", parts))).alias("chunks"))
+    homes = homes.where((F.col("sets") > tree_rows) | (F.col("sets") * F.col("top") > CHUNK_TOKENS)).select("home", "chunks")
+    rows = rows.join(homes, "home", "left")
+
+    def code(band: Column, k: Column) -> Column:
+        return band.cast("long") * (1 << 32) + k
+
+    def all_of(band: Column) -> Column:
+        ks = F.sequence(F.lit(0), F.try_element_at("chunks", band) - 1)
+        return F.coalesce(F.transform(ks, lambda k: code(band, k)), F.expr("cast(array() as array<bigint>)"))
+
+    own = code(F.col("band"), F.pmod(F.xxhash64("set_id"), F.try_element_at("chunks", F.col("band")).cast("long")))
+    to = F.concat(*[all_of(F.col("band") + d) for d in (-1, 0, 1)])
+    whole = F.col("chunks").isNull()
+    rows = rows.withColumn("part", F.when(whole, F.lit(0).cast("long")).otherwise(own))
+    rows = rows.withColumn("to", F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(to)))
+    return rows.withColumn("ci", F.least("part", "to")).withColumn("cj", F.greatest("part", "to")).drop("band", "chunks", "to")
+
+
+def _links(blocks: DataFrame, signatures: DataFrame, texts: DataFrame, width: int, threshold: int, star: bool = False) -> DataFrame:
+    """Links (a, b) between the sets of blocks ``home, ci, cj, part, set_id, n, comp, limit``;
+    only the sets that occur there are read again from their texts."""
+    blocks = materialize(blocks.drop("n"), "link-blocks")
+    wanted = blocks.select("set_id").distinct().join(signatures.select("set_id", "doc_id", "text_hash"), "set_id")
+    wanted = materialize(wanted.select("doc_id", "text_hash").distinct(), "link-docs")
+    same = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.xxhash64("t.text") == F.col("w.text_hash"))
+    chosen = texts.alias("t").join(_bounded(wanted).alias("w"), same, "left_semi")
     sets = _arrow(chosen.select("text"), _full_sets, "set_id long, n long, tokens array<long>", width=width)
-    # repeated rows of a document may give its set again; a pair found twice is one link
-    sets = materialize(sets, "candidate-sets")
-    one = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    common = F.size(F.array_intersect("ta", "tb"))
-    return pairs.join(one, "a").join(two, "b").where((100 + threshold) * common >= threshold * (F.col("na") + F.col("nb"))).select("a", "b")
+    rows = sets.join(_bounded(blocks, BLOCK_ROW_BYTES), "set_id").select("home", "ci", "cj", "part", "set_id", "n", "comp", "limit", "tokens")
+    rows = rows.repartition("home", "ci", "cj").sortWithinPartitions("home", "ci", "cj")
+    return _arrow(rows, _exact_links, "a long, b long", threshold=threshold, star=star)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -396,37 +485,45 @@ def near_duplicate_sets(docs: DataFrame, width: int = 5, threshold: int = 80, tr
     shared = materialize(shared, "shared-postings")
 
     nodes = seen.where("is_doc").where("n_shingles > 0").join(shared.select("set_id").distinct(), "set_id", "left_semi")
-    nodes = nodes.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
-    signatures = materialize(nodes, "signatures")
+    nodes = nodes.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("doc"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    signatures = materialize(nodes.select("set_id", "doc.*", "n", "bits"), "signatures")
 
     star = shared.where("set_id != centre.set_id and centre.n <= limit and n <= centre.limit")
     star = star.where(100 * F.least("n", "centre.n") >= threshold * F.greatest("n", "centre.n"))
     star = star.groupBy(F.least("set_id", "centre.set_id").alias("a"), F.greatest("set_id", "centre.set_id").alias("b"))
     # copies meet in many blocks; whoever meets its centre in a few only is left to the trees
-    star = star.agg(F.count("*").alias("blocks"), F.max("n").alias("n")).where(f"{STAR_PART} * blocks >= n").select("a", "b")
+    star = star.agg(F.count("*").alias("blocks"), F.max("n").alias("n"), F.min("centre.set_id").alias("home")).where(f"{STAR_PART} * blocks >= n").select("a", "b", "home")
     star = star.join(signatures.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")), "a")
     star = star.join(signatures.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")), "b")
-    star = _arrow(star, _pairs_may_link, "a long, b long", threshold=threshold)
-    groups = connected_components(_linked(star, signatures, texts, width, threshold))
+    star = materialize(_arrow(star, _pairs_may_link, "a long, b long, home long, na long", threshold=threshold), "star-pairs")
+    groups = connected_components(_links(_star_blocks(star, tree_rows), signatures, texts, width, threshold, star=True))
 
-    placed = shared.select("token", "set_id", "limit").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
+    placed = shared.select("token", "set_id", "n", "limit").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "set_id"))
     # blocks with the same smallest component share most of their sets and become one home, where each set stands once
     open_ = placed.groupBy("token").agg(F.min("comp").alias("home"), F.max("comp").alias("c1")).where("home < c1").select("token", "home")
-    homes = placed.join(open_, "token").groupBy("home", "set_id").agg(F.first("comp").alias("comp"), F.max("limit").alias("limit"))
-    homes = materialize(homes, "homes")
-    chunks = homes.groupBy("home").agg(F.ceil(F.count("*") / tree_rows).cast("int").alias("chunks"))
-    blocks = homes.join(chunks, "home").withColumn("part", F.pmod(F.xxhash64("set_id"), "chunks").cast("int"))
-    blocks = blocks.join(signatures.select("set_id", "n", "bits"), "set_id")
-    blocks = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.select("home", "set_id", "limit", "comp", "part", "n", "bits", F.least("part", "to").alias("ci"), F.greatest("part", "to").alias("cj"))
+    homes = placed.join(open_, "token").groupBy("home", "set_id").agg(F.first("comp").alias("comp"), F.max("limit").alias("limit"), F.max("n").alias("n"))
+    blocks = _chunk_pairs(materialize(homes, "homes"), threshold, tree_rows).join(signatures.select("set_id", "bits"), "set_id")
+    blocks = blocks.select("home", "set_id", "limit", "comp", "part", "n", "bits", "ci", "cj")
     blocks = blocks.repartition("home", "ci", "cj").sortWithinPartitions("home", "ci", "cj")
-    pairs = _arrow(blocks, _tree_candidates, "a long, b long", threshold=threshold).distinct()
-    more = _linked(pairs, signatures, texts, width, threshold)
+    # sets with a partner left; one that has partners in several pairs of chunks stands there several times
+    open_sets = materialize(_arrow(blocks, _tree_survivors, "home long, set_id long, comp long, n int, limit int", threshold=threshold), "open-sets")
+    more = _links(_chunk_pairs(open_sets.distinct(), threshold, tree_rows), signatures, texts, width, threshold)
     joined = groups.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)
     return described, connected_components(joined).withColumnRenamed("node", "set_id")
 
 
+def _star_blocks(pairs: DataFrame, tree_rows: int) -> DataFrame:
+    """Blocks of a centre and some of its partners; ``pairs`` are stored (a, b, home = a or b, na)."""
+    partner = F.when(F.col("a") == F.col("home"), F.col("b")).otherwise(F.col("a")).alias("set_id")
+    sizes = pairs.groupBy("home").agg(F.ceil(F.greatest(F.count("*") / tree_rows, F.sum("na") / CHUNK_TOKENS)).cast("long").alias("chunks"))
+    rows = pairs.select("home", partner, "na").join(sizes, "home").withColumn("ci", F.pmod(F.xxhash64("set_id"), "chunks"))
+    centres = sizes.select("home", F.col("home").alias("set_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("ci"))
+    rows = rows.select("home", "set_id", "ci").union(centres)
+    none = F.lit(0)
+    return rows.select("home", "ci", F.col("ci").alias("cj"), none.cast("long").alias("part"), "set_id", none.alias("n"), F.col("set_id").alias("comp"), none.alias("limit"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id`` (smallest reachable doc_id)."""
     placed = _grouped(docs, width, threshold, tree_rows)
@@ -442,9 +539,9 @@ def _grouped(docs: DataFrame, width: int, threshold: int, tree_rows: int) -> Dat
     return placed.withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "set_id")))
 
 
-def _bounded(rows: DataFrame) -> DataFrame:
-    """Stored ids, marked for broadcast if their size allows it."""
-    return F.broadcast(rows) if rows.count() * 16 <= ID_BYTES else rows
+def _bounded(rows: DataFrame, row_bytes: int = 16) -> DataFrame:
+    """Stored rows of a known size, marked for broadcast if it allows that."""
+    return F.broadcast(rows) if rows.count() * row_bytes <= ID_BYTES else rows
 
 
 def keep_one_per_group(docs: DataFrame, width: int = 5, threshold: int = 80, tree_rows: int = TREE_ROWS) -> DataFrame:

@@ -31,8 +31,9 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("tree_rows", [2048, 16])
-def test_components_equal_all_pairs(spark, tree_rows):
+@pytest.mark.parametrize("tree_rows, chunk_tokens", [(2048, 1 << 22), (16, 1 << 22), (2048, 700)])
+def test_components_equal_all_pairs(spark, monkeypatch, tree_rows, chunk_tokens):
+    monkeypatch.setattr(ngram_join, "CHUNK_TOKENS", chunk_tokens)
     rows = near_copies()
     docs = spark.createDataFrame([(i, t, "a", 1) for i, t in rows], "doc_id long, text string, set_id string, n int").repartition(3)
     got = [tuple(r) for r in ngram_join.jaccard_components(docs, tree_rows=tree_rows).collect()]
@@ -59,6 +60,20 @@ def test_join_on_empty_table(spark):
     assert ngram_join.keep_one_per_group(docs).collect() == []
 
 
+def test_links_of_a_block_are_a_forest():
+    import numpy as np
+
+    base = np.arange(1, 101, dtype=np.uint64)
+    sets = [np.unique(np.append(base[k:], 1000 + k).astype(np.uint64)) for k in range(30)] + [base + np.uint64(10**6)]
+    off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    i, j = np.triu_indices(len(sets), 1)
+    links = ngram_join._joining_links(iter([(i, j)]), np.concatenate(sets), off, np.arange(len(sets)), 80)
+    assert len(links) == 29 and all(x < 30 and y < 30 for x, y in links)
+    for x, y in links:
+        a, b = set(sets[x].tolist()), set(sets[y].tolist())
+        assert 100 * len(a & b) >= 80 * len(a | b)
+
+
 def test_signature_bounds_never_exclude_links():
     import numpy as np
 
