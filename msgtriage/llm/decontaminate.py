@@ -328,7 +328,7 @@ def _cut(batches: Iterator[pa.RecordBatch], spans: str, max_coverage: float | No
         yield out.drop_columns([spans]).filter(pa.array(keep))
 
 
-def _unused(name: str, columns: list[str]) -> str:
+def unused(name: str, columns: list[str]) -> str:
     taken = {c.lower() for c in columns}
     while name in taken:
         name += "_"
@@ -340,7 +340,7 @@ def _clean_by_blocks(docs: DataFrame, shared: list, max_coverage: float) -> Data
     same texts, their spans are merged by row, and what was cut is scanned again.
 
     Rows and spans are stored between the steps, so a task holds one automaton."""
-    row, spans = _unused("__row", docs.columns), _unused("__spans", docs.columns)
+    row, spans = unused("__row", docs.columns), unused("__spans", docs.columns)
     work = materialize(docs.select(F.monotonically_increasing_id().alias(row), "*"), "decontaminate")
     out, coverage = None, max_coverage
     while True:

@@ -2,7 +2,9 @@
 
 Everything is a DataFrame expression. Spans are code point offsets, end exclusive.
 A pattern's spans come from two views of one scan: the matches themselves and the
-text between them; running totals of both lengths give the offsets.
+text between them; running totals of both lengths give the offsets. Running totals and
+maxima are taken in runs of ``RUN`` numbers, and texts are read by pieces of ``PIECE``
+code points, so the time is in proportion to the text, however many spans it holds.
 
 Base kinds, leftmost and non-overlapping per kind, failing matches dropped:
 ``email``; ``ip`` (parts at most 255); ``card`` (16 to 19 digits, Luhn); ``phone``
@@ -18,16 +20,26 @@ of 13 to 15 digits (``card_short``, Luhn), national numbers (``phone_local``) an
 context word stands within ``CONTEXT`` characters before it; added spans count from
 ``MIN_SCORE`` and only where no base span overlaps them.
 
-Defined results: a null or empty text has no spans; repeated rows give repeated rows;
-only ``doc_id`` and ``text`` are read, :func:`redact` keeps all columns.
+Defined results: a null or empty text has no spans (:func:`redact` leaves it as it is); an
+empty table gives an empty table; whole texts are searched, whatever their length;
+repeated rows give repeated rows. Base spans of different kinds may overlap; an added span that
+overlaps a base span is left out, added spans that overlap each other all stand. Only the
+text is read; :func:`find` and :func:`redact` keep all columns whatever their names,
+:func:`find` refuses a name for its own column that is taken.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from msgtriage.llm.decontaminate import unused
+
 CONTEXT = 40
+RUN = 256
+PIECE = 512
 MIN_SCORE = 0.6
 
 EMAIL = (
@@ -92,37 +104,92 @@ def mod97_ok(iban: Column) -> Column:
     return rest == 1
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _running(numbers: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running totals (or maxima) from 0 of an array of ints."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def of_run(run: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), none.alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            at = join(acc["at"], x)
+            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))
+
+        return F.aggregate(run, zero, step, lambda acc: acc["out"])
+
+    def of_runs(runs: Column) -> Column:
+        ends = of_run(F.transform(runs, lambda run: F.aggregate(run, F.lit(0), join)), F.lit(0))
+        before = lambda ends, k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(ends, k))
+        return _let(ends, lambda ends: F.flatten(F.transform(runs, lambda run, k: of_run(run, before(ends, k)))))
+
+    def cut(all_: Column) -> Column:
+        heads = F.sequence(F.lit(1), F.size(all_), F.lit(RUN))
+        return F.when(F.size(all_) > 0, _let(F.transform(heads, lambda k: F.slice(all_, k, RUN)), of_runs)).otherwise(none)
+
+    return _let(numbers, cut)
+
+
 def _spans(text: Column, pattern: str, matches: Column) -> Column:
     """Spans of all matches of one pattern with their offsets."""
-    gaps = F.split(text, pattern, -1)
     none = F.expr("cast(array() as array<struct<first:int,end:int,value:string>>)")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+    ends = _running(F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.length(m)), lambda a, b: a + b)
+    found = F.zip_with(ends, matches, lambda end, m: F.struct((end - F.length(m)).alias("first"), end.alias("end"), m.alias("value")))
+    return F.when(F.size(matches) > 0, found).otherwise(none)
 
-    def step(acc: Column, i: Column) -> Column:
-        value = F.element_at(matches, i)
-        first = acc["at"] + F.length(F.element_at(gaps, i))
-        end = first + F.length(value)
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("first"), end.alias("end"), value.alias("value")))).alias("out"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.size(matches)), zero, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(none)
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}" % PIECE), F.lit(0))
+
 
+def _part(pieces: Column, first: Column, end: Column) -> Column:
+    """The text from ``first`` to ``end``, of its pieces."""
+    lo = F.floor(first / PIECE).cast("int")
+    some = F.slice(pieces, lo + 1, F.floor((end - 1) / PIECE).cast("int") - lo + 1)
+    return F.when(first < end, F.substring(F.array_join(some, ""), first - lo * PIECE + 1, end - first)).otherwise(F.lit(""))
 
-def _scored(text: Column, spans: Column, rule: str) -> Column:
+
+def _scored(pieces: Column, spans: Column, rule: str) -> Column:
     kind, start_score, words = RULES[rule]
 
-    def one(s: Column) -> Column:
-        before = F.greatest(s["first"] - CONTEXT, F.lit(0))
-        near = F.lower(F.substring(text, before + 1, s["first"] - before))
+    def one(pieces: Column, s: Column) -> Column:
+        near = F.lower(_part(pieces, F.greatest(s["first"] - CONTEXT, F.lit(0)), s["first"]))
         score = F.least(F.lit(1.0), F.lit(start_score) + F.when(near.rlike(words), F.lit(BONUS)).otherwise(F.lit(0.0)))
         return F.struct(F.lit(kind).alias("kind"), s["first"].alias("first"), s["end"].alias("end"), F.lit(rule).alias("rule"), s["value"].alias("value"), score.alias("score"))
 
-    return F.transform(spans, one)
+    return _let(pieces, lambda p: F.transform(spans, lambda s: one(p, s)))
+
+
+def _clear(added: Column, base: Column) -> Column:
+    """The added spans that overlap no base span: of the base spans that begin before
+    a span's end none ends after its start."""
+    begin = F.transform(base, lambda b: F.struct(b["first"].alias("at"), F.lit(1).alias("turn"), b["end"].alias("till"), F.lit(None).cast("int").alias("nth")))
+    ask = F.transform(added, lambda s, k: F.struct(s["end"].alias("at"), F.lit(0).alias("turn"), F.lit(0).alias("till"), k.alias("nth")))
+
+    def of(events: Column, added: Column) -> Column:
+        reach = _running(F.transform(events, lambda e: e["till"]), _larger)
+        both = F.zip_with(events, reach, lambda e, r: F.struct(e["nth"].alias("nth"), r.alias("reach")))
+        asked = F.transform(F.filter(both, lambda x: x["nth"].isNotNull()), lambda x: F.struct(F.element_at(added, x["nth"] + 1).alias("span"), x["reach"].alias("reach")))
+        return F.transform(F.filter(asked, lambda x: x["reach"] <= x["span"]["first"]), lambda x: x["span"])
+
+    return F.when(F.size(added) > 0, _let(added, lambda a: _let(F.array_sort(F.concat(begin, ask)), lambda e: of(e, a)))).otherwise(added)
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
+def find(docs: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:
     """``docs`` with ``spans``: an array of (kind, first, end, rule, value, score), by kind
     (``email``, ``ip``, ``card``, ``phone``, ``iban``, ``ssn``), then position."""
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"documents have a column {name} already; choose another name")
+    pii, at_, parts, kept, base_ = helpers = [unused(c, docs.columns) for c in ("__pii", "__at", "__parts", "__kept", "__base")]
     col = F.coalesce(F.col(text), F.lit(""))
     hint = {
         "email": F.contains(col, F.lit("@")), "ip": col.rlike(r"[0-9]\.[0-9]"), "run": col.rlike(r"[0-9](?:[ -]?[0-9]){12}"), "phone": F.contains(col, F.lit("+")),
@@ -131,9 +198,11 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     hint |= {"card_run": hint["run"], "phone_run": hint["phone"]}
     patterns = {"email": EMAIL, "ip": IP, "run": DIGIT_RUN, "phone": PHONE, "iban": IBAN, "local": LOCAL_PHONE, "ssn": SSN, "card_run": CARD_RUN, "phone_run": PHONE_RUN}
     nothing = F.expr("cast(array() as array<string>)")
-    step = docs.withColumn("__pii", F.struct(*[F.when(hint[k], F.regexp_extract_all(col, F.lit(p), F.lit(0))).otherwise(nothing).alias(k) for k, p in patterns.items()]))
-    step = step.withColumn("__at", F.struct(*[_spans(col, p, F.col("__pii")[k]).alias(k) for k, p in patterns.items()]))
-    at = F.col("__at")
+    step = docs.withColumn(pii, F.struct(*[F.when(hint[k], F.regexp_extract_all(col, F.lit(p), F.lit(0))).otherwise(nothing).alias(k) for k, p in patterns.items()]))
+    step = step.withColumn(at_, F.struct(*[_spans(col, p, F.col(pii)[k]).alias(k) for k, p in patterns.items()]))
+    some = F.greatest(*[F.size(F.col(pii)[k]) for k in patterns]) > 0
+    step = step.withColumn(parts, F.when(some, _pieces(col)).otherwise(nothing))
+    at = F.col(at_)
     n = lambda s: F.length(_digits(s["value"]))
     keep = {
         "email": at["email"],
@@ -147,15 +216,14 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
         "iban": F.filter(at["iban"], lambda s: mod97_ok(F.regexp_replace(s["value"], " ", ""))),
         "ssn": at["ssn"],
     }
-    step = step.withColumn("__kept", F.struct(*[_scored(col, v, k).alias(k) for k, v in keep.items()]))
-    step = step.withColumn("__base", F.concat(*[F.col("__kept")[k] for k in BASE]))
-    clear = lambda s: ~F.exists(F.col("__base"), lambda b: (b["first"] < s["end"]) & (s["first"] < b["end"]))
-    sure = lambda s: (s["score"] >= MIN_SCORE) & clear(s)
+    step = step.withColumn(kept, F.struct(*[_scored(F.col(parts), v, k).alias(k) for k, v in keep.items()]))
+    step = step.withColumn(base_, F.concat(*[F.col(kept)[k] for k in BASE]))
     by_kind = []
     for kind in dict.fromkeys(k for k, _, _ in RULES.values()):
-        own = [F.col("__kept")[r] if r in BASE else F.filter(F.col("__kept")[r], sure) for r, (k, _, _) in RULES.items() if k == kind]
+        rules = [r for r, (k, _, _) in RULES.items() if k == kind]
+        own = [F.col(kept)[r] if r in BASE else _clear(F.filter(F.col(kept)[r], lambda s: s["score"] >= MIN_SCORE), F.col(base_)) for r in rules]
         by_kind.append(F.array_sort(F.concat(*own)))
-    return step.select(*docs.columns, F.concat(*by_kind).alias("spans"))
+    return step.withColumn(name, F.concat(*by_kind)).drop(*helpers)
 
 
 def _joined(spans: Column) -> Column:
@@ -174,20 +242,20 @@ def report(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span found replaced by its kind, e.g. ``<EMAIL>``; where spans
     overlap, the one that starts first (the longer, if both do) stands for all."""
-    name = "__spans"
-    found = find(docs, text).withColumnRenamed("spans", name)
+    name, parts, reached = (unused(c, docs.columns) for c in ("__spans", "__parts", "__reach"))
+    found = find(docs, text, name)
+    some = F.size(name) > 0
     label = lambda s: F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
     order = F.array_sort(F.transform(name, lambda s: F.struct(s["first"].alias("first"), (-s["end"]).alias("till"), label(s).alias("label"))))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    body = F.col(text)
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(body, acc["at"] + 1, s["first"] - acc["at"])
-        inside = s["first"] < acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], -s["till"]).alias("at"),
-            F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, s["label"])).alias("out"),
-        )
-
-    done = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))))
-    return found.withColumn(text, F.when(F.size(name) > 0, done).otherwise(body)).select(*docs.columns)
+    found = found.withColumn(name, order).withColumn(parts, F.when(some, _pieces(F.col(text))))
+    found = found.withColumn(reached, _running(F.transform(name, lambda s: -s["till"]), _larger))
+
+    def body(pieces: Column, reach: Column) -> Column:
+        """Of each span that begins outside all before it the text since these and its label, then the rest."""
+        before = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(reach, k))
+        own = lambda s, k: F.when(s["first"] >= before(k), F.concat(_part(pieces, before(k), s["first"]), s["label"])).otherwise(F.lit(""))
+        rest = _part(pieces, F.try_element_at(reach, F.lit(-1)), F.length(text))
+        return F.concat(F.array_join(F.transform(name, own), ""), rest)
+
+    done = _let(F.col(parts), lambda p: _let(F.col(reached), lambda r: body(p, r)))
+    return found.withColumn(text, F.when(some, done).otherwise(F.col(text))).drop(name, parts, reached)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from brute import ALNUM, LOWER, base_spans, components, decontamination
@@ -166,6 +167,8 @@ PII_TEXTS = [
 
 def test_base_spans_equal_plain_patterns(spark):
     docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(PII_TEXTS)], "doc_id int, text string, spans string").withColumn("doc_id", F.col("doc_id").cast("long"))
+    with pytest.raises(ValueError):
+        pii.find(docs)
     for r in pii.report(pii.find(docs.drop("spans"))).collect():
         base = base_spans(PII_TEXTS[r.doc_id])
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
@@ -190,5 +193,39 @@ def test_added_rules_and_redaction(spark):
     assert pii.redact(docs.limit(0)).collect() == []
 
 
+def test_redaction_keeps_clashing_columns(spark):
+    names = ["spans", "__pii", "__at", "__parts", "__kept", "__base", "__spans", "__reach"]
+    docs = spark.createDataFrame([(1, "a@b.cd x 1.2.3.4", *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.first()[1:] == ("<EMAIL> x <IP>", *names)
+    found = pii.find(docs, name="found").first()
+    assert found.spans == "spans" and [s.kind for s in found.found] == ["email", "ip"]
+
+
+def test_texts_with_very_many_spans(spark):
+    rng = random.Random(4)
+    lines = [rng.choice([f"{rng.randrange(300)}.{rng.randrange(256)}.7.1", "4111 1111 1111 1111", "é😀 card 378282246310005", "a@b.co", "+1 988 555 2485 "]) for _ in range(40000)]
+    text = "\n".join(lines)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.monotonic()
+    found = pii.find(docs).first().spans
+    base = [(s.kind, s.first, s.end) for s in found if s.rule in pii.BASE]
+    assert base == base_spans(text)
+    assert all(text[s.first : s.end] == s.value for s in found)
+    taken = [(s.first, s.end) for s in found if s.rule in pii.BASE]
+    extra = [(s.first, s.end) for s in found if s.rule not in pii.BASE]
+    covered = bytearray(len(text))
+    for a, b in taken:
+        covered[a:b] = b"\1" * (b - a)
+    assert extra and not any(any(covered[a:b]) for a, b in extra)
+    out, at = [], 0
+    for s in sorted(found, key=lambda s: (s.first, -s.end)):
+        if s.first >= at:
+            out += [text[at : s.first], f"<{s.kind.upper()}>"]
+        at = max(at, s.end)
+    assert pii.redact(docs).first().text == "".join([*out, text[at:]])
+    assert time.monotonic() - started < 120
+
+
 def test_lower_table_matches_contract():
     assert "ÀZ".translate(LOWER) == "Àz"
