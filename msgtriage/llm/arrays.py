@@ -8,6 +8,7 @@ process, so they agree between tasks and runs.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,15 @@ LOWER[65:91] += 32
 _powers: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.uint64))
 
 
+def release_memory() -> None:
+    """Give the system back what freed arrays held. Called at the end of a partition, as
+    Spark keeps workers for later stages, whose memory would come on top."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def separator_words() -> np.ndarray:
     """Byte table of ``[^\\x20\\x09-\\x0D]+``: True where a byte belongs to a word."""
     table = np.ones(256, bool)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msgtriage.llm.arrays import alnum_words, doc_slices, find_words, shingle_hashes, word_hashes
+from msgtriage.llm.arrays import alnum_words, doc_slices, find_words, release_memory, shingle_hashes, word_hashes
 from msgtriage.session import materialize
 
 BLOCK_WORDS = 500_000
@@ -272,24 +272,30 @@ def _clean(batches: Iterator[pa.RecordBatch], shared, max_coverage: float) -> It
     auto: SuffixAutomaton = shared.value
     table = alnum_words()
     for batch in batches:
-        texts, keep = batch.column("text").to_pylist(), np.ones(len(batch), bool)
         for lo, hi, data, starts, ends in doc_slices(batch.column("text")):
+            part = batch.slice(lo, hi - lo)
             h, first, last, off = find_words(data, starts, ends, table)
-            for d, (spans, _, _) in enumerate(_document_hits(auto, h, off)):
+            found = _document_hits(auto, h, off)
+            if not any(spans for spans, _, _ in found):
+                yield part
+                continue
+            texts, keep = part.column("text").to_pylist(), np.ones(hi - lo, bool)
+            for d, (spans, _, _) in enumerate(found):
                 if not spans:
                     continue
                 spans = merge_spans(spans)
-                keep[lo + d] = sum(b - a for a, b in spans) < max_coverage * (off[d + 1] - off[d])
-                texts[lo + d] = _without(texts[lo + d], spans, first[off[d] :] - starts[d], last[off[d] :] - starts[d])
-                while keep[lo + d]:  # what remains may meet to a new window
-                    raw = np.frombuffer(texts[lo + d].encode(), np.uint8)
+                keep[d] = sum(b - a for a, b in spans) < max_coverage * (off[d + 1] - off[d])
+                texts[d] = _without(texts[d], spans, first[off[d] :] - starts[d], last[off[d] :] - starts[d])
+                while keep[d]:  # what remains may meet to a new window
+                    raw = np.frombuffer(texts[d].encode(), np.uint8)
                     h2, f2, l2, _ = find_words(raw, np.zeros(1, np.int64), np.array([len(raw)]), table)
                     again = merge_spans(auto.hits(h2)[0])
                     if not again:
                         break
-                    texts[lo + d] = _without(texts[lo + d], again, f2, l2)
-        out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, batch.schema.field("text").type))
-        yield out.filter(pa.array(keep))
+                    texts[d] = _without(texts[d], again, f2, l2)
+            out = part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, part.schema.field("text").type))
+            yield out.filter(pa.array(keep))
+    release_memory()
 
 
 def _without(text: str, spans: list[tuple[int, int]], first: np.ndarray, last: np.ndarray) -> str:

@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgtriage.llm.arrays import release_memory
 from msgtriage.session import materialize
 
 UNKNOWN = "und"
@@ -47,6 +48,7 @@ MARK = "▁"
 MAX_WORD = 24
 MAX_PIECE = 12
 CACHE_WORDS = 200_000
+WORDS_TIMES_LANGUAGES = 40_000  # words that go through the forward algorithm at once, times languages
 MAX_ROWS = 3000
 ROUNDS = 3
 FLOOR = 1e-8  # probability of a letter outside the vocabulary, and of an unseen piece
@@ -270,8 +272,9 @@ class _Scorer:
         if len(self.place) + len(fresh) > CACHE_WORDS:
             self.clear()
         fresh = sorted(fresh.difference(self.place), key=len)
-        for a in range(0, len(fresh), 20_000):
-            some, k = fresh[a : a + 20_000], len(self.place)
+        step = max(256, WORDS_TIMES_LANGUAGES // self.rows.shape[1])
+        for a in range(0, len(fresh), step):
+            some, k = fresh[a : a + step], len(self.place)
             if k + len(some) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.empty((max(len(self.rows), len(some)), self.rows.shape[1]))])
             self.rows[k : k + len(some)] = word_scores(self.table, self.model.prob, some)
@@ -303,6 +306,7 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, text: str, names: tuple[
                 score.append(float(1.0 / np.exp(total - total[best]).sum()))
         found = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(fits, pa.float64())][: len(names)]
         yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
+    release_memory()
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:

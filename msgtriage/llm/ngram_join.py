@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgtriage.llm.arrays import doc_slices, mix, separator_words, shingle_hashes, short_hash, word_hashes
+from msgtriage.llm.arrays import doc_slices, mix, release_memory, separator_words, shingle_hashes, short_hash, word_hashes
 from msgtriage.session import materialize
 
 HEAVY_BITS = 18  # the table of shared shingles has 2^18 one-byte entries, at any scale
@@ -111,6 +111,8 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
                 parts = []
     if parts:
         yield shared(parts)
+    parts.clear()
+    release_memory()
 
 
 def _heavy_table(shared: DataFrame) -> np.ndarray:
@@ -152,6 +154,7 @@ def _postings(batches: Iterator[pa.RecordBatch], width: int, threshold: int, hea
                 off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
                 yield pa.record_batch({"set_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int32()), "tokens": lists})
+    release_memory()
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -340,6 +343,7 @@ def _exact_links(batches: Iterator[pa.RecordBatch], threshold: int, star: bool)
         if links:
             a, b = (ids[np.array(x)] for x in zip(*links))
             yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+    release_memory()
 
 
 def _joining_links(pairs: Iterator[tuple[np.ndarray, np.ndarray]], flat: np.ndarray, off: np.ndarray, comp: np.ndarray, threshold: int) -> list[tuple[int, int]]:
