@@ -249,11 +249,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: i
         F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).alias("longest"),
     )
     schema = out.schema
-    found = False
+    shared = None
     for auto in automata(benchmark, window, block_words):
-        found = True
-        out = out.mapInArrow(partial(_scan, shared=docs.sparkSession.sparkContext.broadcast(auto)), schema)
-    if not found:  # no windows at all: only the word counts are to be had
+        if shared is not None:  # a further block: what is found so far is stored, so a task holds one automaton
+            out = materialize(out, "decontaminate-scan")
+            shared.destroy()
+        shared = docs.sparkSession.sparkContext.broadcast(auto)
+        out = out.mapInArrow(partial(_scan, shared=shared), schema)
+    if shared is None:  # no windows at all: only the word counts are to be had
         nothing = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton([], window))
         out = out.mapInArrow(partial(_scan, shared=nothing), schema)
     return out.drop("text")
