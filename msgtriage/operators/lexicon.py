@@ -275,6 +275,30 @@ def reachable_segments(word: Column, max_edits: int = 2) -> Column:
     return F.array_distinct(F.array_compact(F.flatten(F.flatten(keys))))
 
 
+#: Words up to this length are compared by deletion keys (79 for two edits), longer ones by segments.
+DELETION_LENGTH = 12
+
+
+def deletions(word: Column, max_edits: int = 2) -> Column:
+    """``word`` with up to ``max_edits`` letters deleted, distinct.
+
+    Two words within ``max_edits`` edits share one: what is left of each when the letters
+    replaced, added or missing are deleted."""
+    level, levels = F.array(word), [F.array(word)]
+    for _ in range(max_edits):
+        shorter = F.transform(
+            level,
+            lambda w: F.transform(
+                # a sequence down to 0 for the empty word: its only entry leaves it as it is
+                F.sequence(F.least(F.length(w), F.lit(1)), F.length(w)),
+                lambda i: F.concat(F.substring(w, F.lit(1), F.greatest(i - 1, F.lit(0))), F.substring(w, i + 1, F.length(w))),
+            ),
+        )
+        level = F.array_distinct(F.flatten(shorter))
+        levels.append(level)
+    return F.array_distinct(F.concat(*levels))
+
+
 def spell_suggestions(
     words: DataFrame, vocabulary: DataFrame, max_edits: int = 2
 ) -> DataFrame:
@@ -282,29 +306,28 @@ def spell_suggestions(
 
     ``words``: ``(word)`` to check; ``vocabulary``: ``(word, freq)`` known
     words. Unknown = not in the vocabulary (``left_anti``). Candidates come
-    from a join on shared word segments (no vocabulary x word cross product;
-    words longer than any known word + ``max_edits`` have none), are
-    verified with ``levenshtein <= max_edits``, and the best is the smallest
+    from a join on hashed keys (no vocabulary x word cross product): unknown words
+    up to ``DELETION_LENGTH`` letters by what is left after deleting letters on both sides,
+    longer ones by shared segments; words longer than any known word + ``max_edits`` have none.
+    They are verified with ``levenshtein <= max_edits`` where they meet, and the best is the smallest
     distance, then the highest frequency, then the word. Words without a
     candidate keep themselves as suggestion with a NULL distance.
     """
     vocab = vocabulary.select("word", "freq").distinct()
     unknown = words.select("word").distinct().join(vocab.select("word"), "word", "left_anti")
     longest = vocab.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
-    short = unknown.where(F.length("word") <= longest + max_edits)
-    uk = explode_tokens(short.select("word", reachable_segments(F.col("word"), max_edits).alias("_keys")), "word", "_keys", "k")
-    vk = explode_tokens(vocab.select(F.col("word").alias("cand"), own_segments(F.col("word"), max_edits).alias("_keys")), "cand", "_keys", "k")
-    pairs = (
-        uk.join(vk, "k")
-        .select("word", "cand")
-        .distinct()
-        .withColumn("dist", F.levenshtein("word", "cand"))
-        .where(F.col("dist") <= max_edits)
-        .join(vocab.withColumnRenamed("word", "cand"), "cand")
-    )
-    best = pairs.groupBy("word").agg(
-        F.min(F.struct("dist", F.negative(F.col("freq")).alias("nf"), "cand")).alias("_b")
-    )
+    known = vocab.select(F.col("word").alias("cand"), "freq")
+    n, m, w, c = F.length("word"), F.length("cand"), F.col("word"), F.col("cand")
+    none = F.lit(None).cast("array<string>")
+    # one column of keys for both kinds, so that the unknown words are one exchange, read again for the result
+    word_keys = F.when(n <= DELETION_LENGTH, deletions(w, max_edits)).when(n <= longest + max_edits, reachable_segments(w, max_edits)).otherwise(none)
+    deleted = F.when(m <= DELETION_LENGTH + max_edits, deletions(c, max_edits)).otherwise(F.array().cast("array<string>"))
+    cut = F.when(m > DELETION_LENGTH - max_edits, own_segments(c, max_edits)).otherwise(F.array().cast("array<string>"))
+    uk = explode_tokens(unknown.select("word", word_keys.alias("_keys")), "word", "_keys", "_k")
+    vk = known.select("cand", "freq", F.explode_outer(F.concat(deleted, cut)).alias("_k"))
+    uk, vk = (x.withColumn("_k", F.xxhash64("_k")) for x in (uk, vk))  # equal hashes only add candidates
+    near = uk.join(vk, "_k").where(F.abs(n - m) <= max_edits).withColumn("dist", F.levenshtein("word", "cand", max_edits))
+    best = near.where(F.col("dist") >= 0).groupBy("word").agg(F.min(F.struct("dist", F.negative(F.col("freq")).alias("nf"), "cand")).alias("_b"))
     return unknown.join(best, "word", "left").select(
         "word",
         F.coalesce(F.col("_b.cand"), F.col("word")).alias("suggestion"),

@@ -91,6 +91,14 @@ def q_entity_flags(spark, sf_dir):
     return lexicon.entity_flags(toks, gaz, "doc_id", "tokens", 3)
 
 
+def _deletions_sql(words: str) -> str:
+    """Words of a query with up to two letters deleted."""
+    return f"""SELECT word, word AS k FROM ({words}) a
+               UNION SELECT word, substr(word, 1, i - 1) || substr(word, i + 1) FROM ({words}) b, range(1, 15) r(i) WHERE i <= length(word)
+               UNION SELECT word, substr(word, 1, i - 1) || substr(word, i + 1, j - i - 1) || substr(word, j + 1)
+               FROM ({words}) c, range(1, 15) r(i), range(1, 15) t(j) WHERE i < j AND j <= length(word)"""
+
+
 @register(
     "spell_suggestions",
     ("I15", "C3"),
@@ -102,14 +110,19 @@ def q_entity_flags(spark, sf_dir):
             ("dt", f"SELECT DISTINCT unnest({tokens_sql('text', 'train')}) AS word FROM documents"),
             ("bv", f"SELECT word, count(*) AS freq FROM (SELECT unnest({tokens_sql('text', 'train')}) AS word FROM benchmark) x GROUP BY word"),
             ("unk", "SELECT word FROM dt WHERE word NOT IN (SELECT word FROM bv)"),
-            # candidates share one of three segments of the known word, at most two letters from its place
-            ("vseg", """SELECT word, freq, length(word) AS n, i,
+            # up to 12 letters: candidates share what is left after deleting up to two letters of each
+            ("udel", _deletions_sql("SELECT word FROM unk WHERE length(word) <= 12")),
+            ("vdel", _deletions_sql("SELECT word FROM bv WHERE length(word) <= 14")),
+            # longer words: they share one of three segments of the known word, at most two letters from its place
+            ("vseg", """SELECT word, length(word) AS n, i,
                                substr(word, CAST(i * length(word) // 3 + 1 AS BIGINT), CAST((i + 1) * length(word) // 3 - i * length(word) // 3 AS BIGINT)) AS seg
-                        FROM bv, range(0, 3) r(i)"""),
+                        FROM bv, range(0, 3) r(i) WHERE length(word) > 10"""),
             ("useg", """SELECT word, n, i, substr(word, CAST(i * n // 3 + d + 1 AS BIGINT), CAST((i + 1) * n // 3 - i * n // 3 AS BIGINT)) AS seg
-                        FROM (SELECT word, length(word) + e AS n FROM unk, range(-2, 3) x(e) WHERE length(word) + e >= 1) u, range(0, 3) r(i), range(-2, 3) s(d)
+                        FROM (SELECT word, length(word) + e AS n FROM unk, range(-2, 3) x(e) WHERE length(word) > 12) u, range(0, 3) r(i), range(-2, 3) s(d)
                         WHERE i * n // 3 + d >= 0"""),
-            ("cands", "SELECT DISTINCT u.word, v.word AS cand, v.freq FROM useg u JOIN vseg v ON u.n = v.n AND u.i = v.i AND u.seg = v.seg"),
+            ("met", """SELECT u.word, v.word AS cand FROM udel u JOIN vdel v ON u.k = v.k
+                       UNION SELECT u.word, v.word AS cand FROM useg u JOIN vseg v ON u.n = v.n AND u.i = v.i AND u.seg = v.seg"""),
+            ("cands", "SELECT met.word, met.cand, bv.freq FROM met JOIN bv ON bv.word = met.cand"),
             ("pairs", "SELECT * FROM (SELECT *, levenshtein(word, cand) AS dist FROM cands) x WHERE dist <= 2"),
             ("ranked", "SELECT *, row_number() OVER (PARTITION BY word ORDER BY dist, freq DESC, cand) AS rn FROM pairs"),
         ),

@@ -1,3 +1,5 @@
+import numpy as np
+
 from msgtriage.operators import lexicon
 
 
@@ -66,3 +68,29 @@ def test_spell_segments_equal_all_pairs(spark):
         spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame(list(known.items()), "word string, freq long")
     )
     assert {r.word: (r.suggestion, r.distance) for r in got.collect()} == want
+
+
+def test_spell_keys_cover_every_length(spark):
+    """Words around the length where the kind of key changes, letters beyond ASCII, and words of one or two letters."""
+    rng = np.random.default_rng(8)
+    known = {"".join(rng.choice(list("abé"), n)) for n in (1, 1, 2, 2, 3, 9, 10, 11, 12, 13, 14, 15, 16, 30) for _ in range(4)}
+    words = {"zz", "q", "é"}
+    for w in known:
+        for _ in range(6):
+            x = list(w)
+            for _ in range(int(rng.integers(0, 4))):
+                at, kind = int(rng.integers(0, len(x) + 1)), int(rng.integers(0, 3))
+                x = x[:at] + ([] if kind == 0 else [str(rng.choice(list("abcé")))]) + x[at + (kind != 1) :]
+            if x:
+                words.add("".join(x))
+    vocab = {w: 1 + k % 3 for k, w in enumerate(sorted(known))}
+
+    got = lexicon.spell_suggestions(
+        spark.createDataFrame([(w,) for w in sorted(words)], "word string").repartition(3),
+        spark.createDataFrame(list(vocab.items()), "word string, freq long"),
+    ).collect()
+    assert len(got) == len(words - known)
+    for r in got:
+        best = min((lev(r.word, v), -f, v) for v, f in vocab.items())
+        want = (best[2], best[0], -best[1]) if best[0] <= 2 else (r.word, None, None)
+        assert (r.suggestion, r.distance, r.freq) == want
