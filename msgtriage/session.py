@@ -43,6 +43,18 @@ def get_session(
     return spark
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers started from here on import the package from the driver's folder, where they
+    see it (a local run, a shared installation); elsewhere ship the package with ``--py-files``."""
+    import os
+    from pathlib import Path
+
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

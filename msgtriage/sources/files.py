@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msgtriage.schema import CATEGORIES_SCHEMA, MESSAGES_SCHEMA, clean_schema
+from msgtriage.sources import csv_blocks
 
 
 # Texts come back as they were: blanks at either end stay, an empty string is written
@@ -25,7 +26,8 @@ CSV_WRITE = {**CSV_TEXT, "nullValue": "", "emptyValue": '""'}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with an explicit schema; quoted fields may span lines."""
+    """Header CSV with an explicit schema; quoted fields may span lines. One task reads a file:
+    :func:`read_csv_blocks` is for large files."""
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -36,19 +38,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def read_csv_blocks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """:func:`read_csv` with many tasks for each file, however its quoted fields span lines."""
+    return csv_blocks.read(spark, path, schema, CSV_READ)
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """A1: T1 raw messages."""
-    return read_csv(spark, path, MESSAGES_SCHEMA)
+    return read_csv_blocks(spark, path, MESSAGES_SCHEMA)
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
     """A1: T2 packed label strings."""
-    return read_csv(spark, path, CATEGORIES_SCHEMA)
+    return read_csv_blocks(spark, path, CATEGORIES_SCHEMA)
 
 
 def read_clean_csv(spark: SparkSession, path: str, labels: Sequence[str]) -> DataFrame:
     """A2: a T3 clean table stored as CSV."""
-    return read_csv(spark, path, clean_schema(list(labels)))
+    return read_csv_blocks(spark, path, clean_schema(list(labels)))
 
 
 def read_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") -> DataFrame:
