@@ -95,3 +95,22 @@ def q_stream_event_dedupe(spark, sf_dir):
     jobs.land_files(events, landing, 4, order="ts")
     jobs.run(jobs.dedupe_event_stream(spark, landing, events.schema, sink, ckpt, "event_id"))
     return spark.read.parquet(sink).select("event_id", "event_type")
+
+
+@register(
+    "stream_first_copies",
+    ("S3", "D1"),
+    """WITH e AS (SELECT *, CASE WHEN ts - lag(ts) OVER k < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens
+                  FROM events WINDOW k AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+            r AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS run FROM e)
+       SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id, count(*) AS copies
+       FROM r GROUP BY user_id, event_type, run
+       HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+)
+def q_stream_first_copies(spark, sf_dir):
+    """The first event of each user and type in every run with less than two hours between events."""
+    landing, sink, ckpt = _paths(spark, "stream-first-copies")
+    events = _events(spark, sf_dir)
+    jobs.land_files(events, landing, 4, order="ts")
+    jobs.run(jobs.first_copy_stream(spark, landing, events.schema, sink, ckpt, ["user_id", "event_type"], ["ts", "event_id"]))
+    return spark.read.parquet(sink).select("user_id", "event_type", "event_id", "copies")

@@ -213,3 +213,39 @@ def dedupe_event_stream(
         unique.writeStream.format("parquet").option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start(sink)
     )
+
+
+def first_copy_stream(
+    spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
+    key: Sequence[str], order: Sequence[str], time: str = "ts", ttl: str = "2 hours",
+    watermark: str = "2 hours", files_per_batch: int = 1,
+) -> StreamingQuery:
+    """S3 with the first copy by ``order`` kept (D1) and bounded state.
+
+    Rows of a key belong together while each comes less than ``ttl`` of event time after the one before;
+    of such a run the smallest row by ``order`` (then by its other columns) is written once, with the
+    run's number of rows as ``copies``, in whatever order the rows arrive. It is written when the watermark has passed the
+    run's end, so the state holds the keys of the last ``ttl`` + ``watermark`` only, and the
+    newest runs are written by later data. Copies are merged inside each task before the
+    shuffle, so a key with a third of the rows is no single task's work. Rows later than the watermark, and
+    rows without a time, are not part of any run. A restart goes on from the checkpoint; nothing is written twice.
+    """
+    rest = [f.name for f in schema.fields if f.name not in order]
+    row = F.struct(*(F.col(f"`{c}`") for c in [*order, *rest]))
+    keys = [F.col(f"`{c}`").alias(f"_key{i}") for i, c in enumerate(key)]
+    runs = (
+        _reader(spark, source, schema, files_per_batch).withWatermark(time, watermark)
+        .groupBy(F.session_window(time, ttl), *keys)
+        .agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("copies"))
+    )
+    first = runs.select(*(F.col(f"_first.`{f.name}`").alias(f.name) for f in schema.fields), "copies")
+    merge = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "true")
+    try:  # a query keeps the settings of its start
+        return (
+            first.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start(sink)
+        )
+    finally:
+        spark.conf.set(merge, before)

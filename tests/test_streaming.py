@@ -38,3 +38,26 @@ def test_resampling_independent_of_partitioning(spark):
     fa = sampling.assign_folds(df.repartition(2), 5, "id", 9)
     fb = sampling.assign_folds(df.repartition(11), 5, "id", 9)
     assert sorted(map(tuple, fa.collect())) == sorted(map(tuple, fb.collect()))
+
+
+def test_first_copy_is_kept_over_restarts(spark):
+    """Copies in any order, over two runs of the job: the first by ``order`` of each run of copies, written once."""
+    base = scratch_path(spark, "first-copies")
+    landing, sink, ckpt = (os.path.join(base, p) for p in ("in", "out", "ck"))
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    batches = [
+        [(1, t(10, 5), "b", 1.0), (1, t(10, 0), "z", 2.0), (2, t(10, 10), "a", 3.0), (None, t(10), "n", 1.0), (9, None, "x", 0.0)],
+        [(1, t(9, 30), "c", 4.0), (1, t(10, 40), "a", 0.0), (None, t(10), "m", 1.0)],  # an earlier copy arrives later
+        [(2, t(13, 0), "b", 5.0), (3, t(13, 0), "b", 6.0), (3, t(13, 0), "a", 7.0)],
+        [(4, t(20), "q", 0.0)],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.read.parquet(landing).schema
+        jobs.run(jobs.first_copy_stream(spark, landing, schema, sink, ckpt, ["event_id"], ["ts"], ttl="1 hour", watermark="1 hour"))
+        if i == 1:
+            assert spark.read.schema(schema).parquet(sink).count() == 0  # no run has ended
+    got = spark.read.parquet(sink).select("event_id", "ts", "event_type", "copies").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(1, t(9, 30), "c", 4), (2, t(10, 10), "a", 1), (None, t(10), "m", 2), (2, t(13), "b", 1), (3, t(13), "a", 2)], key=repr
+    )
