@@ -194,6 +194,27 @@ def q_genre_index(spark, sf_dir):
     )
 
 
+@register(
+    "genre_one_hot",
+    ("B9",),
+    with_fixtures(
+        """SELECT t.id, coalesce(g.slot, 0) AS slot, w.width
+           FROM training_fx t
+           LEFT JOIN (SELECT genre, CAST(row_number() OVER (ORDER BY n DESC, genre) AS INTEGER) AS slot
+                      FROM (SELECT genre, count(*) AS n FROM training_fx WHERE genre IS NOT NULL GROUP BY genre) c) g ON t.genre = g.genre
+           CROSS JOIN (SELECT CAST(count(DISTINCT genre) AS INTEGER) AS width FROM training_fx) w""",
+        "training_fx",
+    ),
+)
+def q_genre_one_hot(spark, sf_dir):
+    """The place of the 1 in each row's one-hot genre (0: no genre, all zeros) and the vector's length."""
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = etl.training_table(spark, sf_dir)
+    hot = filters.index_genre(train, "genre", one_hot=True).select("id", vector_to_array("genre_vec").alias("v"))
+    return hot.select("id", F.array_position("v", F.lit(1.0)).cast("int").alias("slot"), F.size("v").alias("width"))
+
+
 # ==========================================================================
 # Profiling
 # ==========================================================================
