@@ -22,7 +22,9 @@ import re
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,13 +55,15 @@ def ends_inside(line: bytes, inside: bool) -> bool:
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, list[bytes]]]:
     """Lines of a batch by block: (file, block, case at its start, owner of the record open there), lines."""
-    keys = list(zip(*(batch.column(c).to_pylist() for c in ("file", "block", "start", "owner"))))
-    lines = batch.column("line").to_pylist()
-    lo = 0
-    for hi in range(1, len(keys) + 1):
-        if hi == len(keys) or keys[hi] != keys[lo]:
-            yield keys[lo], lines[lo:hi]
-            lo = hi
+    n, lines = len(batch), batch.column("line").to_pylist()
+    other = np.zeros(max(n - 1, 0), bool)
+    for c in ("file", "block"):
+        column = batch.column(c)
+        other |= pc.not_equal(column.slice(1), column.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(other) + 1).tolist(), n]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            yield tuple(batch.column(c)[lo].as_py() for c in ("file", "block", "start", "owner")), lines[lo:hi]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
