@@ -31,8 +31,8 @@ def q_stream_scores(spark, sf_dir):
     model, _ = models.fit_multilabel(train, labels, "tfidf", "logistic", clf_params={"C": 0.01})
     landing, sink, ckpt = _paths(spark, "stream-scores")
     incoming = test.select("id", "message")
-    jobs.land_files(incoming, landing, 4)
-    jobs.run(jobs.score_stream(spark, model, labels, landing, incoming.schema, sink, ckpt, "id"))
+    files = jobs.per_batch(jobs.land_files(incoming, landing, 4))
+    jobs.run(jobs.score_stream(spark, model, labels, landing, incoming.schema, sink, ckpt, "id", files))
     return spark.read.parquet(sink)
 
 
@@ -47,8 +47,8 @@ def q_stream_scores(spark, sf_dir):
 def q_stream_genre_counts(spark, sf_dir):
     landing, sink, ckpt = _paths(spark, "stream-genres")
     msgs = messages_fx(spark, sf_dir)
-    jobs.land_files(msgs, landing, 4)
-    jobs.run(jobs.count_stream(spark, landing, msgs.schema, sink, ckpt, "genre"))
+    files = jobs.per_batch(jobs.land_files(msgs, landing, 4))
+    jobs.run(jobs.count_stream(spark, landing, msgs.schema, sink, ckpt, "genre", files))
     return jobs.read_latest(spark, sink, ["genre"])
 
 
@@ -79,8 +79,8 @@ def q_stream_event_windows(spark, sf_dir):
 def q_stream_dedupe(spark, sf_dir):
     landing, sink, ckpt = _paths(spark, "stream-dedupe")
     msgs = messages_fx(spark, sf_dir)
-    jobs.land_files(msgs, landing, 4)
-    jobs.run(jobs.dedupe_stream(spark, landing, msgs.schema, sink, ckpt, "id"))
+    files = jobs.per_batch(jobs.land_files(msgs, landing, 4))
+    jobs.run(jobs.dedupe_stream(spark, landing, msgs.schema, sink, ckpt, "id", files_per_batch=files))
     return spark.read.parquet(sink).select("id", "genre")
 
 

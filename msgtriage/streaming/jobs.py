@@ -26,8 +26,8 @@ from msgtriage.operators.lexicon import measured_size
 LANDING_FILE_BYTES = 128 * 1024 * 1024
 
 
-def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = None) -> None:
-    """Write ``df`` into a landing folder for a stream, in one job.
+def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = None) -> int:
+    """Write ``df`` into a landing folder for a stream, in one job; the number of files asked for.
 
     ``n_files`` is the least number of files; larger inputs get one per
     ``LANDING_FILE_BYTES`` of their measured size. With ``order`` (event time) the
@@ -38,7 +38,7 @@ def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = N
     n_files = max(n_files, -(-measured_size(df)[1] // LANDING_FILE_BYTES))
     if order is None:
         df.repartition(n_files).write.mode("overwrite").parquet(path)
-        return
+        return n_files
     df.repartitionByRange(n_files, F.col(order).asc_nulls_first()).write.mode("overwrite").parquet(path)
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,6 +48,14 @@ def land_files(df: DataFrame, path: str, n_files: int = 4, order: str | None = N
     start = int(time.time() * 1000) - 1000 * len(parts)
     for i, (_, part) in enumerate(parts):
         system.setTimes(part, start + 1000 * i, -1)
+    return n_files
+
+
+def per_batch(n_files: int, batches: int = 4) -> int:
+    """Files of a micro-batch, so that a drain takes ``batches`` of them however much has landed: each
+    batch has a fixed cost (its commits, a state store per shuffle partition), and its files are read
+    by as many tasks."""
+    return max(1, -(-n_files // batches))
 
 
 def _reader(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int):

@@ -61,3 +61,7 @@ def test_first_copy_is_kept_over_restarts(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(
         [(1, t(9, 30), "c", 4), (2, t(10, 10), "a", 1), (None, t(10), "m", 2), (2, t(13), "b", 1), (3, t(13), "a", 2)], key=repr
     )
+
+
+def test_batches_do_not_grow_with_the_files():
+    assert [jobs.per_batch(n) for n in (0, 1, 4, 5, 96)] == [1, 1, 1, 2, 24]
