@@ -14,7 +14,7 @@ from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.queries_sampling import _FOLD_SQL, FOLD_SEED, _idx_sql
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import tokens_sql
-from msgtriage.session import ensure_parallelism, materialize, scratch_path
+from msgtriage.session import by_key, materialize, scratch_path
 from msgtriage.sources.models import load_model, save_model
 
 SEED = 42
@@ -71,7 +71,7 @@ def q_fitted_tfidf(spark, sf_dir):
     from msgtriage.operators.transformers import SuffixLemma, TextTokenizer
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("message"))
-    tokens = TextTokenizer(inputCol="message", outputCol="tokens").transform(ensure_parallelism(docs))
+    tokens = TextTokenizer(inputCol="message", outputCol="tokens").transform(by_key(docs, "id"))
     lemmas = SuffixLemma(inputCol="tokens", outputCol="lemmas").transform(tokens).select("id", "lemmas")
     tf = materialize(features.term_frequencies(lemmas, "id", "lemmas"), "fitted-tf")
     n_docs = features.n_docs_of(docs)
@@ -279,7 +279,8 @@ def q_imputed(spark, sf_dir):
 
     toks = _doc_tokens(spark, sf_dir)
     mv = vectors.mean_vectors(toks, _word_vectors(spark, sf_dir, toks), DIM, "doc_id", "tokens")
-    first = mv.select("doc_id", F.col("meanvec")[0].alias("first_component"))
+    # read by the fit and by the fill
+    first = materialize(mv.select("doc_id", F.col("meanvec")[0].alias("first_component")), "first-components")
     imp = Imputer(inputCols=["first_component"], outputCols=["first_component"], strategy="mean")
     out = imp.fit(first).transform(first)
     return out.select("doc_id", r6("first_component").alias("first_component"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import text as T
 from msgtriage.operators import features, ingest
-from msgtriage.session import ensure_parallelism
+from msgtriage.session import by_key, ensure_parallelism
 from msgtriage.plans.fixtures import categories_fx, table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import initcap_sql, md5_int_sql, tokens_sql
@@ -173,7 +173,8 @@ def _vocab_ctes(min_df="5", max_df="0.98 * n", limit="LIMIT 2500", variant="trai
 
 
 def _tf_and_vocab(spark, sf_dir, variant="train", **vocab_kw):
-    toks = _doc_tokens(spark, sf_dir, variant)
+    docs = by_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    toks = docs.select("doc_id", T.tokenize("text", variant).alias("tokens"))
     n_docs = features.n_docs_of(table(spark, sf_dir, "documents"))
     tf = features.term_frequencies(toks, "doc_id")
     vocab = features.vocabulary(tf, n_docs, **vocab_kw)
@@ -258,7 +259,8 @@ def q_hashed_term_counts(spark, sf_dir):
     ),
 )
 def q_ngram_vocabulary(spark, sf_dir):
-    uni = _doc_tokens(spark, sf_dir, "base")
+    docs = by_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    uni = docs.select("doc_id", T.tokenize("text", "base").alias("tokens"))
     toks = uni.select("doc_id", features.unigrams_and_bigrams("tokens").alias("tokens"))
     n_docs = features.n_docs_of(table(spark, sf_dir, "documents"))
     tf = features.term_frequencies(toks, "doc_id")

@@ -144,3 +144,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows moved by ``key`` while they are still narrow (whole texts, one row each): what a plan later
+    groups by the key and more columns, or ranks within the key, then moves no exploded rows. The
+    number of partitions grows with the input's splits and is kept by AQE, as exploded rows weigh more."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(n, 8 * df.rdd.getNumPartitions()), key)

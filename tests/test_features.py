@@ -57,3 +57,14 @@ def test_sized_side_bounds(spark):
     assert lexicon.should_broadcast(df, 10_000, 10**9)
     assert not lexicon.should_broadcast(df, 10, 10**9)
     assert not lexicon.should_broadcast(df, 10_000, 100)
+
+
+def test_texts_moved_by_key_are_counted_and_weighed_in_place(spark):
+    from msgtriage.session import by_key
+
+    docs = spark.createDataFrame([(1, "a b b"), (1, "b"), (2, "a c"), (None, "c")], "id int, text string")
+    tf = features.term_frequencies(by_key(docs, "id").select("id", F.split("text", " ").alias("tokens")), "id")
+    vocab = spark.createDataFrame([("a", 2, 0), ("b", 2, 1)], "term string, df int, term_index int")
+    w = features.tfidf(tf, vocab, 3, "id", vocab_size=2)
+    assert w._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {(r.id, r.term, r.tf) for r in tf.collect()} == {(1, "a", 1), (1, "b", 3), (2, "a", 1), (2, "c", 1), (None, "c", 1)}
