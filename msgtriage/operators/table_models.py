@@ -157,6 +157,7 @@ class PopulationScaler(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadab
         from pyspark.ml.feature import ElementwiseProduct, StandardScaler
         from pyspark.ml.linalg import Vectors
 
+        df = materialize(df.select(self.getInputCol()), "scaler-input")  # read by the count and by the fit
         between, n = f"{self.getOutputCol()}_sample", df.count()
         scaler = StandardScaler(inputCol=self.getInputCol(), outputCol=between, withMean=True, withStd=True).fit(df)
         factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import vectors as V
 from msgtriage.operators.features import explode_tokens
-from msgtriage.operators.lexicon import DEFAULT_BROADCAST_ROWS, sized_side
+from msgtriage.operators.lexicon import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, measured_size, should_broadcast, sized_side
 
 
 def lookup_vectors(
@@ -38,40 +38,91 @@ def _pack(dim: int, out: str) -> Column:
     return F.array(*[F.coalesce(F.col(f"_c{i}"), F.lit(0.0)) for i in range(dim)]).alias(out)
 
 
+def _numbered(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``words(word, ref)`` and ``stored(ref, vector)``: every distinct vector once, under a
+    number, so that joins with tokens move numbers only."""
+    from msgtriage.session import materialize
+
+    known = vectors.select("word", "vector", F.coalesce(F.sha2(F.col("vector").cast("string"), 256), F.lit("")).alias("_v"))
+    stored = known.groupBy("_v").agg(F.first("vector").alias("vector")).withColumn("ref", F.monotonically_increasing_id())
+    stored = materialize(stored, "distinct-vectors")
+    words = known.select("word", "_v").join(sized_side(stored.select("_v", "ref")), "_v").select("word", "ref")
+    return materialize(words, "vector-words"), stored.select("ref", "vector")
+
+
+def _block_sums(hits: DataFrame, stored: DataFrame, dim: int, key: str, block_bytes: int) -> DataFrame:
+    """``(key, _c0.., _w)``: sums of ``w`` times the vector of ``ref`` over the rows ``(key, ref, w)``
+    of ``hits``, which lie partitioned by ``key``, and of ``w``.
+
+    Vectors come to the rows as broadcasts of at most about ``block_bytes``, one after another, and each
+    block's sums are complete per document before they move."""
+    from msgtriage.session import materialize
+
+    sums = [*_vector_sum("vector", dim, F.col("w")), F.sum("w").alias("_w")]
+    blocks = max(1, math.ceil(measured_size(stored)[1] / block_bytes))
+    if blocks == 1:
+        return hits.join(F.broadcast(stored), "ref").groupBy(key).agg(*sums)
+    hits, parts = materialize(hits, "vector-hits"), None
+    for b in range(blocks):
+        block = F.pmod(F.xxhash64("ref"), F.lit(blocks)) == b
+        part = hits.where(block).join(F.broadcast(stored.where(block)), "ref").groupBy(key).agg(*sums)
+        part = materialize(part, "vector-sums")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy(key).agg(*[F.sum(c).alias(c) for c in parts.columns if c != key])
+
+
 def sentence_vectors(
     df: DataFrame, vectors: DataFrame, dim: int, key: str = "id", tokens: str = "tokens",
-    out: str = "sentvec", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    out: str = "sentvec", broadcast_rows: int = DEFAULT_BROADCAST_ROWS, block_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """The reference's recurrence ``v <- (w + v) / dim`` over the in-vocabulary
     tokens of a document, starting from zeros.
 
     Closed form: ``v = sum_k w_k * dim ** -(m - k + 1)``. Plan: keep only the
-    in-vocabulary tokens as narrow ``(key, pos, word)`` rows (semi-join), rank
-    them from the end within each document (the only shuffle, on ``key``,
-    without vectors), attach the vectors after the window, and sum per
-    document in place (the data is already partitioned on ``key``). Every
+    in-vocabulary tokens as narrow ``(key, pos, word)`` rows, rank them from the end
+    within each document (a shuffle on ``key``, without vectors), attach the vectors
+    after the window, and sum per document in place (the data is already partitioned
+    on ``key``). A vocabulary beyond the broadcast bounds is joined as numbers of its
+    distinct vectors (``_numbered``), and the vectors are attached in blocks. Every
     token of the whole text takes part (early tokens' weights underflow to 0
     exactly as in the recurrence). Documents without in-vocabulary tokens get
     the zero vector.
     """
     long = explode_tokens(df, key, tokens, "word", pos="pos")
-    vocab = sized_side(vectors.select("word"), broadcast_rows)
-    known = long.join(vocab, "word", "left_semi")
     from_end = Window.partitionBy(key).orderBy(F.desc("pos"))
-    ranked = known.withColumn("_r", F.row_number().over(from_end))
-    vecs = sized_side(vectors.select("word", "vector"), broadcast_rows)
     weight = F.pow(F.lit(float(dim)), -F.col("_r").cast("double"))
-    sums = ranked.join(vecs, "word").groupBy(key).agg(*_vector_sum("vector", dim, weight))
+    if should_broadcast(vectors.select("word", "vector"), broadcast_rows, block_bytes):
+        known = long.join(F.broadcast(vectors.select("word")), "word", "left_semi")
+        ranked = known.withColumn("_r", F.row_number().over(from_end))
+        joined = ranked.join(F.broadcast(vectors.select("word", "vector")), "word")
+        sums = joined.groupBy(key).agg(*_vector_sum("vector", dim, weight))
+    else:
+        words, stored = _numbered(vectors)
+        words = words.groupBy("word").agg(F.collect_list("ref").alias("_refs"))  # a word listed twice counts twice at one rank
+        known = long.join(sized_side(words, broadcast_rows), "word").select(key, "pos", "_refs")
+        ranked = known.withColumn("_r", F.row_number().over(from_end))
+        hits = ranked.select(key, weight.alias("w"), F.explode_outer("_refs").alias("ref"))
+        sums = _block_sums(hits.groupBy(key, "ref").agg(F.sum("w").alias("w")), stored, dim, key, block_bytes).drop("_w")
     return df.select(key).join(sums, key, "left").select(key, _pack(dim, out))
 
 
 def mean_vectors(
     df: DataFrame, vectors: DataFrame, dim: int, key: str = "id", tokens: str = "tokens",
-    out: str = "meanvec", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    out: str = "meanvec", broadcast_rows: int = DEFAULT_BROADCAST_ROWS, block_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Mean of the in-vocabulary word vectors (NaN components when there is none)."""
-    hits = lookup_vectors(df, vectors, key, tokens, broadcast_rows)
-    sums = hits.groupBy(key).agg(*_vector_sum("vector", dim), F.count(F.lit(1)).alias("_n"))
+    """Mean of the in-vocabulary word vectors (NaN components when there is none).
+
+    A vocabulary beyond the broadcast bounds is joined as numbers of its distinct vectors, counted per
+    document, and the vectors are attached in blocks."""
+    long = explode_tokens(df, key, tokens, "word")
+    if should_broadcast(vectors.select("word", "vector"), broadcast_rows, block_bytes):
+        hits = long.join(F.broadcast(vectors.select("word", "vector")), "word")
+        sums = hits.groupBy(key).agg(*_vector_sum("vector", dim), F.count(F.lit(1)).alias("_n"))
+    else:
+        words, stored = _numbered(vectors)
+        hits = long.join(sized_side(words, broadcast_rows), "word").select(key, "ref").repartition(key)
+        hits = hits.groupBy(key, "ref").agg(F.count(F.lit(1)).cast("double").alias("w"))
+        sums = _block_sums(hits, stored, dim, key, block_bytes).withColumnRenamed("_w", "_n")
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("double")
     return df.select(key).join(sums, key, "left").select(
         key,
@@ -151,8 +202,9 @@ def fill_nan_global_median(
     non-NaN components of the whole column."""
     from msgtriage.session import materialize
 
-    # the selection makes several passes: read the components from a written table
-    comps = materialize(df.select(F.explode_outer(vec).alias("x")), "median-input")
+    # the selection makes several passes and the fill another: all read the written vectors
+    df = materialize(df, "median-input")
+    comps = df.select(F.explode_outer(vec).alias("x"))
     if exact:
         med = global_median(comps, "x", accuracy)
     else:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from msgtriage.functions import vectors as V
 from msgtriage.operators import features, vectors
-from msgtriage.session import ensure_parallelism
+from msgtriage.session import by_key, ensure_parallelism
 from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.registry import r6, register
 from msgtriage.plans.sqltext import tokens_sql
@@ -19,8 +19,8 @@ POSITIVE = ["de", "und"]
 NEGATIVE = ["que"]
 
 
-def _doc_tokens(spark, sf_dir):
-    docs = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _doc_tokens(spark, sf_dir, spread=ensure_parallelism):
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return features.with_tokens(docs, "text", "tokens", "train")
 
 
@@ -139,7 +139,7 @@ def q_similar_words(spark, sf_dir):
     ),
 )
 def q_sentence_vectors(spark, sf_dir):
-    toks = _doc_tokens(spark, sf_dir)
+    toks = _doc_tokens(spark, sf_dir, lambda docs: by_key(docs, "doc_id"))
     sv = vectors.sentence_vectors(toks, _word_vectors(spark, sf_dir, toks), DIM, "doc_id", "tokens")
     return sv.select("doc_id", r6(V.vsum("sentvec")).alias("v_sum"), r6(V.norm("sentvec")).alias("v_norm"))
 

@@ -51,3 +51,18 @@ def test_most_similar_brute_force(spark):
     got = [(r.word, r.score) for r in vectors.most_similar(vec, ["w1", "w2"], ["w3"], 5).collect()]
     assert [w for w, _ in got] == [w for w, _ in expect]
     assert np.allclose([s for _, s in got], [s for _, s in expect])
+
+
+def test_vectors_beyond_a_broadcast_come_in_blocks(spark):
+    rows, _ = vocab(spark, dim=4, n=30)
+    rows += [("w3", [1.0, 2.0, 3.0, 4.0]), ("w5", rows[7][1]), ("w6", None)]  # words listed twice, a vector of two words, none
+    vec = spark.createDataFrame(rows, "word string, vector array<double>")
+    docs = [(i, [f"w{(i * j) % 33}" for j in range(i)]) for i in range(40)] + [(None, ["w1"]), (50, None), (51, ["w6"])]
+    df = spark.createDataFrame(docs, "id int, tokens array<string>")
+    for f, out in ((vectors.sentence_vectors, "sentvec"), (vectors.mean_vectors, "meanvec")):
+        plain = {r.id: r[out] for r in f(df, vec, 4, "id", "tokens").collect()}
+        for block in (100_000, 300):
+            got = {r.id: r[out] for r in f(df, vec, 4, "id", "tokens", broadcast_rows=0, block_bytes=block).collect()}
+            assert got.keys() == plain.keys()
+            for k, v in plain.items():
+                assert np.allclose(np.array(got[k], float), np.array(v, float), rtol=1e-12, equal_nan=True), (out, block, k)
