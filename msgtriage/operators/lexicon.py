@@ -129,14 +129,20 @@ def tag_lexicon(tagged: DataFrame, token: str = "token", tag: str = "tag") -> Da
 def verb_noun_counts(
     df: DataFrame, lexicon: DataFrame, key: str = "id", tokens: str = "tokens",
     verb_tags: Sequence[str] = VERB_TAGS, noun_tags: Sequence[str] = NOUN_TAGS,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(key, n_verbs, n_nouns)``; untagged tokens count as neither."""
+    """``(key, n_verbs, n_nouns)``; untagged tokens count as neither. A lexicon beyond the
+    broadcast bounds meets each document's distinct tokens with their counts, so a frequent token
+    has a row per document, not one per occurrence, in the task that joins it."""
     long = explode_tokens(df, key, tokens, "token")
-    lex = sized_side(lexicon.select("token", "tag"), broadcast_rows)
+    lex = lexicon.select("token", "tag")
+    if should_broadcast(lex, broadcast_rows, broadcast_bytes):
+        long, lex = long.withColumn("_n", F.lit(1)), F.broadcast(lex)
+    else:
+        long = long.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
     counts = long.join(lex, "token", "inner").groupBy(key).agg(
-        F.count_if(F.col("tag").isin(*verb_tags)).alias("n_verbs"),
-        F.count_if(F.col("tag").isin(*noun_tags)).alias("n_nouns"),
+        F.sum(F.when(F.col("tag").isin(*verb_tags), F.col("_n"))).alias("n_verbs"),
+        F.sum(F.when(F.col("tag").isin(*noun_tags), F.col("_n"))).alias("n_nouns"),
     )
     return df.select(key).join(counts, key, "left").select(
         key,

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from msgtriage.operators import features, lexicon
-from msgtriage.session import ensure_parallelism
+from msgtriage.session import by_key, ensure_parallelism, materialize
 from msgtriage.plans.fixtures import table, with_fixtures
 from msgtriage.plans.registry import register
 from msgtriage.plans.sqltext import tokens_sql
 
 
-def _doc_tokens(spark, sf_dir, variant="train"):
-    docs = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _doc_tokens(spark, sf_dir, variant="train", spread=ensure_parallelism):
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return features.with_tokens(docs, "text", "tokens", variant)
 
 
@@ -50,9 +50,9 @@ def q_lemmatized(spark, sf_dir):
     ),
 )
 def q_verb_noun(spark, sf_dir):
-    toks = _doc_tokens(spark, sf_dir)
+    toks = _doc_tokens(spark, sf_dir, spread=lambda docs: by_key(docs, "doc_id"))
     tagged = lexicon.last_letter_tags(features.token_table(toks, "doc_id"))
-    lex = lexicon.tag_lexicon(tagged)
+    lex = materialize(lexicon.tag_lexicon(tagged), "tag-lexicon")  # measured, then joined
     return lexicon.verb_noun_counts(toks, lex, "doc_id", "tokens")
 
 

@@ -94,3 +94,11 @@ def test_spell_keys_cover_every_length(spark):
         best = min((lev(r.word, v), -f, v) for v, f in vocab.items())
         want = (best[2], best[0], -best[1]) if best[0] <= 2 else (r.word, None, None)
         assert (r.suggestion, r.distance, r.freq) == want
+
+
+def test_verb_noun_counts_beyond_a_broadcast(spark):
+    rows = [(1, ["run", "run", "dog", "zz"]), (2, []), (3, None), (4, ["dog"] * 5 + ["run"])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    lex = spark.createDataFrame([("run", "VB"), ("dog", "NN")], "token string, tag string")
+    got = {tuple(r) for r in lexicon.verb_noun_counts(df, lex, broadcast_bytes=0).collect()}
+    assert got == {(1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 1, 5)}
