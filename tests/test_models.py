@@ -73,3 +73,11 @@ def test_resampling_stays_inside_training_folds(spark):
     for fold, tr, te, n in models._fold_features(train, labels, 3, 11, "id", resample=resample):
         assert te.count() == plain[fold][1] and n > plain[fold][0]
         assert tr.join(te, "id", "left_semi").isEmpty()
+
+
+def test_wide_tree_fits_run_one_at_a_time(spark):
+    from pyspark.ml.linalg import Vectors
+
+    feats = spark.createDataFrame([(Vectors.sparse(1 << 20, [1], [1.0]),)], ["features"])
+    assert [models.fits_at_once(k, feats, 10_000, 4) for k in ("logistic", "forest", "gbt")] == [4, 1, 1]
+    assert models.fits_at_once("forest", feats, 100, 4) == 2 and models.fits_at_once("forest", feats.limit(0), 9, 4) == 4
