@@ -8,11 +8,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
-from msgtriage.operators import models, sampling, vectors
+from msgtriage.operators import features, models, sampling, vectors
 from msgtriage.operators.table_models import (
     EntityCount, GetVerbNounCount, PopulationScaler, SentenceVector, SentenceVectorModel, StartingVerbExtractor, phrase_trie, phrase_types,
 )
 from msgtriage.operators.transformers import SublinearTF
+from msgtriage.plans.catalog import REGISTRY
 from msgtriage.session import scratch_path
 
 
@@ -196,3 +197,32 @@ def test_resampling_stores_narrow_steps(spark):
     assert all(r.message == texts[r.id] for r in rows)
     n_pos = sum(r.wet == 1 for r in rows)
     assert sum(r.wet == 0 for r in rows) == int(n_pos * 0.4)
+
+
+def test_fitted_vectors_have_no_vocabulary_limit(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(features, "ML_TERMS", 3)
+    rows = [(k, "apple banana cherries lemon") for k in range(6)] + [(k, "water apple apple") for k in range(6, 11)]
+    rows += [(11, "apple rare"), (None, "water"), (12, None), (13, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got, same = (Counter(map(tuple, REGISTRY[q].fn(spark, str(tmp_path)).collect())) for q in ("ml_tfidf_vectors", "fitted_tfidf"))
+    assert {t for i, t, _ in got if i == 0} == {"apple", "banana", "cherrie", "lemon"} and got == same
+
+
+def test_term_weights_match_the_capped_stages(spark):
+    _, df = corpus(spark)
+    df = df.where("tokens IS NOT NULL")
+    capped, table = (
+        Pipeline(stages=features.tfidf_stages("tokens", "w", size, 2.0, 0.8, None, sublinear, tables=size is None)).fit(df)
+        for size, sublinear in ((100, True), (None, True))
+    )
+    assert {r.term: r["index"] for r in table.stages[0].tables["vocabulary"].collect()}.keys() == set(capped.stages[0].vocabulary)
+
+    def named(model, terms):
+        out = model.transform(df)
+        assert {r.w.size for r in out.select("w").collect()} == {len(terms)}
+        return Counter((r.id, tuple(sorted((terms[i], round(x, 9)) for i, x in zip(r.w.indices.tolist(), r.w.values.tolist())))) for r in out.collect())
+
+    want = named(capped, dict(enumerate(capped.stages[0].vocabulary)))
+    for m in (table, reload(spark, table)):
+        terms = {r["index"]: r.term for r in m.stages[0].tables["vocabulary"].collect()}
+        assert named(m, terms) == want
