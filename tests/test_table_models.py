@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
-from msgtriage.operators import features, models, sampling, vectors
+from msgtriage.operators import features, lexicon, models, sampling, vectors
 from msgtriage.operators.table_models import (
     EntityCount, GetVerbNounCount, PopulationScaler, SentenceVector, SentenceVectorModel, StartingVerbExtractor, phrase_trie, phrase_types,
 )
@@ -226,3 +226,15 @@ def test_term_weights_match_the_capped_stages(spark):
     for m in (table, reload(spark, table)):
         terms = {r["index"]: r.term for r in m.stages[0].tables["vocabulary"].collect()}
         assert named(m, terms) == want
+
+
+@pytest.mark.parametrize("rows", [lexicon.DEFAULT_BROADCAST_ROWS, 0])
+def test_lexicon_results_meet_rows_that_stay(spark, monkeypatch, rows):
+    should = lexicon.should_broadcast
+    monkeypatch.setattr(lexicon, "should_broadcast", lambda df, r, b: should(df, min(r, rows), b))
+    data = [(1, ["run", "x", "run"], ["VB", "NN", "VB"]), (1, ["run", "x", "run"], None), (None, ["x"], None), (2, None, None), (3, [], None)]
+    df = spark.createDataFrame(data, "id long, tokens array<string>, tags array<string>")
+    out = GetVerbNounCount(outputCol="vn").fit(df).transform(df.select("id", "tokens"))
+    assert Counter((r.id, tuple(r.vn)) for r in out.collect()) == {(1, (2.0, 1.0)): 2, (None, (0.0, 1.0)): 1, (2, (0.0, 0.0)): 1, (3, (0.0, 0.0)): 1}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ("rightHint=(strategy=broadcast)" in plan) == bool(rows) and "Aggregate" not in plan
