@@ -238,3 +238,13 @@ def test_lexicon_results_meet_rows_that_stay(spark, monkeypatch, rows):
     assert Counter((r.id, tuple(r.vn)) for r in out.collect()) == {(1, (2.0, 1.0)): 2, (None, (0.0, 1.0)): 1, (2, (0.0, 0.0)): 1, (3, (0.0, 0.0)): 1}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert ("rightHint=(strategy=broadcast)" in plan) == bool(rows) and "Aggregate" not in plan
+
+
+def test_boosted_trees_on_a_vocabulary_table(spark, monkeypatch):
+    monkeypatch.setattr(features, "ML_TERMS", 3)
+    df, labels, rows = labelled(spark, 40)
+    settings = dict(clf_params={"max_iter": 2, "max_depth": 3}, feature_params={"vocab_size": None, "min_df": 1.0, "max_df": 0.99})
+    model, _ = models.fit_multilabel(df, labels, "tfidf", "gbt", **settings)
+    first = sorted(map(tuple, models.predict_long(model, df, labels).collect()))
+    assert first == sorted(map(tuple, models.predict_long(reload(spark, model), df, labels).collect()))
+    assert len(first) == 80 and sum(y == p for _, _, y, p in first) > 0.9 * len(first)
