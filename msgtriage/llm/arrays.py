@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # texts of one slice; bounds the temporary arrays of a task
+SLICE_BYTES = 1 << 19  # texts of one slice; bounds the temporary arrays of a task, some 50 times as large, and the tables each worker keeps
 
 _rng = np.random.RandomState(20240607)
 _BYTE_VALUE = _rng.randint(1, 2**62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
