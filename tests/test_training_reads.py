@@ -1,6 +1,7 @@
 """How often the training plans compute the rows they read several times."""
 
 from msgtriage.operators import models
+from msgtriage.plans.training import train_and_evaluate
 
 
 def _rows(spark, n=60):
@@ -27,3 +28,10 @@ def test_resampled_fold_is_computed_once(spark, monkeypatch):
     assert tr.count() == n and te.count() == 20
     assert seen.value == n
     folds.close()
+
+
+def test_training_run_reads_its_split_from_storage(spark):
+    seen = spark.sparkContext.accumulator(0)
+    report, _ = train_and_evaluate(spark, _counted(_rows(spark), seen), ["related", "toxic"], upsample_targets=("toxic",), downsample_target="related")
+    assert {r.label for r in report.collect()} == {"related", "toxic"}
+    assert seen.value <= 120  # counted and indexed, once each
