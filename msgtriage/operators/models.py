@@ -352,15 +352,10 @@ def _fold_features(df, labels, k, seed, key, feature_kind="tfidf", feature_param
             test = tokd.where(F.col("fold") == fold)
             if resample:
                 train = resample_training(train, key=key, seed=seed, **resample)
-                # each fit, the count and the features read these rows: the drawn rows meet their tokens once
-                train = train.select(key, "tokens", *labels).persist(StorageLevel.MEMORY_AND_DISK)
-            n = train.count()
             rest = Pipeline(stages=rest_stages).fit(train)
             tr = rest.transform(train).select(key, "features", *labels)
+            n = tr.count()
             tr = right_size(tr, n).persist(StorageLevel.MEMORY_AND_DISK)
-            if resample:
-                tr.count()
-                train.unpersist()
             te = rest.transform(test).select(key, "features", *labels)
             te = te.persist(StorageLevel.MEMORY_AND_DISK)
             yield fold, tr, te, n
