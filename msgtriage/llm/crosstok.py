@@ -18,7 +18,10 @@ Texts are encoded once and whole. They are handed to the tokenizers in pieces cu
 between two letters, where both vocabularies cut anyway (A's pattern lets no token go on over
 it; :class:`Tokens` checks that no piece of B does), so a group ends there and a slice of pieces
 is aligned on its own: memory is bounded by ``SLICE_CHARS``, not by the text. Only a stretch
-without such a place is handed over whole, whatever its length.
+without such a place is handed over whole, whatever its length. Both also cut before any other
+single space between two characters. The parts between these places are tokenized where a task
+meets them first, and their ids laid out for each occurrence; the alignment then meets every
+token of every text.
 
 Defined results: a null or empty text has no tokens, and neither has one whose tokens do not spell
 the bytes of space and text (such as a text with U+2581, which B reads as a space): all its
@@ -34,6 +37,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +49,10 @@ from msgtriage.session import materialize
 
 PIECE_CHARS = 20_000
 SLICE_CHARS = 1 << 20
+KEPT_CHARS = 1 << 21  # distinct parts whose ids a task keeps from slice to slice; beyond it all are forgotten
 BROADCAST_PAIRS = 2_000_000  # distinct id pairs; beyond this counted number they are joined by a shuffle
 _LETTERS = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
+_WORDS = re.compile(r" (?=[^\s▁])(?<=[^\s▁] )")  # every place where both cut; a leading literal is found faster than a lookbehind
 _SEPARATORS = (",", "|", ";", "")
 
 
@@ -97,6 +103,7 @@ class Vocabularies:
     def __init__(self, byte_level: str, piece_model: bytes, tokens: Tokens):
         self.a, self.b = _tokenizers(byte_level, piece_model)
         self.cuttable, self.bytes, self.lengths, self.names = tokens.cuttable, tokens.bytes, tokens.lengths, tokens.names
+        self.forget()
 
     def pieces(self, text: str) -> Iterator[str]:
         """Space and text in pieces that begin with a space and are tokenized on their own."""
@@ -107,14 +114,80 @@ class Vocabularies:
         yield whole[at:]
 
     def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per side the ids of all pieces and the number of tokens of each piece."""
-        found = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        return [_flat(found), _flat(self.b.encode([p[1:] for p in pieces], num_threads=1))]
+        """Per side the ids of all pieces and the number of tokens of each piece. The parts between
+        all cuts are tokenized where they are new; their ids are then laid out in text order."""
+        if self.kept_chars > KEPT_CHARS:
+            self.forget()
+        parts = [_WORDS.split(p[1:]) if self.cuttable else [p[1:]] for p in pieces]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        before = len(self.number)
+        part = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, int(sizes.sum()))
+        self.learn(list(islice(self.number, before, None)))
+        return [_laid_out(ids, counts, part, sizes) for ids, counts in self.kept]
+
+    def forget(self) -> None:
+        """No part is known."""
+        self.number = _Numbers()
+        self.kept = [(np.empty(0, np.int64), np.empty(0, np.int64))] * 2
+        self.kept_chars = 0
+
+    def learn(self, parts: list[str]) -> None:
+        """Tokenize parts, joined to pieces of about ``PIECE_CHARS`` again where they may be."""
+        runs = _runs(parts, PIECE_CHARS) if self.cuttable else [[x] for x in parts]
+        encoders = (
+            lambda texts: [e.ids for e in self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)],
+            lambda texts: self.b.encode(texts, num_threads=1),
+        )
+        for side, encode in enumerate(encoders):
+            found = [self.kept[side]]
+            for run, ids in zip(runs, encode([" ".join(run) for run in runs])):
+                ids = np.array(ids, np.int64)
+                counts = self.counts_of(run, side, ids)
+                found.append(_flat(encode(run)) if counts is None else (ids, counts))
+            self.kept[side] = tuple(np.concatenate(x) for x in zip(*found))
+        self.kept_chars += sum(map(len, parts))
+
+    def counts_of(self, run: list[str], side: int, ids: np.ndarray) -> np.ndarray | None:
+        """Tokens of each part of a joined run; None if they do not spell it and end with its parts."""
+        wanted = [(" " + x).encode() for x in run]
+        ends, stops = np.cumsum(self.lengths[side][ids]), np.cumsum(np.fromiter(map(len, wanted), np.int64, len(wanted)))
+        last = np.searchsorted(ends, stops)
+        if len(ids) == 0 or ends[-1] != stops[-1] or not np.array_equal(ends[last], stops) or _joined(self.bytes[side], ids).tobytes() != b"".join(wanted):
+            return None
+        return np.diff(last, prepend=-1)
+
+
+class _Numbers(dict):
+    """Numbers of strings in the order they are first looked up."""
+
+    def __missing__(self, x: str) -> int:
+        self[x] = n = len(self)
+        return n
+
+
+def _runs(parts: list[str], chars: int) -> list[list[str]]:
+    """Consecutive parts of about ``chars`` together."""
+    runs, size = [], chars
+    for x in parts:
+        if size >= chars:
+            runs.append([])
+            size = 0
+        runs[-1].append(x)
+        size += len(x) + 1
+    return runs
 
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.concatenate([np.array(x, np.int64) for x in ids]) if ids else np.empty(0, np.int64), counts
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+
+
+def _laid_out(ids: np.ndarray, own: np.ndarray, part: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the parts ``part`` in their order, and how many each run of ``sizes`` parts has."""
+    counts, starts = own[part], (np.cumsum(own) - own)[part]
+    ends = np.append(0, np.cumsum(counts))
+    at = np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])
+    return ids[at], np.diff(ends[np.append(0, np.cumsum(sizes))])
 
 
 def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:

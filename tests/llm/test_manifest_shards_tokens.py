@@ -305,6 +305,38 @@ def test_slices_do_not_change_the_alignment(tokenizers, monkeypatch):
     assert whole[2]["n_a"] == 0 and whole[2]["groups_sha256"] == "" and whole[0]["n_groups"] > 1000
 
 
+def test_repeated_parts_are_tokenized_once(tokenizers, monkeypatch):
+    files = crosstok.read_vocabularies(*FILES)
+    v = crosstok.Vocabularies(*files, crosstok.Tokens(*files))
+    a, b = tokenizers
+    seen = []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **settings):
+            seen.extend(texts)
+            return a.encode_batch_fast(texts, **settings)
+
+    v.a = Spy()
+    odd = [t for t in ODD if t] + ["it's 12 naïve, cats\x1c x\x1c y  z \u2028 w"]
+    texts = ["the cat, of 12 words. " * 500 + "end"] * 20 + odd + [x + " " + y for x in odd for y in odd]
+
+    def check():
+        for lo in range(0, len(texts), 100):  # slice by slice
+            own = texts[lo : lo + 100]
+            wanted = [a.encode(" " + t, add_special_tokens=False).ids for t in own], [b.encode(t) for t in own]
+            for (ids, counts), want in zip(v.encode([" " + t for t in own]), wanted):
+                assert counts.tolist() == [len(x) for x in want] and ids.tolist() == list(itertools.chain.from_iterable(want))
+
+    check()
+    assert sum(map(len, seen)) < sum(map(len, texts)) / 5
+    seen.clear()
+    v.encode([" " + t for t in texts])
+    assert seen == []  # kept from slice to slice
+    monkeypatch.setattr(crosstok, "KEPT_CHARS", 0)
+    check()
+    assert v.kept_chars <= sum(map(len, texts[-100:])) and seen
+
+
 def test_terminals_follow_chains():
     import numpy as np
 
