@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from msgtriage.operators import lexicon
 
@@ -102,3 +103,28 @@ def test_verb_noun_counts_beyond_a_broadcast(spark):
     lex = spark.createDataFrame([("run", "VB"), ("dog", "NN")], "token string, tag string")
     got = {tuple(r) for r in lexicon.verb_noun_counts(df, lex, broadcast_bytes=0).collect()}
     assert got == {(1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 1, 5)}
+
+
+def test_narrow_stages_move_no_text(spark, monkeypatch):
+    """The result of a content is computed where its rows are, copies included, and texts stay out of the joins of keyed frames."""
+    from pyspark.ml import PipelineModel
+
+    from msgtriage.operators import table_models as T
+    from msgtriage.session import materialize
+
+    rows = [(1, "Walk home. See cats", ["walk", "home", "see", "cats"]), (2, "Walk home. See cats", ["walk", "home", "see", "cats"]), (3, None, None), (4, "", []), (5, "cats", ["cats"])]
+    rows = [(i, m, t, [{"walk": "VB", "see": "VB", "home": "NN", "cats": "JJ"}[x] for x in t or ()], [("home see", "GPE"), ("home", "PERSON"), ("cats", "GPE")]) for i, m, t in rows]
+    corpus = spark.createDataFrame(rows, "id int, message string, tokens array<string>, tags array<string>, entities array<struct<phrase string, type string>>").repartition(4)
+    model = PipelineModel(stages=[s.fit(corpus) for s in (T.GetVerbNounCount(outputCol="vn"), T.StartingVerbExtractor(), T.EntityCount())])
+    plans, kept = [], T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(df, name))
+    monkeypatch.setattr(T.lexicon, "sized_side", lambda df, *_: df)  # joins by shuffle
+    plain = model.transform(corpus)
+    assert len(plans) == 3 and not any(f"first({c}" in p for p in plans for c in ("tokens", "message"))
+    want = {1: ([2.0, 1.0], True, 1.0, 0.0), 2: ([2.0, 1.0], True, 1.0, 0.0), 3: ([0.0, 0.0], False, 0.0, 0.0), 4: ([0.0, 0.0], False, 0.0, 0.0), 5: ([0.0, 0.0], False, 1.0, 0.0)}
+    keyed = materialize(T.with_content_keys(corpus, model.stages), "keyed")
+    for found in (plain, model.transform(keyed)):
+        found = found.select("id", "vn", "starting_verb", *T.entity_names(F.col("entities_found")))
+        assert {r.id: (r.vn.toArray().tolist(), r.starting_verb, r.GPE, r.PERSON) for r in found.collect()} == want
+    read = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line and "_key_" in line]
+    assert read and not any("tokens" in line or "message" in line for line in read)
